@@ -31,9 +31,9 @@ def dedupe_readings(
     others = [c for c in df.columns if c not in keys]
     # ordering struct: (null flag, value) per order column, then the rest of the row
     rank_fields = []
-    for c in order:
+    for c in order + [c for c in others if c not in order]:
         rank_fields += [F.col(c).isNull().alias(f"__n_{c}"), F.col(c).alias(f"__v_{c}")]
-    rank = F.struct(*rank_fields, *[F.col(c).alias(f"__r_{c}") for c in others if c not in order])
+    rank = F.struct(*rank_fields)
     row = F.struct(*[F.col(c) for c in others])
     kept = df.groupBy(*keys).agg(F.min_by(row, rank).alias("__row"))
     return kept.select(*keys, *[F.col("__row")[c].alias(c) for c in others]).select(*df.columns)

@@ -1 +1,25 @@
+"""Named queries used by the driver contract and the benchmark."""
 
+from __future__ import annotations
+
+from . import readings  # noqa: F401  (registers)
+from .registry import REGISTRY, Query
+
+_MODULES = ["locations", "files", "streams"]
+for _m in _MODULES:
+    try:
+        __import__(f"{__name__}.{_m}")
+    except ModuleNotFoundError as exc:  # module not written yet
+        if exc.name != f"{__name__}.{_m}":
+            raise
+
+
+def queries() -> dict:
+    return {name: q.build for name, q in REGISTRY.items()}
+
+
+def oracle_sql() -> dict:
+    return {name: q.oracle for name, q in REGISTRY.items() if q.oracle}
+
+
+__all__ = ["REGISTRY", "Query", "queries", "oracle_sql"]
