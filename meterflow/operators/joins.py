@@ -8,7 +8,7 @@ run time. Skewed keys on the large side are split by AQE's skew-join rule
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import substation_nrn_from_dataset
@@ -45,17 +45,20 @@ def assert_unique(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def attach_locations(readings: DataFrame, lookup: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def attach_locations(readings: DataFrame, lookup: DataFrame, broadcast: bool | str | None = None) -> DataFrame:
     """Left join readings to the lookup on the 10-character prefix; the
     looked-up location replaces the file's, unmatched rows get null (JN2, PR5, PR6).
 
-    The lookup has one row per substation, so it is broadcast after a size
-    check and the readings are never shuffled for this join.
+    The lookup has one row per substation (about 1e5 rows), so it is small:
+    by default the planner's own size checks pick the broadcast (the static
+    ``autoBroadcastJoinThreshold`` for a lookup read from files, AQE's
+    run-time shuffle statistics for a derived one) and the readings are
+    never shuffled. ``broadcast=True`` forces it; ``"check"`` counts first.
     """
     lk = lookup.select(
         F.col("substation_nrn").alias("__nrn"), F.col("substation_geo_location").alias("__loc")
     )
-    if broadcast is None:
+    if broadcast == "check":
         lk = broadcast_if_bounded(lk)
     elif broadcast:
         lk = F.broadcast(lk)
@@ -110,11 +113,12 @@ def backfill_candidates(
 ) -> DataFrame:
     """For each substation with missing ids, its first row (by month, then
     ``order``) that does carry a dataset id (JN7)."""
+    from .windows import first_by
+
     order = order or ["data_collection_log_timestamp", "lv_feeder_id"]
     have = readings.where(F.col("dataset_id").isNotNull() & (F.col("dataset_id") != ""))
     cand = have.join(missing.select(key).distinct(), key, "left_semi")
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return cand.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    return first_by(cand, [key], order)
 
 
 def unseen_files(manifest: DataFrame, ingested: DataFrame, key: str = "filename") -> DataFrame:

@@ -15,6 +15,32 @@ from pyspark.sql import functions as F
 TS = "data_collection_log_timestamp"
 
 
+def first_by(df: DataFrame, keys: list[str], order: list[str], nulls_first_flags: list[str] | None = None) -> DataFrame:
+    """One row per ``keys``: the smallest by ``order`` (nulls last), ties
+    broken by the remaining columns (nulls last), so the pick is exact.
+
+    Implemented as ``min_by(row, rank)`` in an aggregate: Spark reduces each
+    key map-side before the shuffle, so a key holding a third of all rows
+    never lands whole in one task (a window would sort it in one task).
+    ``nulls_first_flags`` names columns whose rows with nulls rank after
+    rows where they are all set (checked before ``order``).
+    """
+    others = [c for c in df.columns if c not in keys]
+    rank_fields = []
+    if nulls_first_flags:
+        missing = None
+        for c in nulls_first_flags:
+            m = F.col(c).isNull()
+            missing = m if missing is None else (missing | m)
+        rank_fields.append(missing.alias("__missing"))
+    for c in order + [c for c in others if c not in order]:
+        rank_fields += [F.col(c).isNull().alias(f"__n_{c}"), F.col(c).alias(f"__v_{c}")]
+    rank = F.struct(*rank_fields)
+    row = F.struct(*[F.col(c) for c in others])
+    kept = df.groupBy(*keys).agg(F.min_by(row, rank).alias("__row"))
+    return kept.select(*keys, *[F.col("__row")[c].alias(c) for c in others]).select(*df.columns)
+
+
 def dedupe_readings(
     df: DataFrame,
     keys: list[str] | None = None,
@@ -28,30 +54,13 @@ def dedupe_readings(
     """
     keys = keys or [TS, "lv_feeder_unique_id"]
     order = order or ["dataset_id", "total_consumption_active_import", "aggregated_device_count_active"]
-    others = [c for c in df.columns if c not in keys]
-    # ordering struct: (null flag, value) per order column, then the rest of the row
-    rank_fields = []
-    for c in order + [c for c in others if c not in order]:
-        rank_fields += [F.col(c).isNull().alias(f"__n_{c}"), F.col(c).alias(f"__v_{c}")]
-    rank = F.struct(*rank_fields)
-    row = F.struct(*[F.col(c) for c in others])
-    kept = df.groupBy(*keys).agg(F.min_by(row, rank).alias("__row"))
-    return kept.select(*keys, *[F.col("__row")[c].alias(c) for c in others]).select(*df.columns)
+    return first_by(df, keys, order)
 
 
-def first_per_key(df: DataFrame, key: str, order: list, prefer_non_null: list[str] | None = None) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, order: list[str], prefer_non_null: list[str] | None = None) -> DataFrame:
     """One row per ``key``: the first by ``order``; with ``prefer_non_null``
     rows whose named columns are all set come first (WN2 default, EX3)."""
-    ordering = []
-    if prefer_non_null:
-        missing = None
-        for c in prefer_non_null:
-            m = F.col(c).isNull()
-            missing = m if missing is None else (missing | m)
-        ordering.append(missing.asc())
-    ordering += [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
-    w = Window.partitionBy(key).orderBy(*ordering)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    return first_by(df, [key], order, prefer_non_null)
 
 
 def dedupe_model(df: DataFrame, strict: bool = False, order: str = "file_row") -> DataFrame:
