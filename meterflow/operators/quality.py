@@ -42,9 +42,9 @@ def bad_value_flags(raw: DataFrame, timestamp_type: str = "timestamp") -> DataFr
     but casts to null is a bad value."""
     bad = F.lit(False)
     for c in S.FLOAT_COLUMNS:
-        bad = bad | (F.col(c).isNotNull() & F.try_cast(F.col(c), "double").isNull())
+        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast("double").isNull())
     for c in S.TIME_COLUMNS:
-        bad = bad | (F.col(c).isNotNull() & F.try_cast(F.col(c), timestamp_type).isNull())
+        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast(timestamp_type).isNull())
     return raw.withColumn("__bad", bad)
 
 

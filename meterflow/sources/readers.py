@@ -40,7 +40,7 @@ def canonical_columns(
     ``keep`` names extra columns carried through unchanged.
     """
     require_columns(df, S.CANONICAL_COLUMNS, "readings")
-    cast = (lambda c, t: F.try_cast(c, t)) if safe else (lambda c, t: c.cast(t))
+    cast = (lambda c, t: c.try_cast(t)) if safe else (lambda c, t: c.cast(t))
     cols: list[Column] = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in S.TEXT_COLUMNS]
     cols += [cast(F.col(c), "double").alias(c) for c in S.FLOAT_COLUMNS]
     cols += [cast(F.col(c), timestamp_type).alias(c) for c in S.TIME_COLUMNS]
@@ -85,7 +85,7 @@ def read_postcode_mapping(spark: SparkSession, path: str | list[str]) -> DataFra
 
 def _null_sentinel(c: Column, sentinel: str) -> Column:
     text = F.trim(c)
-    value = F.try_cast(text, "double")
+    value = text.try_cast("double")
     return F.when(text.isNull() | (text == sentinel) | (value == float(sentinel)), F.lit(None).cast("double")).otherwise(
         text.cast("double")
     )

@@ -101,9 +101,11 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         "supplier",
         [
             ("pcd", _postcode("s_suppkey")),
-            ("lat", "CASE WHEN s_suppkey % 19 = 0 THEN '99.999999' ELSE '57.' || CAST(100000 + s_suppkey % 60 * 10000 + s_suppkey * 7 % 13 * 100 AS STRING) END"),
-            ("long", "CASE WHEN s_suppkey % 23 = 0 THEN '0.000000' ELSE '-2.' || CAST(200000 + s_suppkey % 60 * 10000 + s_suppkey * 3 % 11 * 200 AS STRING) END"),
+            # coordinates on a 1/8192-degree lattice (exact in binary), groups 1/16 degree apart
+            ("lat", "CASE WHEN s_suppkey % 19 = 0 THEN '99.999999' ELSE CAST(57.125 + s_suppkey % 60 * 0.0625 + s_suppkey * 7 % 13 * 0.0001220703125 AS STRING) END"),
+            ("long", "CASE WHEN s_suppkey % 23 = 0 THEN '0.000000' ELSE CAST(-2.25 - s_suppkey % 60 * 0.0625 - s_suppkey * 3 % 11 * 0.0001220703125 AS STRING) END"),
             ("pcds", _postcode("s_suppkey")),
+            ("nation", "s_nationkey"),
         ],
     ),
     "model": (
@@ -134,9 +136,16 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
 }
 
 POINT_EXPRS = {
-    # the embedding's first two dimensions, rounded, as a 2-d point per label
-    "spark": ("round(CAST(embedding[0] AS DOUBLE), 2)", "round(CAST(embedding[1] AS DOUBLE), 2)"),
-    "duckdb": ("round(CAST(embedding[1] AS DOUBLE), 2)", "round(CAST(embedding[2] AS DOUBLE), 2)"),
+    # the embedding's first two dimensions as lon/lat offsets on a 1/65536-degree
+    # lattice (exact in binary) around 57.125 N, 2.25 W; 150 groups by id
+    "spark": (
+        "-2.25 + round(CAST(embedding[0] AS DOUBLE) * 300) / 65536.0",
+        "57.125 + round(CAST(embedding[1] AS DOUBLE) * 300) / 65536.0",
+    ),
+    "duckdb": (
+        "-2.25 + round(CAST(embedding[1] AS DOUBLE) * 300) / 65536.0",
+        "57.125 + round(CAST(embedding[2] AS DOUBLE) * 300) / 65536.0",
+    ),
 }
 
 
@@ -176,7 +185,7 @@ def ssen_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = POINT_EXPRS["spark"]
-    return table(spark, sf_dir, "embeddings").selectExpr("vec_id AS point_id", "label AS grp", f"{x} AS x", f"{y} AS y")
+    return table(spark, sf_dir, "embeddings").selectExpr("vec_id AS point_id", "vec_id % 150 AS grp", f"CAST({x} AS DOUBLE) AS x", f"CAST({y} AS DOUBLE) AS y")
 
 
 # ---------------------------------------------------------------------------
@@ -219,8 +228,8 @@ _DUCK_TYPED = {
     + ", ".join(("l.substation_geo_location AS substation_geo_location" if c == "substation_geo_location" else f"r.{c} AS {c}") for c in S.CANONICAL_COLUMNS)
     + " FROM ssen_readings r LEFT JOIN merged_lookup l ON substr(r.dataset_id, 1, 10) = l.substation_nrn)",
     "staging": "staging AS (SELECT * FROM nged_staging UNION ALL SELECT * FROM ssen_staging)",
-    "points": "points AS (SELECT vec_id AS point_id, label AS grp, "
-    + f"{POINT_EXPRS['duckdb'][0]} AS x, {POINT_EXPRS['duckdb'][1]} AS y FROM embeddings)",
+    "points": "points AS (SELECT vec_id AS point_id, vec_id % 150 AS grp, "
+    + f"CAST({POINT_EXPRS['duckdb'][0]} AS DOUBLE) AS x, CAST({POINT_EXPRS['duckdb'][1]} AS DOUBLE) AS y FROM embeddings)",
 }
 
 _DEPENDS = {
