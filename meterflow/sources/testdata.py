@@ -128,7 +128,8 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "nged_listing": (
         "orders",
         [
-            ("url", "'raw/nged/aggregated-smart-meter-data-lv-feeder-' || substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7) || '-part' || lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0') || '.csv'"),
+            ("url", "CASE WHEN o_orderkey % 50 = 0 THEN 'raw/nged/notes-' || CAST(o_orderkey AS STRING) || '.txt' "
+             "ELSE 'raw/nged/aggregated-smart-meter-data-lv-feeder-' || substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7) || '-part' || lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0') || '.csv' END"),
             ("created", "o_orderdate"),
             ("storage_id", "o_orderkey"),
         ],
