@@ -108,22 +108,21 @@ def daily_consumption(df: DataFrame, feeder: str, value: str, ts: str = TS) -> D
     """Half hours resampled to UTC days per feeder; every day between the
     overall first and last day appears, empty days as 0 (AG7).
 
-    The day spine is built per feeder by ``explode(sequence())`` between two
-    scalars taken from one global min/max aggregate, and merged with the sums
-    by a union + re-aggregation instead of a join, so only one shuffle on
+    The overall first/last day are scalar subqueries of the same plan (no
+    driver round trip, no second run of the input); the day spine is built
+    per feeder by ``explode(sequence())`` and merged with the sums by a
+    union + re-aggregation instead of a join, so only one shuffle on
     (feeder, day) carries data.
     """
     day = floor_day(ts)
     sums = df.groupBy(F.col(feeder).alias(feeder), day.alias("day")).agg(F.sum(value).alias(value))
-    bounds = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
-        return sums
+    lo = df.select(F.min(day)).scalar()
+    hi = df.select(F.max(day)).scalar()
     feeders = df.select(feeder).distinct()
-    step = F.expr("INTERVAL 1 DAY")
     spine = feeders.select(
         feeder,
-        F.explode(F.sequence(F.lit(bounds["lo"]), F.lit(bounds["hi"]), step)).alias("day"),
-        F.lit(0.0).cast(sums.schema[value].dataType).alias(value),
+        F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("day"),
+        F.lit(0).cast(sums.schema[value].dataType).alias(value),
     )
     return sums.unionByName(spine).groupBy(feeder, "day").agg(F.sum(value).alias(value))
 

@@ -15,6 +15,7 @@ British National Grid metres with Column math (no Python).
 
 from __future__ import annotations
 
+import sys
 from fractions import Fraction
 
 import numpy as np
@@ -26,6 +27,15 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions import geo as G
 
+# Python workers get this module's functions by value, so executors need no
+# copy of the package on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
 # groups up to this many points pass the map side untouched
 _PARTIAL_MIN_POINTS = 8
 

@@ -15,10 +15,19 @@ job wrote, the files it did not write (dynamic partition overwrite);
 from __future__ import annotations
 
 import json
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+# executors get the writer by value; they need no copy of this package
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover
+    pass
+
 # GeoParquet metadata for a WGS 84 lon/lat point column.
 GEOPARQUET_VERSION = "1.1.0"
 WGS84_PROJJSON = {
