@@ -86,26 +86,33 @@ _HULL_TYPE = T.StructType(
     [
         T.StructField("xs", T.ArrayType(T.DoubleType())),
         T.StructField("ys", T.ArrayType(T.DoubleType())),
+        T.StructField("mxs", T.ArrayType(T.DoubleType())),
+        T.StructField("mys", T.ArrayType(T.DoubleType())),
     ]
 )
 
 
 @F.pandas_udf(_HULL_TYPE)
-def _hull_udf(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
-    out_x, out_y = [], []
-    for gx, gy in zip(xs, ys):
+def _hull_udf(xs: pd.Series, ys: pd.Series, mxs: pd.Series, mys: pd.Series) -> pd.DataFrame:
+    out_x, out_y, out_mx, out_my = [], [], [], []
+    for gx, gy, gmx, gmy in zip(xs, ys, mxs, mys):
+        metres = {}
+        for k in range(len(gx)):
+            metres.setdefault((float(gx[k]), float(gy[k])), (float(gmx[k]), float(gmy[k])))
         ring = hull_vertices(np.asarray(gx, dtype=float), np.asarray(gy, dtype=float))
         out_x.append([p[0] for p in ring])
         out_y.append([p[1] for p in ring])
-    return pd.DataFrame({"xs": out_x, "ys": out_y})
+        out_mx.append([metres[p][0] for p in ring])
+        out_my.append([metres[p][1] for p in ring])
+    return pd.DataFrame({"xs": out_x, "ys": out_y, "mxs": out_mx, "mys": out_my})
 
 
-def _partial_hulls(group: str, x: str, y: str, schema: T.StructType):
+def _partial_hulls(group: str):
     def reduce_batches(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
-            sizes = pdf.groupby(group, sort=False)[x].transform("size")
+            sizes = pdf.groupby(group, sort=False)["x"].transform("size")
             small = pdf[sizes <= _PARTIAL_MIN_POINTS]
             big = pdf[sizes > _PARTIAL_MIN_POINTS]
             if not small.empty:
@@ -113,29 +120,40 @@ def _partial_hulls(group: str, x: str, y: str, schema: T.StructType):
             if not big.empty:
                 rows = []
                 for key, g in big.groupby(group, sort=False):
-                    for vx, vy in hull_vertices(g[x].to_numpy(), g[y].to_numpy()):
-                        rows.append((key, vx, vy))
-                yield pd.DataFrame(rows, columns=[group, x, y]).astype(pdf.dtypes.to_dict())
+                    g = g.drop_duplicates(["x", "y"])
+                    metres = dict(zip(zip(g["x"], g["y"]), zip(g["mx"], g["my"])))
+                    for vx, vy in hull_vertices(g["x"].to_numpy(), g["y"].to_numpy()):
+                        mx, my = metres[(vx, vy)]
+                        rows.append((key, vx, vy, mx, my))
+                yield pd.DataFrame(rows, columns=[group, "x", "y", "mx", "my"]).astype(pdf.dtypes.to_dict())
 
     return reduce_batches
 
 
-def convex_hulls(points: DataFrame, group: str, x: str = "x", y: str = "y") -> DataFrame:
-    """Hull per group (GE3, AG13): (group, hull array<struct<x,y>>, geometry_type).
+def convex_hulls(points: DataFrame, group: str, x: str = "x", y: str = "y", project: bool = True) -> DataFrame:
+    """Hull per group (GE3, AG13): (group, hull, hull_m, geometry_type).
 
-    Rows with a null coordinate are ignored; a group is hulled in the
-    coordinates given (degrees for lon/lat).
+    ``hull`` is array<struct<x,y>> in the input coordinates (degrees for
+    lon/lat), taken there as the data defines it; ``hull_m`` holds the same
+    vertices in BNG metres. The points are projected before the hull step
+    (plain per-row Column math), so the vertex metres come out of the UDF as
+    a column: later filters on measures cannot be inlined back into the
+    projection. With ``project=False`` the input is already planar.
+    Rows with a null coordinate are ignored.
     """
-    pts = points.select(group, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where(
-        F.col("x").isNotNull() & F.col("y").isNotNull()
-    )
-    reduced = pts.mapInPandas(_partial_hulls(group, "x", "y", pts.schema), pts.schema)
-    gathered = reduced.groupBy(group).agg(F.collect_set(F.struct("x", "y")).alias("__pts"))
-    hulled = gathered.select(
-        group, _hull_udf(F.col("__pts.x"), F.col("__pts.y")).alias("__h")
-    )
+    xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
+    pts = points.select(group, xc.alias("x"), yc.alias("y")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    if project:
+        m = G.project_bng(F.col("x"), F.col("y"))
+        pts = pts.select(group, "x", "y", m["x"].alias("mx"), m["y"].alias("my"))
+    else:
+        pts = pts.select(group, "x", "y", F.col("x").alias("mx"), F.col("y").alias("my"))
+    reduced = pts.mapInPandas(_partial_hulls(group), pts.schema)
+    gathered = reduced.groupBy(group).agg(F.collect_set(F.struct("x", "y", "mx", "my")).alias("__pts"))
+    hulled = gathered.select(group, _hull_udf(F.col("__pts.x"), F.col("__pts.y"), F.col("__pts.mx"), F.col("__pts.my")).alias("__h"))
     hull = F.arrays_zip(F.col("__h.xs").alias("x"), F.col("__h.ys").alias("y"))
-    return hulled.select(group, hull.alias("hull")).withColumn("geometry_type", geometry_type("hull"))
+    hull_m = F.arrays_zip(F.col("__h.mxs").alias("x"), F.col("__h.mys").alias("y"))
+    return hulled.select(group, hull.alias("hull"), hull_m.alias("hull_m")).withColumn("geometry_type", geometry_type("hull"))
 
 
 def geometry_type(hull: Column | str) -> Column:
@@ -152,11 +170,12 @@ def project_hull(hull: Column | str) -> Column:
 
 def hull_measures(hulls: DataFrame, hull: str = "hull") -> DataFrame:
     """Adds length_m (line length / polygon perimeter), area_m2, coordinate
-    count (closing vertex included) and the centroid in degrees (GE4-GE8)."""
-    proj = project_hull(hull)
+    count (closing vertex included), the centroid in metres (centroid_m)
+    and in degrees (centroid) (GE4-GE8)."""
     kind = F.col("geometry_type")
     n = F.size(F.col(hull))
-    with_proj = hulls.withColumn("__m", proj)
+    metres = f"{hull}_m"
+    with_proj = hulls.withColumn("__m", F.col(metres) if metres in hulls.columns else project_hull(hull))
     m = F.col("__m")
     length = F.when(kind == "Point", F.lit(0.0)).when(kind == "LineString", G.path_length(m, False)).otherwise(
         G.path_length(m, True)
@@ -175,7 +194,7 @@ def hull_measures(hulls: DataFrame, hull: str = "hull") -> DataFrame:
     )
     # a single point is its own centroid: no projection round trip
     centroid = F.when(kind == "Point", F.col(hull)[0]).otherwise(G.unproject_point(F.col("__c")))
-    return out.withColumn("centroid", centroid).drop("__m", "__c")
+    return out.withColumn("centroid", centroid).withColumnRenamed("__c", "centroid_m").drop("__m")
 
 
 def plausible_predicate(strict_lines: bool = False) -> Column:

@@ -28,12 +28,17 @@ def late_rows(df: DataFrame, file_month: str = "file_month", column: str = TS) -
     return df.where(month_start(column) != F.col(file_month))
 
 
-def insert_lag_profile(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Percentiles of insert_time - reading time in hours (IN7)."""
-    lag_h = F.timestamp_diff("SECOND", F.col(TS), F.col("insert_time")) / 3600.0
+def insert_lag_profile(df: DataFrame, by: list[str] | None = None, exact: bool = False) -> DataFrame:
+    """How long after the half hour a reading was inserted, in seconds (IN7):
+    median, 90th percentile and maximum per group. ``exact`` uses the exact
+    (linear-interpolated) percentile; the default approximate one keeps a
+    bounded sketch per group, safe for a group holding most rows."""
+    lag = F.timestamp_diff("SECOND", F.col(TS), F.col("insert_time")).cast("double")
+    pct = F.percentile if exact else F.percentile_approx
     return df.groupBy(*(by or [])).agg(
-        F.percentile_approx(lag_h, [0.5, 0.9, 0.99]).alias("lag_hours_p50_p90_p99"),
-        F.max(lag_h).alias("lag_hours_max"),
+        pct(lag, F.lit(0.5)).alias("lag_p50_s"),
+        pct(lag, F.lit(0.9)).alias("lag_p90_s"),
+        F.max(lag).alias("lag_max_s"),
     )
 
 

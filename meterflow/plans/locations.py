@@ -128,9 +128,7 @@ def license_area_locations(
     # test the substation centroid against the areas (the area's distance to a
     # small hull differs from its centroid's by at most the hull's size)
     pts = subs.select(
-        F.col("substation_nrn").alias("point_id"),
-        G.project_point(F.col("centroid"))["x"].alias("x"),
-        G.project_point(F.col("centroid"))["y"].alias("y"),
+        F.col("substation_nrn").alias("point_id"), F.col("centroid_m")["x"].alias("x"), F.col("centroid_m")["y"].alias("y")
     )
     polys = areas.select("polygon_id", H.project_hull("ring").alias("ring"))
     near = SP.within_distance(pts, polys, distance_m, cell=cell_m)

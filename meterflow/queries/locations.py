@@ -94,8 +94,8 @@ def _sentinel(c: str, v: str) -> str:
 
 
 LOC_CTES = f""",
-dir_typed AS (SELECT pcd, {_sentinel('lat', '99.999999')} AS lat, {_sentinel('long', '0.000000')} AS long FROM directory),
-model_typed AS (SELECT full_nrn, CAST(trim(latitude) AS DOUBLE) AS latitude, CAST(trim(longitude) AS DOUBLE) AS longitude, file_row FROM model),
+dir_typed AS (SELECT pcd, {_sentinel('lat', '99.999999')} AS lat, {_sentinel('long', '0.000000')} AS long, nation FROM directory),
+model_typed AS (SELECT full_nrn, CAST(trim(latitude) AS DOUBLE) AS latitude, CAST(trim(longitude) AS DOUBLE) AS longitude, file_row, type FROM model),
 map_std AS (SELECT *, {_std('postcode')} AS standardised_postcode FROM mapping),
 map_valid AS (SELECT standardised_postcode, {_nrn_parts('primary_substation_id', 'hv_feeder_id', 'secondary_substation_id')} AS substation_nrn
   FROM map_std WHERE standardised_postcode IS NOT NULL AND length(standardised_postcode) >= 5),
@@ -175,7 +175,7 @@ def nrn_underscored(spark, sf):
     return m.select("dataset_id", C.nrn_underscored("primary_substation_id", "hv_feeder_id", "secondary_substation_id").alias("nrn"))
 
 
-@register("dedupe_model", "WN2, EX3", loc_with() + "SELECT full_nrn, latitude, longitude, file_row FROM model_first")
+@register("dedupe_model", "WN2, EX3", loc_with() + "SELECT full_nrn, latitude, longitude, file_row, type FROM model_first")
 def dedupe_model(spark, sf):
     return W.dedupe_model(model(spark, sf))
 
@@ -359,15 +359,38 @@ def model_locations(spark, sf):
     return L.substation_locations_from_model(model(spark, sf), shift_grid(spark), GRID_SPEC)
 
 
-def _nation_areas(spark, sf) -> DataFrame:
-    """Areas: hull of each nation's suppliers' directory points."""
+def _nation_hulls(spark, sf) -> DataFrame:
+    """Areas: hull (lon/lat) of each nation's suppliers' directory points."""
     d = R.postcode_directory_from_text(TD.view(spark, sf, "directory"), ["nation", "lat", "long"]).dropna()
     pts = d.select(F.col("nation").alias("polygon_id"), F.col("long").alias("x"), F.col("lat").alias("y"))
-    hulls = H.convex_hulls(pts, "polygon_id")
-    return hulls.select("polygon_id", H.project_hull("hull").alias("ring"))
+    return H.convex_hulls(pts, "polygon_id")
+
+
+def _nation_areas(spark, sf) -> DataFrame:
+    """The same areas with rings in BNG metres."""
+    return _nation_hulls(spark, sf).select("polygon_id", H.project_hull("hull").alias("ring"))
+
+
+_WITHIN_SQL = (
+    loc_with().rstrip("\n")
+    + sqlgeo.hull_sql("(SELECT nation, long AS x, lat AS y FROM dir_typed WHERE lat IS NOT NULL AND long IS NOT NULL)", "nation", "na")
+    + f""", pts AS (SELECT file_row AS point_id, {", ".join(sqlgeo.project_sql("longitude", "latitude", "q"))}
+  FROM model_first WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+seg AS (SELECT p.point_id, e.k AS polygon_id, e.ae, e.an, e.be - e.ae AS dx, e.bn - e.an AS dy, e.be, e.bn, p.q_e AS px, p.q_n AS py FROM pts p, na_pe e),
+segt AS (SELECT *, CASE WHEN dx * dx + dy * dy = 0 THEN 0.0 ELSE ((px - ae) * dx + (py - an) * dy) / (dx * dx + dy * dy) END AS t0 FROM seg),
+segd AS (SELECT point_id, polygon_id,
+  (px - (ae + least(greatest(t0, 0.0), 1.0) * dx)) * (px - (ae + least(greatest(t0, 0.0), 1.0) * dx))
+  + (py - (an + least(greatest(t0, 0.0), 1.0) * dy)) * (py - (an + least(greatest(t0, 0.0), 1.0) * dy)) AS d2,
+  CASE WHEN ((an > py) <> (bn > py)) AND px < ae + (py - an) * (be - ae) / (bn - an) THEN 1 ELSE 0 END AS cross1 FROM segt),
+poly AS (SELECT s.point_id, s.polygon_id, CASE WHEN n.nedges >= 3 AND sum(s.cross1) % 2 = 1 THEN 0.0 ELSE sqrt(min(s.d2)) END AS distance_m
+  FROM segd s JOIN na_n n ON s.polygon_id = n.k GROUP BY s.point_id, s.polygon_id, n.nedges),
+single AS (SELECT p.point_id, v.k AS polygon_id, sqrt((p.q_e - v.v_e) * (p.q_e - v.v_e) + (p.q_n - v.v_n) * (p.q_n - v.v_n)) AS distance_m
+  FROM pts p, na_v v JOIN na_n n ON v.k = n.k WHERE n.npts = 1)
+SELECT point_id, polygon_id, round(distance_m, 3) AS distance_m FROM (SELECT * FROM poly UNION ALL SELECT * FROM single) WHERE distance_m <= 1000.0"""
+)
 
 
-@register("within_distance", "JN5 (grid-cell equi-join, exact distance; oracle-free: brute force checked in tests)")
+@register("within_distance", "JN5 (grid-cell equi-join, exact distance)", _WITHIN_SQL)
 def within_distance_q(spark, sf):
     first = FI.located(W.dedupe_model(model(spark, sf)), "latitude", "longitude")
     p = G.project_point(C.point("longitude", "latitude"))
@@ -392,3 +415,40 @@ SELECT count(*) AS n_ids, count(*) FILTER (WHERE in_a) AS n_a, count(*) FILTER (
 def coverage_sets(spark, sf):
     ids = TD.ssen_readings(spark, sf).select(C.substation_nrn_from_dataset("dataset_id").alias("substation_nrn"))
     return L.location_coverage(ids, TD.view(spark, sf, "lookup_postcodes"), TD.view(spark, sf, "lookup_model"))
+
+
+@register(
+    "not_primary",
+    "FI10",
+    loc_with() + "SELECT full_nrn, file_row, type FROM model_typed WHERE type IS DISTINCT FROM 'Primary'",
+)
+def not_primary(spark, sf):
+    return FI.not_primary(model(spark, sf), "type").select("full_nrn", "file_row", "type")
+
+
+@register(
+    "id_set_ops",
+    "SE4, SE5",
+    loc_with()
+    + f""", a AS (SELECT DISTINCT {_nrn_parts('primary_substation_id', 'hv_feeder_id', 'secondary_substation_id')} AS k FROM mapping),
+b AS (SELECT DISTINCT {_nrn_full('full_nrn')} AS k FROM model)
+SELECT 'both' AS op, k AS substation_nrn FROM (SELECT k FROM a INTERSECT SELECT k FROM b)
+UNION ALL SELECT 'mapping_only', k FROM (SELECT k FROM a EXCEPT SELECT k FROM b)
+UNION ALL SELECT 'model_only', k FROM (SELECT k FROM b EXCEPT SELECT k FROM a)""",
+)
+def id_set_ops(spark, sf):
+    from ..operators import setops as SE
+
+    a = mapping(spark, sf).select(C.nrn_from_parts("primary_substation_id", "hv_feeder_id", "secondary_substation_id").alias("substation_nrn"))
+    b = model(spark, sf).select(C.nrn_from_full("full_nrn").alias("substation_nrn"))
+    both = SE.intersect_ids(a, b).select(F.lit("both").alias("op"), "substation_nrn")
+    a_only = SE.difference_ids(a, b, "substation_nrn").select(F.lit("mapping_only").alias("op"), "substation_nrn")
+    b_only = SE.difference_ids(b, a, "substation_nrn").select(F.lit("model_only").alias("op"), "substation_nrn")
+    return both.unionByName(a_only).unionByName(b_only)
+
+
+@register("license_area_locations", "GE14 (ADR form; rows-only check)")
+def license_area_locations(spark, sf):
+    lonlat = _nation_hulls(spark, sf).select("polygon_id", F.col("hull").alias("ring"))
+    out = L.license_area_locations(mapping(spark, sf), directory(spark, sf), lonlat, distance_m=1000.0, cell_m=10_000.0)
+    return out.select("substation_nrn", "geometry_type", F.round("length_m", 3).alias("length_m"))

@@ -486,3 +486,64 @@ def sample_feeders(spark, sf):
     from ..plans.analytics import feeder_extract
 
     return feeder_extract(published(spark, sf), n=5, seed=42)
+
+
+@register(
+    "insert_lag",
+    "IN7 (exact percentiles)",
+    TD.duck_with("staging", "lookup_postcodes", "lookup_model")
+    + """, l AS (SELECT dno_alias, CAST(date_diff('second', data_collection_log_timestamp, insert_time) AS DOUBLE) AS lag FROM staging)
+SELECT dno_alias, quantile_cont(lag, 0.5) AS lag_p50_s, quantile_cont(lag, 0.9) AS lag_p90_s, max(lag) AS lag_max_s FROM l GROUP BY 1""",
+)
+def insert_lag(spark, sf):
+    from ..operators.quality import insert_lag_profile
+
+    return insert_lag_profile(staging(spark, sf), by=["dno_alias"], exact=True)
+
+
+_BAD = (
+    "(aggregated_device_count_active IS NOT NULL AND TRY_CAST(aggregated_device_count_active AS DOUBLE) IS NULL) "
+    "OR (total_consumption_active_import IS NOT NULL AND TRY_CAST(total_consumption_active_import AS DOUBLE) IS NULL) "
+    + " ".join(f"OR ({c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL)" for c in S.TIME_COLUMNS)
+)
+
+
+@register(
+    "quarantine_bad_files",
+    "SK6, JB4",
+    TD.duck_with("raw_readings_dirty") + f"SELECT source_file, count(*) AS bad_rows FROM raw_readings_dirty WHERE {_BAD} GROUP BY 1",
+)
+def quarantine_bad_files(spark, sf):
+    from ..operators.quality import quarantine_bad_files as qbf
+
+    return qbf(TD.view(spark, sf, "raw_readings_dirty"))[1]
+
+
+@register(
+    "quarantine_good_rows",
+    "SK6, JB4, AG1",
+    TD.duck_with("raw_readings_dirty")
+    + f"SELECT source_file, count(*) AS row_count, count(DISTINCT dataset_id) AS nunique_feeders FROM raw_readings_dirty "
+    f"WHERE source_file NOT IN (SELECT source_file FROM raw_readings_dirty WHERE {_BAD}) GROUP BY 1",
+)
+def quarantine_good_rows(spark, sf):
+    from ..operators.quality import quarantine_bad_files as qbf
+
+    good = qbf(TD.view(spark, sf, "raw_readings_dirty"))[0]
+    return good.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("dataset_id").alias("nunique_feeders"))
+
+
+@register(
+    "month_domain",
+    "PR22",
+    TD.duck_with("readings")
+    + "SELECT CAST(g.m AS DATE) AS month FROM (SELECT date_trunc('month', min(data_collection_log_timestamp)) AS lo, "
+    "date_trunc('month', max(data_collection_log_timestamp)) AS hi FROM readings) b, generate_series(b.lo, b.hi, INTERVAL 1 MONTH) AS g(m)",
+)
+def month_domain(spark, sf):
+    from ..functions.timefns import month_start
+
+    rd = TD.readings(spark, sf)
+    lo = rd.select(F.min(month_start(TS))).scalar()
+    hi = rd.select(F.max(month_start(TS))).scalar()
+    return spark.range(1).select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month"))

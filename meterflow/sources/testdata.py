@@ -116,6 +116,7 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("latitude", "CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE '57.' || lpad(CAST(p_partkey % 504 * 1234 % 1000000 AS STRING), 6, '0') END"),
             ("longitude", "'-2.' || lpad(CAST(p_partkey % 504 * 4321 % 1000000 AS STRING), 6, '0')"),
             ("file_row", "p_partkey"),
+            ("type", "CASE WHEN p_partkey % 9 = 0 THEN 'Primary' WHEN p_partkey % 13 = 0 THEN NULL ELSE 'Secondary' END"),
         ],
     ),
     "ssen_listing": (
@@ -136,6 +137,17 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     ),
 }
 
+# raw readings as a landed file set with a few unreadable values: one file per
+# day, and consumption text that is not a number on some rows
+VIEWS["raw_readings_dirty"] = (
+    "events",
+    [(c, e) for c, e in VIEWS["raw_readings"][1] if c != "total_consumption_active_import"]
+    + [
+        ("total_consumption_active_import", "CASE WHEN event_id % 997 = 5 THEN 'n/a' ELSE " + dict(VIEWS["raw_readings"][1])["total_consumption_active_import"] + " END"),
+        ("source_file", "'raw/' || CAST(CAST(ts AS DATE) AS STRING) || '.csv'"),
+    ],
+)
+
 POINT_EXPRS = {
     # the embedding's first two dimensions as lon/lat offsets on a 1/65536-degree
     # lattice (exact in binary) around 57.125 N, 2.25 W; 150 groups by id
