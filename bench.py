@@ -45,7 +45,7 @@ OPTIONAL = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(f"local[{cpus}]", app_name="meterflow-bench", shuffle_partitions=int(cpus) * 2,
+    spark = build_session(f"local[{cpus}]", app_name="meterflow-bench", shuffle_partitions=int(cpus),
                           conf={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in HEADLINE + OPTIONAL if n in REGISTRY]

@@ -104,24 +104,30 @@ def feeder_summary(df: DataFrame, feeder: str = "lv_feeder_unique_id") -> DataFr
     )
 
 
-def daily_consumption(df: DataFrame, feeder: str, value: str, ts: str = TS) -> DataFrame:
+def daily_consumption(df: DataFrame, feeder: str, value: str, ts: str = TS, materialize: bool = True) -> DataFrame:
     """Half hours resampled to UTC days per feeder; every day between the
     overall first and last day appears, empty days as 0 (AG7).
 
-    The overall first/last day are scalar subqueries of the same plan (no
-    driver round trip, no second run of the input); the day spine is built
-    per feeder by ``explode(sequence())`` and merged with the sums by a
-    union + re-aggregation instead of a join, so only one shuffle on
-    (feeder, day) carries data.
+    The per-(feeder, day) sums are the only data the rest needs, and they are
+    small (feeders x days). With ``materialize`` they are written once as a
+    table in the shared checkpoint folder (``spark.checkpoint.dir``) and read
+    back, so the input pipeline runs exactly once; the bounds,
+    the feeder list and the zero spine all come from the sums. The spine is
+    built per feeder by ``explode(sequence())`` and merged by a union and
+    re-aggregation instead of a join.
     """
     day = floor_day(ts)
     sums = df.groupBy(F.col(feeder).alias(feeder), day.alias("day")).agg(F.sum(value).alias(value))
-    lo = df.select(F.min(day)).scalar()
-    hi = df.select(F.max(day)).scalar()
-    feeders = df.select(feeder).distinct()
-    spine = feeders.select(
+    if materialize:
+        from ..session import scratch_table
+
+        sums = scratch_table(sums, "daily-sums")
+    bounds = sums.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+    if bounds is None or bounds["lo"] is None:
+        return sums
+    spine = sums.select(feeder).distinct().select(
         feeder,
-        F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("day"),
+        F.explode(F.sequence(F.lit(bounds["lo"]), F.lit(bounds["hi"]), F.expr("INTERVAL 1 DAY"))).alias("day"),
         F.lit(0).cast(sums.schema[value].dataType).alias(value),
     )
     return sums.unionByName(spine).groupBy(feeder, "day").agg(F.sum(value).alias(value))

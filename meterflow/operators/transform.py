@@ -121,3 +121,30 @@ def month_list(spark, start: str, end: str) -> DataFrame:
             F.sequence(F.lit(start).cast("date"), F.trunc(F.lit(end).cast("date"), "MM"), F.expr("INTERVAL 1 MONTH"))
         ).alias("month")
     )
+
+
+def stage_mixed_feed(readings: DataFrame, lookup: DataFrame, located_alias: str = "SSEN") -> DataFrame:
+    """Staging rules for a feed carrying several DNOs' rows, in one pass.
+
+    Rows of ``located_alias`` take their location from the lookup (JN2,
+    PR5, PR6); every other row gets the NGED clean-up (PR3, PR4). The lookup
+    join is restricted to the located rows inside the join condition, so the
+    feed is scanned once and the (small) lookup is joined without shuffling
+    the readings.
+    """
+    alias = F.col("dno_alias")
+    is_located = alias == F.lit(located_alias)
+    lk = lookup.select(F.col("substation_nrn").alias("__nrn"), F.col("substation_geo_location").alias("__loc"))
+    joined = readings.join(lk, (C.substation_nrn_from_dataset("dataset_id") == F.col("__nrn")) & is_located, "left")
+    out = []
+    for c in readings.columns:
+        col = F.col(c)
+        if c == "substation_geo_location":
+            out.append(F.when(is_located, F.col("__loc")).otherwise(C.blank_to_null(col)).alias(c))
+        elif c == "dno_alias":
+            out.append(F.when(is_located, col).otherwise(F.coalesce(C.blank_to_null(col), F.lit(S.NGED_DEFAULT_ALIAS))).alias(c))
+        elif c in S.NGED_BLANK_COLUMNS:
+            out.append(F.when(is_located, col).otherwise(C.blank_to_null(col)).alias(c))
+        else:
+            out.append(col)
+    return joined.select(*out)

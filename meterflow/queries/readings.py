@@ -38,7 +38,8 @@ def ssen_staging(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staging(spark: SparkSession, sf: str) -> DataFrame:
-    return nged_staging(spark, sf).unionByName(ssen_staging(spark, sf))
+    """Both DNOs' staging rows from one scan of the feed."""
+    return T.stage_mixed_feed(TD.readings(spark, sf), merged_lookup(spark, sf))
 
 
 def published(spark: SparkSession, sf: str) -> DataFrame:
