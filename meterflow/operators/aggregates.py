@@ -111,8 +111,8 @@ def daily_consumption(df: DataFrame, feeder: str, value: str, ts: str = TS, mate
     The per-(feeder, day) sums are the only data the rest needs, and they are
     small (feeders x days). With ``materialize`` they are written once as a
     table in the shared checkpoint folder (``spark.checkpoint.dir``) and read
-    back, so the input pipeline runs exactly once; the bounds,
-    the feeder list and the zero spine all come from the sums. The spine is
+    back, so the input pipeline runs exactly once; the bounds (scalar
+    subqueries), the feeder list and the zero spine all come from the sums. The spine is
     built per feeder by ``explode(sequence())`` and merged by a union and
     re-aggregation instead of a join.
     """
@@ -122,12 +122,13 @@ def daily_consumption(df: DataFrame, feeder: str, value: str, ts: str = TS, mate
         from ..session import scratch_table
 
         sums = scratch_table(sums, "daily-sums")
-    bounds = sums.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
-        return sums
+    # bounds as scalar subqueries over the sums: typed like the column (a naive
+    # timestamp stays naive), no driver round trip
+    lo = sums.select(F.min("day")).scalar()
+    hi = sums.select(F.max("day")).scalar()
     spine = sums.select(feeder).distinct().select(
         feeder,
-        F.explode(F.sequence(F.lit(bounds["lo"]), F.lit(bounds["hi"]), F.expr("INTERVAL 1 DAY"))).alias("day"),
+        F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("day"),
         F.lit(0).cast(sums.schema[value].dataType).alias(value),
     )
     return sums.unionByName(spine).groupBy(feeder, "day").agg(F.sum(value).alias(value))

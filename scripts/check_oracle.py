@@ -57,7 +57,20 @@ def main() -> int:
     args = sys.argv[1:]
     sf = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     names = [a for a in args if not os.path.isdir(a)] or list(REGISTRY)
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("VANILLA"):
+        # a plain session, as a caller might bring: no engine settings applied
+        from pyspark.sql import SparkSession
+
+        spark = (
+            SparkSession.builder.master("local[8]")
+            .config("spark.sql.shuffle.partitions", "8")
+            .config("spark.ui.enabled", "false")
+            .config("spark.sql.session.timeZone", os.environ.get("VANILLA_TZ", "America/New_York"))
+            .config("spark.sql.ansi.enabled", os.environ.get("VANILLA_ANSI", "false"))
+            .getOrCreate()
+        )
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
