@@ -32,8 +32,20 @@ def located(df: DataFrame, lat: str = "lat", lng: str = "long") -> DataFrame:
     return df.where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
 
 
+def _as_text(value) -> str:
+    """Timestamps travel as ISO text (aware ones in UTC), so the cast to the
+    column's type never depends on the Python process's local zone."""
+    if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return value.isoformat(sep=" ")
+    if isinstance(value, dt.date):
+        return value.isoformat()
+    return str(value)
+
+
 def _ts_literal(value: str | dt.datetime | dt.date, like: DataFrame | None = None, column: str = TS) -> Column:
-    lit = F.lit(value if isinstance(value, (dt.datetime, dt.date)) else str(value))
+    lit = F.lit(_as_text(value))
     if like is not None:
         return lit.cast(like.schema[column].dataType)
     return lit.cast("timestamp")
@@ -95,8 +107,10 @@ def dnf_predicate(filters, df: DataFrame | None = None) -> Column:
         if df is not None and not isinstance(value, (list, tuple, set)):
             typ = df.schema[name].dataType.simpleString() if name in df.columns else None
             if typ in ("timestamp", "timestamp_ntz", "date"):
-                value = F.lit(str(value) if not isinstance(value, (dt.datetime, dt.date)) else value).cast(typ)
-        return F.coalesce(_OPS[op](col, value), F.lit(False))
+                value = F.lit(_as_text(value)).cast(typ)
+        # no coalesce: a WHERE drops null results anyway (Kleene logic, as Arrow
+        # filters), and a bare comparison can be pushed into the Parquet scan
+        return _OPS[op](col, value)
 
     return reduce(or_, [reduce(and_, [one(t) for t in clause]) for clause in _clauses(filters)])
 
