@@ -1,11 +1,10 @@
 """Distance join of points to polygons (JN5), in projected metres.
 
-Plan: every polygon's bounding box, grown by the distance, is cut into grid
-cells of side ``cell`` (>= distance); every point falls into one cell. An
-equi-join on the cell id pairs each point only with the polygons whose box
-reaches it (no cross product). Each candidate pair is then decided exactly
-with Column math over the polygon's vertex array: inside by crossing
-parity, else the smallest point-segment distance.
+Everything is an equi-join on a grid key, so no pair of point and polygon
+is formed unless an edge of the polygon comes near the point or crosses its
+horizontal band; the work is proportional to (points x nearby edges), never
+to (points x polygons x ring size). ``point_polygon_distance`` keeps the
+whole-ring formula for single pairs.
 """
 
 from __future__ import annotations
@@ -54,6 +53,24 @@ def point_polygon_distance(ring: Column, px: Column, py: Column) -> Column:
     return F.when(inside, F.lit(0.0)).otherwise(F.sqrt(min_d2))
 
 
+def polygon_edges(polygons: DataFrame, polygon_key: str = "polygon_id") -> DataFrame:
+    """One row per ring edge (a 1-vertex ring gives one degenerate edge)."""
+    n = F.size("ring")
+    idx = F.sequence(F.lit(0), n - 1)
+    edges = F.transform(
+        idx,
+        lambda i: F.struct(
+            F.element_at("ring", i + 1)["x"].alias("ax"),
+            F.element_at("ring", i + 1)["y"].alias("ay"),
+            F.element_at("ring", ((i + 1) % n) + 1)["x"].alias("bx"),
+            F.element_at("ring", ((i + 1) % n) + 1)["y"].alias("by"),
+        ),
+    )
+    return polygons.select(polygon_key, (n >= 3).alias("is_area"), F.explode(edges).alias("e")).select(
+        polygon_key, "is_area", "e.ax", "e.ay", "e.bx", "e.by"
+    )
+
+
 def within_distance_pairs(
     points: DataFrame,
     polygons: DataFrame,
@@ -66,28 +83,60 @@ def within_distance_pairs(
     """(point, polygon, distance) for every pair closer than ``distance``.
 
     ``points``: point_key, x, y (metres). ``polygons``: polygon_key, ring
-    array<struct<x,y>> in metres (a 1- or 2-vertex ring is a point or a
-    segment). ``strict`` uses < instead of <=.
+    array<struct<x,y>> in metres without the closing vertex (a 1- or
+    2-vertex ring is a point or a segment). ``strict`` uses < for the cut.
+
+    Two equi-joins, no ring evaluated whole per candidate:
+    near  - each edge is exploded into the grid cells (side ``cell`` >=
+            distance) its bounding box grown by the distance covers; points
+            meet only the edges of their cell; the minimum over those edges is
+            the true distance whenever it is within the cut.
+    inside - edges are exploded into the horizontal bands (height ``cell``)
+            they span; a point meets only the edges of its band and counts
+            those crossing the ray to its right (odd = inside).
     """
     s = float(cell or max(distance, 1.0))
-    g = polygons.select(
+    edges = polygon_edges(polygons, polygon_key)
+    pts = points.select(point_key, "x", "y")
+
+    # near: point-segment distance against the edges of the point's cell
+    near_cells = edges.select(
         polygon_key,
-        "ring",
-        F.array_min(F.transform("ring", lambda p: p["x"])).alias("__x0"),
-        F.array_max(F.transform("ring", lambda p: p["x"])).alias("__x1"),
-        F.array_min(F.transform("ring", lambda p: p["y"])).alias("__y0"),
-        F.array_max(F.transform("ring", lambda p: p["y"])).alias("__y1"),
+        "ax", "ay", "bx", "by",
+        F.explode(F.sequence(F.floor((F.least("ax", "bx") - distance) / s), F.floor((F.greatest("ax", "bx") + distance) / s))).alias("cx"),
+        F.sequence(F.floor((F.least("ay", "by") - distance) / s), F.floor((F.greatest("ay", "by") + distance) / s)).alias("__ys"),
+    ).select(polygon_key, "ax", "ay", "bx", "by", "cx", F.explode("__ys").alias("cy"))
+    pc = pts.select(point_key, "x", "y", F.floor(F.col("x") / s).alias("cx"), F.floor(F.col("y") / s).alias("cy"))
+    cand = pc.join(near_cells, ["cx", "cy"])
+    px, py = F.col("x"), F.col("y")
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    len2 = dx * dx + dy * dy
+    t = F.when(len2 == 0, F.lit(0.0)).otherwise(((px - F.col("ax")) * dx + (py - F.col("ay")) * dy) / len2)
+    t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
+    qx, qy = F.col("ax") + t * dx, F.col("ay") + t * dy
+    d2 = (px - qx) * (px - qx) + (py - qy) * (py - qy)
+    near = cand.groupBy(point_key, polygon_key).agg(F.sqrt(F.min(d2)).alias("near_m"))
+
+    # inside: crossing parity against the edges of the point's band
+    bands = edges.where("is_area AND ay <> by").select(
+        polygon_key, "ax", "ay", "bx", "by",
+        F.explode(F.sequence(F.floor(F.least("ay", "by") / s), F.floor(F.greatest("ay", "by") / s))).alias("band"),
     )
-    cells = g.select(
-        polygon_key,
-        F.explode(F.sequence(F.floor((F.col("__x0") - distance) / s), F.floor((F.col("__x1") + distance) / s))).alias("cx"),
-        F.sequence(F.floor((F.col("__y0") - distance) / s), F.floor((F.col("__y1") + distance) / s)).alias("__ys"),
-    ).select(polygon_key, "cx", F.explode("__ys").alias("cy"))
-    pts = points.select(point_key, "x", "y", F.floor(F.col("x") / s).alias("cx"), F.floor(F.col("y") / s).alias("cy"))
-    cand = pts.join(cells, ["cx", "cy"]).drop("cx", "cy")
-    with_ring = cand.join(g.select(polygon_key, "ring"), polygon_key)
-    dist = point_polygon_distance(F.col("ring"), F.col("x"), F.col("y"))
-    out = with_ring.select(point_key, polygon_key, dist.alias("distance_m"))
+    pb = pts.select(point_key, "x", "y", F.floor(F.col("y") / s).alias("band"))
+    straddles = (F.col("ay") > py) != (F.col("by") > py)
+    x_at = F.col("ax") + (py - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))
+    crossing = F.when(straddles & (px < x_at), F.lit(1)).otherwise(F.lit(0))
+    inside = (
+        pb.join(bands, "band")
+        .groupBy(point_key, polygon_key)
+        .agg(F.sum(crossing).alias("__c"))
+        .where((F.col("__c") % 2) == 1)
+        .select(point_key, polygon_key, F.lit(0.0).alias("inside_m"))
+    )
+
+    both = near.join(inside, [point_key, polygon_key], "full")
+    dist = F.when(F.col("inside_m").isNotNull(), F.lit(0.0)).otherwise(F.col("near_m"))
+    out = both.select(point_key, polygon_key, dist.alias("distance_m"))
     cmp = (F.col("distance_m") < distance) if strict else (F.col("distance_m") <= distance)
     return out.where(cmp)
 
