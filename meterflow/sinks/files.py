@@ -13,19 +13,24 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.timefns import month_start
-from ..operators.ordering import range_sorted_for_write
+from ..operators.ordering import day_sorted_for_write, range_sorted_for_write
 
 
-def write_staging(df: DataFrame, root: str, dno: str, partitions: int | None = None) -> None:
+def write_staging(df: DataFrame, root: str, dno: str, partitions: int | None = None, order: str = "daily") -> None:
     """Sorted staging months under ``root/dno=<DNO>/month=<YYYY-MM-01>/`` (SK1, SK5).
 
     A ``month`` column set by the caller (the file's month) is kept; otherwise
-    the reading's month is used.
+    the reading's month is used. ``order="daily"`` (default) writes sorted
+    one-day files in one pass; ``"global"`` range-sorts the whole month
+    (file names follow the order) at the cost of a sampling pass.
     """
     out = df.withColumn("dno", F.lit(dno.upper()))
     if "month" not in out.columns:
         out = out.withColumn("month", month_start("data_collection_log_timestamp"))
-    ordered = range_sorted_for_write(out, S.STAGING_SORT, partition_col="month", n=partitions)
+    if order == "global":
+        ordered = range_sorted_for_write(out, S.STAGING_SORT, partition_col="month", n=partitions)
+    else:
+        ordered = day_sorted_for_write(out, S.STAGING_SORT)
     (
         ordered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -34,14 +39,21 @@ def write_staging(df: DataFrame, root: str, dno: str, partitions: int | None = N
     )
 
 
-def write_published(df: DataFrame, root: str, partitions: int | None = None, geoparquet: bool = True) -> None:
+def write_published(
+    df: DataFrame, root: str, partitions: int | None = None, geoparquet: bool = True, order: str = "global"
+) -> None:
     """The published table, sorted, one folder per month (SK2).
 
-    With ``geoparquet`` the files carry the ``geo`` footer (Python Data
-    Source writer); otherwise Spark's writer with zstd is used.
+    ``order="global"`` (default, as published) range-sorts each month so file
+    names follow the order; ``"daily"`` writes sorted one-day files in one
+    pass. With ``geoparquet`` the files carry the ``geo`` footer (Python
+    Data Source writer); otherwise Spark's writer with zstd is used.
     """
     out = df.withColumn("month", month_start("data_collection_log_timestamp"))
-    ordered = range_sorted_for_write(out, S.PUBLISHED_SORT, partition_col="month", n=partitions)
+    if order == "global":
+        ordered = range_sorted_for_write(out, S.PUBLISHED_SORT, partition_col="month", n=partitions)
+    else:
+        ordered = day_sorted_for_write(out, S.PUBLISHED_SORT)
     if geoparquet:
         from .geoparquet import register
 
