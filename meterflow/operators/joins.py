@@ -28,13 +28,22 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
 
 
 def merged_location_lookup(postcode_lookup: DataFrame, model_lookup: DataFrame) -> DataFrame:
-    """Full outer join on substation_nrn; the model location wins (JN1)."""
-    a = postcode_lookup.select("substation_nrn", F.col("substation_geo_location").alias("loc_postcodes"))
-    b = model_lookup.select("substation_nrn", F.col("substation_geo_location").alias("loc_model"))
-    return a.join(b, "substation_nrn", "full").select(
-        "substation_nrn",
-        F.coalesce(F.col("loc_model"), F.col("loc_postcodes")).alias("substation_geo_location"),
-    )
+    """Every substation of either lookup; the model location wins, the
+    postcode one fills in (JN1: full outer join + coalesce).
+
+    Written as a union and one aggregate: ``min_by(location, rank)`` with a
+    non-null model location first, then a non-null postcode location, else
+    null. Same result as the full outer join with one shuffle (combined
+    map-side) instead of two shuffles and two sorts. Each lookup has one row
+    per key.
+    """
+    loc = F.col("substation_geo_location")
+
+    def ranked(df: DataFrame, rank: int) -> DataFrame:
+        return df.select("substation_nrn", loc, F.when(loc.isNull(), F.lit(3)).otherwise(F.lit(rank)).alias("__rank"))
+
+    both = ranked(model_lookup, 1).unionByName(ranked(postcode_lookup, 2))
+    return both.groupBy("substation_nrn").agg(F.min_by(loc, F.col("__rank")).alias("substation_geo_location"))
 
 
 def assert_unique(df: DataFrame, key: str) -> DataFrame:
