@@ -59,12 +59,17 @@ def build_ssen_months(
     staging_root: str,
     months: list[str],
     min_partitions: int | None = None,
+    check_lookup: bool = True,
 ) -> MonthBuild:
     """SSEN daily files of ``months`` -> located staging months (JB1).
 
     SC1 (+ SC13: absent days skipped), PR5 + JN2 + PR6 with the merged lookup
-    (JN1), SO1 + SK1; AG1 stats per month by dataset id.
+    (JN1), SO1 + SK1; AG1 stats per month by dataset id. ``check_lookup``
+    first proves the lookup has one row per substation (EX2), since a repeated
+    key would silently double readings.
     """
+    if check_lookup:
+        J.assert_unique(lookup, "substation_nrn")
     patterns = existing_paths(spark, [f"{raw_dir.rstrip('/')}/{m[:7]}-*.csv*" for m in months])
     if not patterns:
         return MonthBuild(months, None)

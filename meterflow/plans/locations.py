@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
-from ..functions import geo as G
 from ..operators import filters as FI
 from ..operators import hull as H
 from ..operators import joins as J

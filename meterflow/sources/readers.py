@@ -8,13 +8,10 @@ with ``min_partitions``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import standardise_postcode
 
 
 def _csv(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
@@ -181,10 +178,3 @@ def read_readings(
         df = df.select(*columns)
     return df
 
-
-def standardised_postcodes(df: DataFrame, column: str = "postcode") -> DataFrame:
-    return df.withColumn("standardised_postcode", standardise_postcode(column))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

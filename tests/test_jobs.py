@@ -183,3 +183,19 @@ def test_read_readings_pushes_filters_and_prunes_months(spark, built):
     assert "dataset_id" not in scan.split("ReadSchema:")[1].split("\n")[0]  # unused columns pruned
     rows = df.collect()
     assert len(rows) == 6  # NGED rows at 53.18 N, -0.64 E (3 substations x 2 feeders, blank one has no point)
+
+
+def test_lookup_join_is_broadcast_and_guarded(spark, tmp_path):
+    from meterflow.sinks import files as SINK2
+    from meterflow.sources import readers as R
+
+    lk = lookup(spark)
+    SINK2.write_location_lookup(lk, str(tmp_path / "lookup"))
+    ssen_daily_files(str(tmp_path / "raw"), 2024, 2, days=[1])
+    readings = R.read_daily_readings(spark, str(tmp_path / "raw"))
+    joined = J.attach_locations(readings, R.read_location_lookup(spark, str(tmp_path / "lookup")))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # readings are not shuffled
+    dup = lk.unionByName(lk)
+    with pytest.raises(ValueError, match="not unique"):
+        JB.build_ssen_months(spark, str(tmp_path / "raw"), dup, str(tmp_path / "st"), ["2024-02-01"])
