@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,12 +104,25 @@ def build_nged_months(
     raw = R._csv(spark, patterns).withColumn("source_file", F.col("_metadata.file_path"))
     typed = R.canonical_columns(R.rename_nged(raw), keep=["source_file"])
     cleaned = T.clean_nged(typed).withColumn("month", C.month_from_nged_url("source_file")).drop("source_file")
-    stats = A.partition_stats(cleaned, "NGED", by=["month"])
-    inside = cleaned.where(month_start(TS) == F.col("month"))
-    outside = cleaned.where(~(month_start(TS) == F.col("month")) | F.col(TS).isNull()).groupBy("month").agg(
-        F.count(F.lit(1)).alias("rows_outside_month")
+    # the part files are parsed once: the write fills a disk-only cache, and the
+    # stats taken before the month filter (as published) read from it; lost
+    # blocks are recomputed from the files
+    cleaned = cleaned.persist(StorageLevel.DISK_ONLY)
+    try:
+        inside = cleaned.where(month_start(TS) == F.col("month"))
+        SINK.write_staging(inside, staging_root, "NGED")
+        in_month = month_start(TS) == F.col("month")
+        per_month = (
+            A.partition_stats(cleaned, "NGED", by=["month"])
+            .join(cleaned.groupBy("month").agg(F.count_if(~in_month | F.col(TS).isNull()).alias("rows_outside_month")), "month")
+            .collect()
+        )  # one row per month built
+    finally:
+        cleaned.unpersist()
+    stats = spark.createDataFrame([(r.month, r.row_count, r.nunique_feeders) for r in per_month], "month date, row_count long, nunique_feeders long")
+    outside = spark.createDataFrame(
+        [(r.month, r.rows_outside_month) for r in per_month if r.rows_outside_month], "month date, rows_outside_month long"
     )
-    SINK.write_staging(inside, staging_root, "NGED")
     return MonthBuild(months, stats, outside)
 
 
