@@ -5,11 +5,12 @@ so this sink writes each task's Arrow batches with ``pyarrow.parquet``:
 zstd level 9, millisecond UTC timestamps, the point column tagged as a
 geoarrow point, sorting columns recorded, and the ``geo`` metadata.
 
-Layout: ``<root>/month=YYYY-MM-01/part-<task>.parquet``. File names depend
-only on the task's partition id, so a retried task overwrites its own file
-instead of adding a duplicate. ``commit`` then removes, in every month the
-job wrote, the files it did not write (dynamic partition overwrite);
-``abort`` removes what the failed job wrote.
+Layout: ``<root>/month=YYYY-MM-01/part-<task>-<attempt>.parquet``. Every
+task attempt writes its own file names, so a retried or speculative attempt
+never writes over another one. ``commit`` receives the file lists of the
+successful attempts only and removes every other file in the month folders
+the job wrote: earlier months' files (dynamic partition overwrite) and the
+leftovers of failed or losing attempts. ``abort`` removes what was written.
 """
 
 from __future__ import annotations
@@ -114,6 +115,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
 
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx else 0
+        attempt = ctx.attemptNumber() if ctx else 0
         fs, base = _fs(self.root)
         writers: dict = {}
         files = []
@@ -129,7 +131,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
                     if value not in writers:
                         folder = f"{base}/{self.partition_col}={value}"
                         fs.create_dir(folder, recursive=True)
-                        path = f"{folder}/part-{part:05d}.parquet"
+                        path = f"{folder}/part-{part:05d}-{attempt}.parquet"
                         sorting = [pq.SortingColumn(out.schema.get_field_index(c)) for c in self.sort if c in out.schema.names]
                         writers[value] = pq.ParquetWriter(
                             path,
