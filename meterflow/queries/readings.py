@@ -548,3 +548,17 @@ def month_domain(spark, sf):
     lo = rd.select(F.min(month_start(TS))).scalar()
     hi = rd.select(F.max(month_start(TS))).scalar()
     return spark.range(1).select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month"))
+
+
+@register(
+    "new_missing_by_month",
+    "WN3, SE4",
+    TD.duck_with("nged_staging")
+    + """, m AS (SELECT DISTINCT secondary_substation_id, CAST(date_trunc('month', data_collection_log_timestamp) AS DATE) AS month FROM nged_staging WHERE dataset_id IS NULL)
+SELECT secondary_substation_id, month FROM (SELECT *, min(month) OVER (PARTITION BY secondary_substation_id) AS f FROM m) WHERE month = f""",
+)
+def new_missing_by_month(spark, sf):
+    from ..functions.timefns import month_start
+
+    m = nged_staging(spark, sf).where(F.col("dataset_id").isNull()).withColumn("month", month_start(TS))
+    return W.new_missing_by_month(m, month="month")
