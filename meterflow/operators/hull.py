@@ -6,8 +6,11 @@ Plan for ``convex_hulls``:
    points are replaced by their hull vertices inside each Arrow batch. This is
    the map-side combine: a group holding a third of all rows is cut down to a
    handful of vertices per batch before anything is shuffled.
-2. ``groupBy(group)`` collects the remaining candidate vertices (bounded by
-   hull size x batches) and an Arrow ``pandas_udf`` runs the monotone chain.
+2. ``groupBy(group, hash(point) % 256)`` hulls each bucket of candidates
+   (an Arrow ``pandas_udf`` running the monotone chain), so no bucket holds
+   more than its share of a hot group.
+3. ``groupBy(group)`` collects at most 256 partial hulls per group and the
+   same UDF gives the final hull.
 
 The hull is taken in degrees, as the data's lon/lat, then measured in
 British National Grid metres with Column math (no Python).
@@ -130,6 +133,17 @@ def _partial_hulls(group: str):
     return reduce_batches
 
 
+_SALT = 256
+
+
+def _hull_step(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hull the points of each ``keys`` group; one row per hull vertex."""
+    g = df.groupBy(*keys).agg(F.collect_set(F.struct("x", "y", "mx", "my")).alias("__pts"))
+    h = g.select(*keys, _hull_udf(F.col("__pts.x"), F.col("__pts.y"), F.col("__pts.mx"), F.col("__pts.my")).alias("__h"))
+    v = h.select(*keys, F.explode(F.arrays_zip(F.col("__h.xs").alias("x"), F.col("__h.ys").alias("y"), F.col("__h.mxs").alias("mx"), F.col("__h.mys").alias("my"))).alias("v"))
+    return v.select(*[k for k in keys if k != "__salt"], "v.x", "v.y", "v.mx", "v.my")
+
+
 def convex_hulls(points: DataFrame, group: str, x: str = "x", y: str = "y", project: bool = True) -> DataFrame:
     """Hull per group (GE3, AG13): (group, hull, hull_m, geometry_type).
 
@@ -149,7 +163,12 @@ def convex_hulls(points: DataFrame, group: str, x: str = "x", y: str = "y", proj
     else:
         pts = pts.select(group, "x", "y", F.col("x").alias("mx"), F.col("y").alias("my"))
     reduced = pts.mapInPandas(_partial_hulls(group), pts.schema)
-    gathered = reduced.groupBy(group).agg(F.collect_set(F.struct("x", "y", "mx", "my")).alias("__pts"))
+    # middle level: a group's candidates are split over SALT buckets by point
+    # hash and hulled per bucket, so the final task of even the hottest group
+    # sees at most SALT partial hulls, however many batches fed it
+    salted = reduced.withColumn("__salt", F.pmod(F.xxhash64("x", "y"), F.lit(_SALT)))
+    partial = _hull_step(salted, [group, "__salt"])
+    gathered = partial.groupBy(group).agg(F.collect_set(F.struct("x", "y", "mx", "my")).alias("__pts"))
     hulled = gathered.select(group, _hull_udf(F.col("__pts.x"), F.col("__pts.y"), F.col("__pts.mx"), F.col("__pts.my")).alias("__h"))
     hull = F.arrays_zip(F.col("__h.xs").alias("x"), F.col("__h.ys").alias("y"))
     hull_m = F.arrays_zip(F.col("__h.mxs").alias("x"), F.col("__h.mys").alias("y"))
