@@ -126,8 +126,10 @@ def within_distance_pairs(
     straddles = (F.col("ay") > py) != (F.col("by") > py)
     x_at = F.col("ax") + (py - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))
     crossing = F.when(straddles & (px < x_at), F.lit(1)).otherwise(F.lit(0))
+    # an edge entirely left of the point cannot cross the ray to its right
+    right_of = F.greatest(bands["ax"], bands["bx"]) > pb["x"]
     inside = (
-        pb.join(bands, "band")
+        pb.join(bands, (pb["band"] == bands["band"]) & right_of)
         .groupBy(point_key, polygon_key)
         .agg(F.sum(crossing).alias("__c"))
         .where((F.col("__c") % 2) == 1)
