@@ -67,11 +67,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     there). Only when it is unset, as in local tests, a scratch folder is
     created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the setting is all there is
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
@@ -80,6 +82,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         base = os.environ.get("TMPDIR", "/tmp")
         configured = tempfile.mkdtemp(prefix="meterflow-ckpt-", dir=base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:
+            pass
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -89,6 +97,11 @@ def scratch_table(df, name: str):
     read it back: cuts the lineage so several consumers share one
     computation, and survives executor loss (unlike a cached block)."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/meterflow-{name}-{uuid.uuid4().hex}"
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:
+        app = "session"
+    # one folder per application, so a finished run's scratch can be removed whole
+    path = f"{checkpoint_dir(spark).rstrip('/')}/meterflow-scratch-{app}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -32,7 +32,11 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 def scratch_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     """(checkpoint, output) folders for one run under the shared checkpoint dir."""
-    base = checkpoint_dir(spark).rstrip("/") + f"/meterflow-{name}-{uuid.uuid4().hex}"
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:
+        app = "session"
+    base = checkpoint_dir(spark).rstrip("/") + f"/meterflow-scratch-{app}/{name}-{uuid.uuid4().hex}"
     return base + "/checkpoint", base + "/output"
 
 
