@@ -55,8 +55,14 @@ def write_published(
     else:
         ordered = day_sorted_for_write(out, S.PUBLISHED_SORT)
     if geoparquet:
+        import os
+
         from .geoparquet import register
 
+        # the file writer runs pyarrow on the executors: give it an absolute
+        # path (or keep the URI) rather than one relative to the driver's folder
+        if "://" not in root and not os.path.isabs(root):
+            root = os.path.abspath(root)
         register(df.sparkSession)
         (
             ordered.write.format("meterflow_geoparquet")
