@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.columns import month_from_nged_url, month_from_ssen_url
 from ..functions.timefns import month_start
 from ..session import checkpoint_dir
 
@@ -90,9 +91,16 @@ def ingest_stream(
 
     def on_batch(batch: DataFrame, _epoch: int) -> None:
         if month_of_file is not None:
-            months_df = batch.select(month_of_file(F.col("source_file")).alias("month"))
+            month = month_of_file(F.col("source_file"))
         else:
-            months_df = batch.select(month_start(F.col(TS).cast("timestamp")).alias("month"))
+            # as the sensors do: the month named by the file (SSEN day file or
+            # NGED part file), else the month of the reading itself
+            month = F.coalesce(
+                month_from_ssen_url(F.col("source_file")),
+                month_from_nged_url(F.col("source_file")),
+                month_start(F.col(TS).cast("timestamp")),
+            )
+        months_df = batch.select(month.alias("month"))
         months = sorted(str(r["month"]) for r in months_df.where("month IS NOT NULL").distinct().collect())
         if months:
             rebuild_months(months)
