@@ -6,7 +6,7 @@ Plan for ``convex_hulls``:
    points are replaced by their hull vertices inside each Arrow batch. This is
    the map-side combine: a group holding a third of all rows is cut down to a
    handful of vertices per batch before anything is shuffled.
-2. ``groupBy(group, hash(point) % 256)`` hulls each bucket of candidates
+2. ``groupBy(group, source task % 256)`` hulls each bucket of candidates
    (an Arrow ``pandas_udf`` running the monotone chain), so no bucket holds
    more than its share of a hot group.
 3. ``groupBy(group)`` collects at most 256 partial hulls per group and the
@@ -163,10 +163,11 @@ def convex_hulls(points: DataFrame, group: str, x: str = "x", y: str = "y", proj
     else:
         pts = pts.select(group, "x", "y", F.col("x").alias("mx"), F.col("y").alias("my"))
     reduced = pts.mapInPandas(_partial_hulls(group), pts.schema)
-    # middle level: a group's candidates are split over SALT buckets by point
-    # hash and hulled per bucket, so the final task of even the hottest group
-    # sees at most SALT partial hulls, however many batches fed it
-    salted = reduced.withColumn("__salt", F.pmod(F.xxhash64("x", "y"), F.lit(_SALT)))
+    # middle level: a group's partial hulls are bucketed by the task that made
+    # them (mod SALT) and hulled per bucket, so the final task of even the
+    # hottest group sees at most SALT partial hulls, however many tasks fed
+    # it; a group seen by one task stays in one bucket
+    salted = reduced.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(_SALT)))
     partial = _hull_step(salted, [group, "__salt"])
     gathered = partial.groupBy(group).agg(F.collect_set(F.struct("x", "y", "mx", "my")).alias("__pts"))
     hulled = gathered.select(group, _hull_udf(F.col("__pts.x"), F.col("__pts.y"), F.col("__pts.mx"), F.col("__pts.my")).alias("__h"))
