@@ -84,6 +84,10 @@ def ingest_stream(
     raw = (
         spark.readStream.schema(text_schema(cols))
         .option("header", True)
+        # check each file's header against the schema names of the columns
+        # read: a file whose columns moved fails loudly instead of binding
+        # values by position
+        .option("enforceSchema", False)
         .option("pathGlobFilter", "*.csv*")
         .csv(landing_dir)
         .select(F.col("_metadata.file_path").alias("source_file"), F.col(TS))

@@ -109,3 +109,21 @@ def test_stream_ingest_rebuilds_touched_months(spark, tmp_path):
     assert seen[-1] == ["2024-02-01", "2024-03-01"]
     st = spark.read.parquet(str(tmp_path / "st")).groupBy("month").count().collect()
     assert {str(r.month): r["count"] for r in st} == {"2024-02-01": 18, "2024-03-01": 6}  # incremental = full rebuild
+
+
+def test_stream_rejects_reordered_header(spark, tmp_path):
+    import gzip
+
+    import pytest
+
+    from meterflow import schemas as S
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    cols = list(S.SSEN_CSV_COLUMNS)
+    i, j = cols.index("data_collection_log_timestamp"), cols.index("insert_time")
+    cols[i], cols[j] = cols[j], cols[i]  # the column the stream reads moved in this file
+    with gzip.open(landing / "2024-02-12.csv.gz", "wt") as f:
+        f.write(",".join(cols) + "\n" + ",".join(["x"] * len(cols)) + "\n")
+    with pytest.raises(Exception):
+        ST.ingest_stream(spark, str(landing), lambda months: None, checkpoint=str(tmp_path / "chk"))
