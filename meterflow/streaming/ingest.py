@@ -73,6 +73,7 @@ def ingest_stream(
     checkpoint: str | None = None,
     columns: list[str] | None = None,
     month_of_file: Callable | None = None,
+    glob: str = "*.csv*",
 ) -> None:
     """New raw CSV files -> months to rebuild -> ``rebuild_months(months)`` (IN6).
 
@@ -88,7 +89,7 @@ def ingest_stream(
         # read: a file whose columns moved fails loudly instead of binding
         # values by position
         .option("enforceSchema", False)
-        .option("pathGlobFilter", "*.csv*")
+        .option("pathGlobFilter", glob)
         .csv(landing_dir)
         .select(F.col("_metadata.file_path").alias("source_file"), F.col(TS))
     )

@@ -42,7 +42,8 @@ def test_readme_pipeline(spark, tmp_path):
     jobs.build_nged_months(spark, f"{base}/raw/nged", staging, months)
     jobs.build_combined_months(spark, staging, published, months)
     seen = []
-    ingest_stream(spark, f"{base}/raw/ssen", lambda ms: seen.append(ms), checkpoint=f"{base}/ckpt/ingest")
+    # only the day files are readings; the folder also holds the reference CSVs
+    ingest_stream(spark, f"{base}/raw/ssen", lambda ms: seen.append(ms), checkpoint=f"{base}/ckpt/ingest", glob="20*.csv*")
     assert seen == [months]
 
     counts = {str(r.month): r["count"] for r in spark.read.parquet(published).groupBy("month").count().collect()}
