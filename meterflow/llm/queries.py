@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, token_files
+from . import decontaminate, line_dedup, packing, token_files, topk, toxicity
 from .common import table
 
 
@@ -17,10 +17,24 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_index(token_files.write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 OP1_SQL = r"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nr,
@@ -41,9 +55,26 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) A
 FROM marked GROUP BY doc_id
 """
 
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_token_files": op3_token_files,
+    "op4_top_k": op4_top_k,
+    "op5_decontamination": op5_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL = {"op1_line_dedup": OP1_SQL}
+ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op4_top_k": OP4_SQL}
