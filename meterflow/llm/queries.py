@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, token_files, topk, toxicity
+from . import decontaminate, jaccard_join, line_dedup, packing, token_files, topk, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_top_k": op4_top_k,
     "op5_decontamination": op5_decontamination,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
