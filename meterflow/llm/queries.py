@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, packing, token_files, topk, toxicity
+from . import decontaminate, jaccard_join, licenses, line_dedup, packing, token_files, topk, toxicity
 from .common import table
 
 
@@ -13,6 +13,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), columns=["doc_id"])
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr(licenses.document_path("doc_id")).alias("path"))
+    return licenses.scan_licenses(files)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_index(token_files.write_token_files(table(spark, sf_dir, "documents")))
 
@@ -75,6 +80,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_licenses": op2_licenses,
     "op3_token_files": op3_token_files,
     "op4_top_k": op4_top_k,
     "op5_decontamination": op5_decontamination,
@@ -82,4 +88,4 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op4_top_k": OP4_SQL}
+ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_licenses": licenses.ORACLE, "op4_top_k": OP4_SQL}
