@@ -7,6 +7,8 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,27 @@ def add_columns(docs: DataFrame, made: DataFrame, key: str, names: list[str]) ->
     joined = docs.join(right, same(docs[key], right["__key"]), "left").drop("__key")
     kept = [joined[c] for c in docs.columns if c not in names]
     return joined.select(*kept, *[joined[f"__new_{n}"].alias(n) for n in names])
+
+
+ID_BITS = 1 << 23
+
+
+def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` (a long ``id`` and a text) less most rows whose id is not in
+    ``ids``: a map-side filter by a bitmap of ``ID_BITS`` id hashes, 2**18 rows
+    on the driver at most. Rows of other ids may stay, so a join must follow;
+    what it saves is shuffling texts that the join would drop."""
+    at = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(32)).cast("int"))
+    rows = ids.select(F.floor(at / 32).alias("w"), one.alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(ID_BITS // 32, np.int64)
+    bits[rows["w"].to_numpy()] = rows["bits"].to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def picked(batches):
+        for b in batches:
+            h = b.column(2).to_numpy()
+            yield b.filter(pa.array((sent.value[h // 32] >> (h % 32)) & 1 == 1)).select([0, 1])
+
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.withColumn("__at", at).mapInArrow(picked, kind)

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, shared_path, ship
+from .common import keep, shared_path, ship, with_ids
 
 WORDS = 5
 FREQUENCY = 1 << 20
@@ -48,11 +48,11 @@ OFTEN = 4
 _MIX = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
 
-def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes (int64) of a text's shingles."""
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Hashes (uint64) of a text's runs of ``words`` words, in their order."""
     found = (text or "").encode().lower().split()  # ASCII: A-Z, and blanks 20, 09-0D
     if not found:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     w = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     k = min(words, len(w))
     h = np.full(len(w) - k + 1, k, np.uint64)
@@ -62,7 +62,12 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     h ^= h >> np.uint64(32)
     h *= _MIX[4]
     h ^= h >> np.uint64(29)
-    return np.unique(h.view(np.int64))
+    return h
+
+
+def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes (int64) of a text's shingles."""
+    return np.unique(shingles(text, words).view(np.int64))
 
 
 def set_id(s: np.ndarray) -> bytes:
@@ -202,16 +207,6 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)
 
 
-def _wanted_bits(reps: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size (2**23 bits) of the ids' hashes."""
-    at = F.pmod(F.xxhash64("rep"), F.lit(1 << 23))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(32)).cast("int"))
-    rows = reps.select(F.floor(at / 32).alias("w"), one.alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << 18, np.int64)  # at most 2**18 rows
-    out[rows["w"].to_numpy()] = rows["bits"].to_numpy()
-    return out
-
-
 def _whole_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, fps, sets = [], [], []
@@ -321,15 +316,8 @@ class _Sets:
         if pairs.isEmpty():
             return pairs
         wanted = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).distinct()
-        bits = self.docs.sparkSession.sparkContext.broadcast(_wanted_bits(wanted))
-
-        def picked(batches):
-            for b in batches:
-                at = b.column(2).to_numpy()
-                yield b.filter(pa.array((bits.value[at // 32] >> (at % 32)) & 1 == 1)).select([0, 1])
-
-        chosen = self.docs.filter("id IS NOT NULL").withColumn("at", F.pmod(F.xxhash64("id"), F.lit(1 << 23))).mapInArrow(
-            lambda it: _whole_sets(picked(it), words), "rep long, fp binary, s binary"
+        chosen = with_ids(self.docs.filter("id IS NOT NULL"), wanted.withColumnRenamed("rep", "id")).mapInArrow(
+            lambda it: _whole_sets(it, words), "rep long, fp binary, s binary"
         )
         sets = keep(chosen, "sets")
         return keep(

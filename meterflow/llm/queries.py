@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, licenses, line_dedup, packing, token_files, topk, toxicity
+from . import decontaminate, jaccard_join, licenses, line_dedup, lm_score, packing, substrings, token_files, topk, toxicity
 from .common import table
 
 
@@ -35,10 +35,19 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score(docs, *lm_score.train(docs))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -85,7 +94,9 @@ QUERIES = {
     "op4_top_k": op4_top_k,
     "op5_decontamination": op5_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_licenses": licenses.ORACLE, "op4_top_k": OP4_SQL}
