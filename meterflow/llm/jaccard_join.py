@@ -18,8 +18,11 @@ and the same set are one node, named by the smallest id.
    different components are compared in full, the list's largest component
    against the rest, so families of thousands of near copies cost their size,
    not its square, and no link between components is lost.
-4. Group pairs are expanded to their members and verified on the whole sets,
-   which are recomputed for the documents concerned alone.
+4. Group pairs are expanded to their members. Each set has a parity signature
+   of about two bits a shingle; the bits in which two differ are a lower bound
+   of the shingles in which the sets differ, so pairs that cannot link go. The
+   others are verified on the whole sets, which are recomputed for the
+   documents concerned alone.
 
 Components come from alternating large and small stars.
 
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, shared_path, ship, with_ids
@@ -74,6 +77,24 @@ def set_id(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def signature(s: np.ndarray) -> bytes:
+    """For each of 2**k >= 2n bits whether an odd number of shingles hash there."""
+    bits = 1 << max(3, int(2 * len(s) - 1).bit_length())
+    at = (s ^ (s >> 33)) & (bits - 1)
+    return np.packbits(np.bincount(at, minlength=bits) & 1).tobytes()
+
+
+def may_be_linked(n: int, m: int, a: bytes, b: bytes) -> bool:
+    """Whether two sets of n and m shingles can link, by their signatures."""
+    if 4 * min(n, m) < 3 * max(n, m):
+        return False
+    while len(a) != len(b):  # the longer one folds to the shorter one's bits
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = (int.from_bytes(a[: len(a) // 2]) ^ int.from_bytes(a[len(a) // 2 :])).to_bytes(len(a) // 2)
+    differ = (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
+    return 7 * (n + m - differ) >= 6 * (n + m)  # |A and B| <= (n + m - differ) / 2
+
+
 def prefix(s: np.ndarray, often: np.ndarray) -> np.ndarray:
     """The rarest n - ceil(3n/4) + 1 shingles, rarest first."""
     n = len(s)
@@ -99,8 +120,8 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
 
 
 def _postings(batches: Iterator[pa.RecordBatch], often: np.ndarray, words: int) -> Iterator[pa.RecordBatch]:
-    """(token, n, pos, g, fp): prefix shingles once per group and batch; a row
-    with pos -1 and a set id for each member."""
+    """(token, n, pos, g, fp, sig): prefix shingles once per group and batch; a
+    row with pos -1, set id and signature for each member."""
     for b in batches:
         parts, done, members = [], set(), {}
         for t in b.column(0):
@@ -109,7 +130,7 @@ def _postings(batches: Iterator[pa.RecordBatch], often: np.ndarray, words: int)
                 continue
             p = prefix(s, often)
             g = np.int64(xxhash.xxh3_64_intdigest(p.tobytes(), len(s)) - (1 << 63))
-            members[(int(g), set_id(s))] = len(s)
+            members[(int(g), set_id(s))] = (len(s), signature(s))
             if int(g) not in done:
                 done.add(int(g))
                 parts.append((p, np.full(len(p), len(s), np.int32), np.arange(len(p), dtype=np.int32), np.full(len(p), g)))
@@ -122,22 +143,24 @@ def _postings(batches: Iterator[pa.RecordBatch], often: np.ndarray, words: int)
 
 def _posting_batch(parts: list, members: dict) -> pa.RecordBatch:
     g = np.asarray([k[0] for k in members], np.int64)
-    parts = [*parts, (g, np.fromiter(members.values(), np.int32, len(g)), np.full(len(g), -1, np.int32), g)]
+    parts = [*parts, (g, np.fromiter((v[0] for v in members.values()), np.int32, len(g)), np.full(len(g), -1, np.int32), g)]
     cols = [np.concatenate(c) for c in zip(*parts)]
-    fps = pa.concat_arrays([pa.nulls(len(cols[0]) - len(g), pa.binary()), pa.array([k[1] for k in members], pa.binary())])
-    return pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3]), fps], names=["token", "n", "pos", "g", "fp"])
+    none = pa.nulls(len(cols[0]) - len(g), pa.binary())
+    fps = pa.concat_arrays([none, pa.array([k[1] for k in members], pa.binary())])
+    sigs = pa.concat_arrays([none, pa.array([v[1] for v in members.values()], pa.binary())])
+    return pa.RecordBatch.from_arrays([*map(pa.array, cols), fps, sigs], names=["token", "n", "pos", "g", "fp", "sig"])
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token, pos, n, g. Kind 0: members (g, fp). Kind 1: the
+    """Rows sorted by token, pos, n, g. Kind 0: members (g, n, fp, sig). Kind 1: the
     postings of lists with two groups or more, with the list's hub (its first
     posting). Holds one row from one batch to the next, whatever a list's length."""
     token, hub, told = None, None, False
-    names = ["kind", "token", "n", "pos", "g", "hub", "hub_n", "hub_pos", "fp"]
+    names = ["kind", "token", "n", "pos", "g", "hub", "hub_n", "hub_pos", "fp", "sig"]
 
     def rows(t, n, pos, g, hg, hn, hp):
         cols = [np.ones(len(t), np.int32), t, n, pos, g, hg, hn, hp]
-        return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.nulls(len(t), pa.binary())], names=names)
+        return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.nulls(len(t), pa.binary()), pa.nulls(len(t), pa.binary())], names=names)
 
     for b in batches:
         t, n, pos, g = (b.column(i).to_numpy() for i in range(4))
@@ -145,8 +168,8 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(mine):
             k = len(mine)
             none = [pa.nulls(k, x) for x in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())]
-            none[3] = pa.array(g[mine])
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), *none, b.column(4).take(pa.array(mine))], names=names)
+            none[1], none[3] = pa.array(n[mine]), pa.array(g[mine])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), *none, *(b.column(i).take(pa.array(mine)) for i in (4, 5))], names=names)
         keep_rows = pos >= 0
         t, n, pos, g = t[keep_rows], n[keep_rows], pos[keep_rows], g[keep_rows]
         if not len(t):
@@ -250,17 +273,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sent = spark.sparkContext.broadcast(often)
 
     path = shared_path(spark, "prefix-lists")
-    kinds = "kind int, token long, n int, pos int, g long, hub long, hub_n int, hub_pos int, fp binary"
+    kinds = "kind int, token long, n int, pos int, g long, hub long, hub_n int, hub_pos int, fp binary, sig binary"
     (
         only.filter("id IS NOT NULL").select("text")
-        .mapInArrow(lambda it: _postings(it, sent.value, words), "token long, n int, pos int, g long, fp binary")
+        .mapInArrow(lambda it: _postings(it, sent.value, words), "token long, n int, pos int, g long, fp binary, sig binary")
         .repartition("token").sortWithinPartitions("token", "pos", "n", "g")
         .mapInArrow(_lists, kinds).write.partitionBy("kind").parquet(path)
     )
     stored = spark.read.schema(kinds).parquet(path)
-    lists = stored.filter("kind = 1").drop("kind", "fp")
+    lists = stored.filter("kind = 1").drop("kind", "fp", "sig")
     reps = keep(nodes.filter("fp IS NOT NULL AND id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep")), "set-reps")
-    members = keep(stored.filter("kind = 0").select("g", "fp").distinct().join(reps, "fp").select("g", "rep"), "group-members")
+    members = keep(stored.filter("kind = 0").select("g", "n", "fp", "sig").distinct().join(reps, "fp").select("g", "rep", "n", "sig"), "group-members")
+    signatures, members = members.select("rep", "n", "sig"), members.select("g", "rep")
     group_rep = members.groupBy("g").agg(F.min("rep").alias("head"))
 
     # stars: every group against the hubs of its lists, every member of a group against the head
@@ -270,7 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select(F.col("rep").alias("a"), F.col("head").alias("b"))
         .unionAll(members.join(group_rep, "g").select(F.col("rep").alias("a"), F.col("head").alias("b")))
     )
-    sets = _Sets(only, words)
+    sets = _Sets(only, signatures, words)
     edges = sets.verified(pairs)
     label = components(edges)
 
@@ -279,7 +303,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     posted = lists.select("token", "n", "pos", "g").join(labelled, "g")
     inside = labelled.select(F.col("g").alias("token"), F.lit(0).alias("n"), F.lit(0).alias("pos"), "g", "rep", "label")
     more = _across(posted, lambda x, y: may_link(x["n"], x["pos"], y["n"], y["pos"])).unionAll(_across(inside, None))
-    more = keep(more, "cross-pairs")
     edges = edges.unionAll(sets.verified(more))
     label = components(edges)
 
@@ -293,9 +316,13 @@ def _across(posted: DataFrame, may) -> DataFrame:
     but the list's largest, against the list."""
     sizes = posted.groupBy("token", "label").agg(F.count(F.lit(1)).alias("size"))
     top = sizes.groupBy("token").agg(F.max_by("label", F.struct("size", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-    mixed = keep(posted.join(top.select("token", "most"), "token"), "mixed-lists")
+    mixed = posted.join(top.select("token", "most"), "token")
+    # a pair whose shingles before this one are the same has met there already
+    before = Window.partitionBy("g", "rep").orderBy("pos", "token")  # a prefix at most
+    mixed = keep(mixed.withColumn("prev", F.lag("token").over(before)), "mixed-lists")
     x, y = mixed.filter("label <> most").alias("x"), mixed.alias("y")
     cond = (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label"))
+    cond = cond & ~F.coalesce(F.col("x.prev") == F.col("y.prev"), F.lit(False))
     cond = cond & ((F.col("y.label") == F.col("y.most")) | (F.col("x.rep") < F.col("y.rep")))
     if may is not None:
         side = {s: {c: F.col(f"{s}.{c}") for c in ("n", "pos")} for s in "xy"}
@@ -303,26 +330,31 @@ def _across(posted: DataFrame, may) -> DataFrame:
     return x.join(y, cond).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ok = [may_be_linked(*r) for r in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)))]
+        yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+
 class _Sets:
-    """Verifies pairs of representatives on whole sets."""
+    """Verifies pairs of representatives, by signature and on whole sets."""
 
-    def __init__(self, docs: DataFrame, words: int):
-        self.docs, self.words = docs, words
+    def __init__(self, docs: DataFrame, signatures: DataFrame, words: int):
+        self.docs, self.signatures, self.words = docs, signatures, words
+
+    def _both(self, pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
+        x = table.select(F.col("rep").alias("a"), *[F.col(c).alias(f"x_{c}") for c in columns])
+        y = table.select(F.col("rep").alias("b"), *[F.col(c).alias(f"y_{c}") for c in columns])
+        return pairs.join(x, "a").join(y, "b").select("a", "b", *[f"{s}_{c}" for c in columns for s in "xy"])
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b), a <> b, that link."""
         words = self.words
-        pairs = keep(pairs.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
+        pairs = pairs.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        pairs = keep(self._both(pairs, self.signatures, ["n", "sig"]).mapInArrow(_possible, "a long, b long").distinct(), "candidates")
         if pairs.isEmpty():
             return pairs
-        wanted = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).distinct()
-        chosen = with_ids(self.docs.filter("id IS NOT NULL"), wanted.withColumnRenamed("rep", "id")).mapInArrow(
-            lambda it: _whole_sets(it, words), "rep long, fp binary, s binary"
-        )
+        wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+        chosen = with_ids(self.docs.filter("id IS NOT NULL"), wanted).mapInArrow(lambda it: _whole_sets(it, words), "rep long, fp binary, s binary")
         sets = keep(chosen, "sets")
-        return keep(
-            pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("x")), "a")
-            .join(sets.select(F.col("rep").alias("b"), F.col("s").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"),
-            "links",
-        )
+        return keep(self._both(pairs, sets, ["s"]).mapInArrow(_verify, "a long, b long"), "links")
