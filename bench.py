@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -46,7 +47,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", app_name="meterflow-bench", shuffle_partitions=int(cpus),
-                          conf={"spark.driver.memory": "16g"})
+                          conf={"spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="meterflow-bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in HEADLINE + OPTIONAL if n in REGISTRY]
     REGISTRY["null_rows"].build(spark, sf_dir).write.format("noop").mode("overwrite").save()

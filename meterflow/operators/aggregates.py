@@ -134,17 +134,28 @@ def daily_consumption(df: DataFrame, feeder: str, value: str, ts: str = TS, mate
     return sums.unionByName(spine).groupBy(feeder, "day").agg(F.sum(value).alias(value))
 
 
-def pivot_feeders(df: DataFrame, index: list[str], column: str, values: list[str], value: str) -> DataFrame:
-    """Index x feeder matrix for a fixed list of feeder values (AG8).
+def pivot_feeders(df: DataFrame, index: list[str], column: str, values: list[str] | None, value: str, max_width: int = 1000) -> DataFrame:
+    """Index x feeder matrix over the feeders of ``values`` (AG8). Without
+    ``values``: over all feeders present, at most ``max_width`` of them. A
+    feeder outside the list is an error: no row vanishes.
 
     A second value for one cell is an error, as in a pandas pivot. One
     aggregation computes the cells and the duplicate check together.
     """
+    if values is None:
+        found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_width + 1).collect()
+        if len(found) > max_width:
+            raise ValueError(f"more than {max_width} values of {column}")
+        values = sorted(r[0] for r in found)
+    if not values:
+        return df.select(*index).distinct()
+    other = F.count(F.when(~F.col(column).isin(values), F.lit(1))) > 0
     aggs = []
     for v in values:
         hit = F.col(column) == F.lit(v)
         aggs.append(
-            F.when(F.count(F.when(hit, F.lit(1))) > 1, F.raise_error(F.lit(f"duplicate cell for {column}={v}")))
+            F.when(other, F.raise_error(F.lit(f"{column} outside the list")))
+            .when(F.count(F.when(hit, F.lit(1))) > 1, F.raise_error(F.lit(f"duplicate cell for {column}={v}")))
             .otherwise(F.max(F.when(hit, F.col(value))))
             .alias(f"{column}_{v}")
         )

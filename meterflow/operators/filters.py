@@ -132,6 +132,8 @@ def month_predicate_from_filters(filters, column: str = TS, month_column: str =
             if name != column:
                 continue
             d = value if isinstance(value, (dt.datetime, dt.date)) else dt.datetime.fromisoformat(str(value).replace("Z", "+00:00"))
+            if isinstance(d, dt.datetime) and d.tzinfo is not None:  # folders are UTC months
+                d = d.astimezone(dt.timezone.utc)
             first = dt.date(d.year, d.month, 1)
             if op in ("=", "=="):
                 lo = hi = first

@@ -13,20 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import substation_nrn_from_dataset
 
-# rows a lookup may have and still be shipped to every task
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The count reads at most ``max_rows + 1`` rows, so the check itself is
-    bounded; beyond it the caller gets the plain (shuffle-join) frame.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def merged_location_lookup(postcode_lookup: DataFrame, model_lookup: DataFrame) -> DataFrame:
     """Every substation of either lookup; the model location wins, the
     postcode one fills in (JN1: full outer join + coalesce).
@@ -54,7 +40,7 @@ def assert_unique(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def attach_locations(readings: DataFrame, lookup: DataFrame, broadcast: bool | str | None = None) -> DataFrame:
+def attach_locations(readings: DataFrame, lookup: DataFrame) -> DataFrame:
     """Left join readings to the lookup on the 10-character prefix; the
     looked-up location replaces the file's, unmatched rows get null (JN2, PR5, PR6).
 
@@ -62,15 +48,11 @@ def attach_locations(readings: DataFrame, lookup: DataFrame, broadcast: bool | s
     by default the planner's own size checks pick the broadcast (the static
     ``autoBroadcastJoinThreshold`` for a lookup read from files, AQE's
     run-time shuffle statistics for a derived one) and the readings are
-    never shuffled. ``broadcast=True`` forces it; ``"check"`` counts first.
+    never shuffled.
     """
     lk = lookup.select(
         F.col("substation_nrn").alias("__nrn"), F.col("substation_geo_location").alias("__loc")
     )
-    if broadcast == "check":
-        lk = broadcast_if_bounded(lk)
-    elif broadcast:
-        lk = F.broadcast(lk)
     cols = [c for c in readings.columns]
     joined = readings.join(lk, substation_nrn_from_dataset("dataset_id") == F.col("__nrn"), "left")
     return joined.select(*[F.col("__loc").alias(c) if c == "substation_geo_location" else F.col(c) for c in cols])

@@ -89,13 +89,20 @@ def build_nged_months(
     staging_root: str,
     months: list[str],
     min_partitions: int | None = None,
+    listed: list[str] | None = None,
 ) -> MonthBuild:
     """NGED part files of ``months`` -> cleaned staging months (JB2).
 
     SC2 + PR2, PR3, PR4; AG1 stats before the month filter (as the reference
     counts them); FI3 keeps rows inside the month and the dropped rows are
-    reported; SO1 + SK1.
+    reported; SO1 + SK1. ``listed``: the file names the portal lists for these
+    months; one that has not landed fails the build.
     """
+    if listed:
+        wanted = [f"{raw_dir.rstrip('/')}/{name}" for name in listed]
+        absent = sorted(set(wanted) - set(existing_paths(spark, wanted)))
+        if absent:
+            raise FileNotFoundError(f"listed parts that have not landed: {absent}")
     patterns = existing_paths(
         spark, [f"{raw_dir.rstrip('/')}/aggregated-smart-meter-data-lv-feeder-{m[:7]}-part*.csv*" for m in months]
     )
@@ -130,11 +137,12 @@ def combined_rows(spark: SparkSession, staging_root: str, months: list[str]) ->
     """Staging months of both DNOs -> published rows inside their month
     (SC6, PR11, PR13, PR14 per DNO, PR18, SE1, FI3)."""
     st = R.read_staging(spark, staging_root).where(_months_filter("month", months))
+    # a reading counts in its own month's folder alone, whichever months are built together
+    st = st.where(month_start(TS) == F.col("month"))
     parts = []
     for dno in S.PROCESSED_DNOS:
         part = st.where(F.col("dno") == dno)
-        pub = T.to_published(part, dno).withColumn("month", month_start(TS))
-        parts.append(pub.where(F.col("month").isin([F.lit(m).cast("date") for m in months])).drop("month"))
+        parts.append(T.to_published(part, dno))
     return parts[0].unionByName(parts[1])
 
 

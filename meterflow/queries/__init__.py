@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-from . import readings  # noqa: F401  (registers)
+from . import files, locations, readings, streams  # noqa: F401  (register)
 from .registry import REGISTRY, Query
 
-_MODULES = ["locations", "files", "streams"]
-for _m in _MODULES:
-    try:
-        __import__(f"{__name__}.{_m}")
-    except ModuleNotFoundError as exc:  # module not written yet
-        if exc.name != f"{__name__}.{_m}":
-            raise
-
 
 def queries() -> dict:
     return {name: q.build for name, q in REGISTRY.items()}

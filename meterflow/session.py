@@ -79,6 +79,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:
             configured = None
+    if not configured and sc is not None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         base = os.environ.get("TMPDIR", "/tmp")
         configured = tempfile.mkdtemp(prefix="meterflow-ckpt-", dir=base)

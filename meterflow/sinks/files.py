@@ -99,5 +99,5 @@ def clear_month(spark, root: str, month: str, dno: str | None = None) -> None:
     month stays present but holds no rows.
     """
     folder = f"{root.rstrip('/')}/" + (f"dno={dno.upper()}/" if dno else "") + f"month={month}"
-    empty = spark.createDataFrame([], S.STAGING_SCHEMA)
+    empty = spark.read.parquet(folder).limit(0)  # the table's own schema
     empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)

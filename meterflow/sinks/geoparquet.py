@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import sys
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -100,6 +101,9 @@ def _to_published_arrow(table, geometry: str, partition_col: str):
     return pa.Table.from_arrays([c if not hasattr(c, "chunks") else c.combine_chunks() for c in cols], schema=schema)
 
 
+ROW_GROUP_ROWS = 1 << 20
+
+
 class GeoParquetWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.root = options["path"].rstrip("/")
@@ -107,6 +111,10 @@ class GeoParquetWriter(DataSourceArrowWriter):
         self.partition_col = options.get("partition", "month")
         self.sort = [c for c in options.get("sort", "").split(",") if c]
         self.level = int(options.get("compression_level", "9"))
+        self.job = uuid.uuid4().hex  # made on the driver, one for all tasks
+
+    def _stage(self, base: str) -> str:
+        return f"{base}/_temporary/{self.job}"
 
     def write(self, iterator) -> FilesWritten:
         import pyarrow as pa
@@ -115,10 +123,18 @@ class GeoParquetWriter(DataSourceArrowWriter):
 
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx else 0
-        attempt = ctx.attemptNumber() if ctx else 0
+        attempt = ctx.taskAttemptId() if ctx else 0  # never repeated within an application
         fs, base = _fs(self.root)
         writers: dict = {}
+        waiting: dict = {}
         files = []
+
+        def flush(value) -> None:
+            tables = waiting.pop(value, [])
+            if tables:
+                table = pa.concat_tables(tables).combine_chunks()
+                writers[value].write_table(table, row_group_size=ROW_GROUP_ROWS)
+
         try:
             for batch in iterator:
                 table = pa.Table.from_batches([batch])
@@ -129,9 +145,9 @@ class GeoParquetWriter(DataSourceArrowWriter):
                     sub = table.filter(pa.compute.equal(keys, pa.scalar(value, keys.type)))
                     out = _to_published_arrow(sub, self.geometry, self.partition_col)
                     if value not in writers:
-                        folder = f"{base}/{self.partition_col}={value}"
+                        folder = f"{self._stage(base)}/{self.partition_col}={value}"
                         fs.create_dir(folder, recursive=True)
-                        path = f"{folder}/part-{part:05d}-{attempt}.parquet"
+                        path = f"{folder}/part-{part:05d}-{attempt}-{self.job}.parquet"
                         sorting = [pq.SortingColumn(out.schema.get_field_index(c)) for c in self.sort if c in out.schema.names]
                         writers[value] = pq.ParquetWriter(
                             path,
@@ -142,33 +158,48 @@ class GeoParquetWriter(DataSourceArrowWriter):
                             sorting_columns=sorting or None,
                         )
                         files.append(path)
-                    writers[value].write_table(out)
+                    waiting.setdefault(value, []).append(out)
+                    if sum(t.num_rows for t in waiting[value]) >= ROW_GROUP_ROWS:
+                        flush(value)
+            for value in list(waiting):
+                flush(value)
         finally:
             for w in writers.values():
                 w.close()
         return FilesWritten(files=files)
 
     def commit(self, messages) -> None:
+        """Move the winning attempts' files into their month folders, then drop
+        the files of earlier jobs there: until the move ends the old month is whole."""
         import pyarrow.fs as pafs
 
         fs, base = _fs(self.root)
-        written = {f for m in messages if m is not None for f in m.files}
-        folders = {f.rsplit("/", 1)[0] for f in written}
+        stage = self._stage(base)
+        folders = set()
+        for f in sorted({f for m in messages if m is not None for f in m.files}):
+            folder, name = f.rsplit("/", 1)
+            target = base + folder[len(stage) :]
+            if target not in folders:
+                fs.create_dir(target, recursive=True)
+                folders.add(target)
+            fs.move(f, f"{target}/{name}")
         for folder in folders:
             for info in fs.get_file_info(pafs.FileSelector(folder)):
-                if info.type == pafs.FileType.File and info.path not in written:
+                if info.type == pafs.FileType.File and self.job not in info.base_name:
                     fs.delete_file(info.path)
+        self._clear(fs, stage)
 
     def abort(self, messages) -> None:
-        fs, _ = _fs(self.root)
-        for m in messages:
-            if m is None:
-                continue
-            for f in m.files:
-                try:
-                    fs.delete_file(f)
-                except OSError:
-                    pass
+        """Drop this job's own files; published months are not touched."""
+        fs, base = _fs(self.root)
+        self._clear(fs, self._stage(base))
+
+    @staticmethod
+    def _clear(fs, stage: str) -> None:
+        try:
+            fs.delete_dir(stage)
+        except OSError:
+            pass
 
 
 class GeoParquetDataSource(DataSource):

@@ -3,7 +3,7 @@
 CSV files are read with every column as text and cast by name afterwards:
 an explicit narrower schema would bind by position and silently null values.
 Gzip files are not splittable, so a read of few large files can be spread
-with ``min_partitions``.
+into ``min_partitions`` partitions.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from .. import schemas as S
 
 
 def _csv(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST")
+    # every file's header is held against the first one's: columns are taken by
+    # name, so a file with another order must fail rather than swap its values
+    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST").option("enforceSchema", False)
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     return reader.csv(path)
@@ -51,10 +53,8 @@ def rename_nged(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(present)
 
 
-def _spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(min_partitions)
-    return df
+def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    return df.repartition(partitions) if partitions else df
 
 
 def read_daily_readings(

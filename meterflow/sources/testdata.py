@@ -162,26 +162,9 @@ POINT_EXPRS = {
 }
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the session's cores when its file yields
-    fewer input partitions (each test table is one file with one row group,
-    which would run every pre-shuffle step in a single task). The schema is
-    read once per path (the files are read-only), so later reads skip the
-    schema-inference job."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    try:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-    except Exception:  # e.g. a Spark Connect session: no RDD view, keep the scan as is
-        pass
-    return df
+    """A driver table, read as it is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

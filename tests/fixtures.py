@@ -1,4 +1,4 @@
-"""Generated raw inputs shaped like the published files (never copied)."""
+"""Generated raw inputs in the published column layouts, for made-up networks."""
 
 from __future__ import annotations
 
@@ -10,94 +10,65 @@ import os
 
 from meterflow import schemas as S
 
-SSEN_SUBS = ["001", "002", "003"]
-NGED_SUBS = ["234567", "123456", "345678"]
+#: (secondary substation, feeder); the whole id is 5310 024 <substation> <feeder>
+SSEN_FEEDERS = [("417", "03"), ("417", "11"), ("862", "07"), ("950", "02")]
+SSEN_TIMES = ["00:00", "04:30", "09:00", "17:30", "22:00"]
+#: the last one leaves every text blank that the feed may leave blank
+NGED_FEEDERS = [("771203", "4"), ("771203", "5"), ("508811", "1"), ("640022", "9")]
+NGED_TIMES = ["04:30", "16:00"]
+SSEN_PER_DAY, NGED_PER_DAY = len(SSEN_FEEDERS) * len(SSEN_TIMES), len(NGED_FEEDERS) * len(NGED_TIMES)
 
 
-def _write_gz(path: str, header: list[str], rows: list[list[str]]) -> None:
+def write_csv(path: str, header: list[str], rows: list[dict]) -> str:
     buf = io.StringIO()
-    w = csv.writer(buf)
-    w.writerow(header)
+    w = csv.DictWriter(buf, header, restval="", extrasaction="ignore")
+    w.writeheader()
     w.writerows(rows)
     with gzip.open(path, "wt") as f:
         f.write(buf.getvalue())
+    return path
 
 
-def ssen_daily_files(folder: str, year: int, month: int, days=None, consumption: str = "2331.5") -> list[str]:
-    os.makedirs(folder, exist_ok=True)
-    days = days or range(1, calendar.monthrange(year, month)[1] + 1)
-    paths = []
-    for day in days:
-        rows = []
-        for sub in SSEN_SUBS:
-            for feeder in ("01", "02"):
-                ts = f"{year:04d}-{month:02d}-{day:02d}T00:30:00.000Z"
-                row = {
-                    "dataset_id": f"0002002{sub}{feeder}",
-                    "dno_name": "Scottish and Southern Electricity Networks",
-                    "dno_alias": "SSEN",
-                    "secondary_substation_id": sub,
-                    "secondary_substation_name": f"SUB {sub}",
-                    "lv_feeder_id": feeder,
-                    "lv_feeder_name": "",
-                    "substation_geo_location": "",
-                    "aggregated_device_count_active": "15.5",
-                    "primary_consumption_active_import": consumption,
-                    "secondary_consumption_active_import": "",
-                    "total_consumption_active_import": consumption,
-                    "aggregated_device_count_reactive": "15.0",
-                    "total_consumption_reactive_import": "84.0",
-                    "data_collection_log_timestamp": ts,
-                    "insert_time": "2024-03-14T00:07:06.000Z",
-                    "last_modified_time": "2024-03-25T12:46:46.298Z",
-                }
-                rows.append([row[c] for c in S.SSEN_CSV_COLUMNS])
-        path = f"{folder}/{year:04d}-{month:02d}-{day:02d}.csv.gz"
-        _write_gz(path, S.SSEN_CSV_COLUMNS, rows)
-        paths.append(path)
-    return paths
+def ssen_rows(day: str, consumption: str = "641.5") -> list[dict]:
+    return [
+        {
+            "dataset_id": f"5310024{sub}{feeder}", "dno_alias": "SSEN", "dno_name": "North Network",
+            "secondary_substation_id": sub, "secondary_substation_name": f"Mill Lane {sub}", "lv_feeder_id": feeder,
+            "aggregated_device_count_active": "7.5", "total_consumption_active_import": consumption,
+            "primary_consumption_active_import": consumption, "data_collection_log_timestamp": f"{day}T{time}:00.000Z",
+            "insert_time": f"{day}T23:10:00.000Z", "last_modified_time": f"{day}T23:40:00.000Z",
+        }
+        for time in SSEN_TIMES for sub, feeder in SSEN_FEEDERS
+    ]
 
 
-def nged_part_files(folder: str, year: int, month: int, parts: int = 10, extra_next_month: bool = False) -> list[str]:
+def ssen_daily_files(folder: str, year: int, month: int, days=None, consumption: str = "641.5") -> list[str]:
     os.makedirs(folder, exist_ok=True)
-    ndays = calendar.monthrange(year, month)[1]
-    rows = []
-    for day in range(1, ndays + 1):
-        for i, sub in enumerate(NGED_SUBS):
-            for feeder in ("1", "2"):
-                blank = i == 2
-                rows.append(_nged_row(sub, feeder, f"{year:04d}-{month:02d}-{day:02d} 00:30:00+00:00", blank, year, month))
-    if extra_next_month:
-        ny, nm = (year + (month == 12), 1 if month == 12 else month + 1)
-        rows.append(_nged_row(NGED_SUBS[0], "1", f"{ny:04d}-{nm:02d}-01 00:00:00+00:00", False, year, month))
-    paths = []
-    for p in range(parts):
-        chunk = rows[p::parts]
-        path = f"{folder}/aggregated-smart-meter-data-lv-feeder-{year:04d}-{month:02d}-part{p:04d}.csv.gz"
-        _write_gz(path, S.NGED_CSV_COLUMNS, chunk)
-        paths.append(path)
-    return paths
+    names = [f"{year:04d}-{month:02d}-{d:02d}" for d in days or range(1, calendar.monthrange(year, month)[1] + 1)]
+    return [write_csv(f"{folder}/{n}.csv.gz", S.SSEN_CSV_COLUMNS, ssen_rows(n, consumption)) for n in names]
 
 
-def _nged_row(sub, feeder, ts, blank, year, month):
-    mon = calendar.month_abbr[month]
+def nged_row(sub: str, feeder: str, stamp: str) -> dict:
     row = {
-        "dataset_id": "" if blank else f"NGED_{sub}_{feeder}_{mon}_{year}",
-        "dno_name": "National Grid Electricity Distribution",
-        "dno_alias": "" if blank else "NGED",
-        "secondary_substation_id": sub,
-        "secondary_substation_name": "" if blank else f"SUB {sub}",
-        "LV_feeder_ID": feeder,
-        "LV_feeder_name": " " if blank else f"FEEDER {feeder}",
-        "substation_geo_location": ", " if blank else "53.177918, -.643937",
-        "aggregated_device_count_Active": "15.3",
-        "Primary_consumption_active_import": "2331.5",
-        "Secondary_consumption_active_import": "",
-        "Total_consumption_active_import": "2330.5",
-        "Aggregated_device_count_reactive": "",
-        "Total_consumption_reactive_import": "",
-        "data_collection_log_timestamp": ts,
-        "Insert_time": "2024-02-14 00:07:06+00:00",
-        "last_modified_time": "2024-03-25 12:46:46+00:00",
-    }
-    return [row[c] for c in S.NGED_CSV_COLUMNS]
+        "dno_name": "South Network", "secondary_substation_id": sub, "LV_feeder_ID": feeder,
+        "aggregated_device_count_Active": "22.4", "Primary_consumption_active_import": "1180.5",
+        "Total_consumption_active_import": "1180.5", "data_collection_log_timestamp": f"{stamp}:00+00:00",
+        "Insert_time": "2025-05-02 01:00:00+00:00", "last_modified_time": "2025-05-03 01:00:00+00:00",
+        "substation_geo_location": ", ", "LV_feeder_name": " ",
+    }
+    if sub != NGED_FEEDERS[-1][0]:
+        row |= {"dataset_id": f"S{sub}F{feeder}", "dno_alias": "NGED", "secondary_substation_name": f"Quay {sub}", "LV_feeder_name": f"Quay {feeder}", "substation_geo_location": "52.610004, -1.120007"}
+    return row
+
+
+def nged_part_files(folder: str, year: int, month: int, parts: int = 3, extra_next_month: bool = False) -> list[str]:
+    os.makedirs(folder, exist_ok=True)
+    days = [f"{year:04d}-{month:02d}-{d:02d}" for d in range(1, calendar.monthrange(year, month)[1] + 1)]
+    rows = [nged_row(sub, feeder, f"{day} {time}") for day in days for time in NGED_TIMES for sub, feeder in NGED_FEEDERS]
+    if extra_next_month:
+        rows.append(nged_row(*NGED_FEEDERS[0], f"{year + month // 12:04d}-{month % 12 + 1:02d}-01 00:00"))
+    size = -(-len(rows) // parts)
+    return [
+        write_csv(f"{folder}/aggregated-smart-meter-data-lv-feeder-{year:04d}-{month:02d}-part{i:04d}.csv.gz", S.NGED_CSV_COLUMNS, rows[i * size : (i + 1) * size])
+        for i in range(parts)
+    ]

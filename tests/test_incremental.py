@@ -13,38 +13,35 @@ from meterflow.streaming import ingest as ST
 from fixtures import ssen_daily_files
 
 
-def ssen_listing(spark, tmp_path):
-    # 228 daily files from 2024-02-12 to 2024-09-27: one day in between never landed
-    start = dt.date(2024, 2, 12)
-    days = [start + dt.timedelta(days=i) for i in range(229)]
-    days.remove(dt.date(2024, 5, 20))
-    doc = {"objects": [{"downloadLink": f"https://files.example/lv/{d.isoformat()}.csv", "etag": "x"} for d in reversed(days)]}
+def ssen_listing(spark, tmp_path, days):
+    doc = {"objects": [{"downloadLink": f"https://files.example/lv/{d}.csv", "etag": d} for d in days]}
     path = tmp_path / "ssen.json"
     path.write_text(json.dumps(doc))
     return M.file_manifest_ssen(spark, str(path))
 
 
 def test_ssen_cursor(spark, tmp_path):
-    man = ssen_listing(spark, tmp_path)
-    assert man.first().filename == "2024-02-12.csv"  # sorted by name
-    assert IN.new_files_by_name(man, "").count() == 228
-    assert IN.new_files_by_name(man, "2024-08-31.csv").count() == 27
-    assert IN.new_files_by_name(man, "2024-09-27.csv").count() == 0
+    """The cursor is a file name: what sorts behind it is new, a gap or not."""
+    days = ["2025-01-09", "2024-12-30", "2025-01-03", "2024-12-31", "2025-01-02"]  # the portal's order; 1 January never landed
+    man = ssen_listing(spark, tmp_path, days)
+    assert [r.filename[:10] for r in man.collect()] == sorted(days)
+    for cursor in ["", *sorted(days), "2025-01-01", "2026"]:
+        new = {r.filename[:10] for r in IN.new_files_by_name(man, f"{cursor}.csv" if cursor else "").collect()}
+        assert new == {d for d in days if d > cursor}
 
 
 def test_nged_created_cursor(spark, tmp_path):
-    res = [
-        {"url": "https://files.example/aggregated-smart-meter-data-lv-feeder-2024-11-part0999.csv", "created": "2024-12-01T10:00:00"},
-        {"url": "https://files.example/aggregated-smart-meter-data-lv-feeder-2024-11-part0998.csv", "created": "2024-11-30T19:53:57"},
-        {"url": "https://files.example/readme.txt", "created": "2024-12-02T00:00:00"},
-    ]
+    """The cursor is the time of creation, whatever month a part belongs to."""
+    name = "https://files.example/aggregated-smart-meter-data-lv-feeder-{}-part{:04d}.csv".format
+    created = {("2025-03", 0): "2025-04-11T06:00:00", ("2025-03", 1): "2025-04-11T06:30:00", ("2025-02", 4): "2025-04-12T00:00:00"}
+    res = [{"url": name(*k), "created": v} for k, v in created.items()] + [{"url": "https://files.example/terms.pdf", "created": "2025-05-01T00:00:00"}]
     path = tmp_path / "nged.json"
     path.write_text(json.dumps({"resources": res}))
     man = M.file_manifest_nged(spark, str(path))
-    assert man.count() == 2
-    assert IN.new_files_by_created(man, "2024-11-30 19:53:57").count() == 1
-    assert IN.new_files_by_created(man, "2024-12-18 00:00:00").count() == 0
-    assert M.part_files_for_month(man, "2024-11-01").count() == 2
+    assert man.count() == len(created)
+    for cursor, n in (("2025-04-11 05:59:59", 3), ("2025-04-11 06:00:00", 2), ("2025-04-11 23:00:00", 1), ("2025-04-12 00:00:00", 0)):
+        assert IN.new_files_by_created(man, cursor).count() == n
+    assert M.part_files_for_month(man, "2025-03-01").count() == 2
 
 
 def test_affected_months_and_relanding(spark):
@@ -108,7 +105,7 @@ def test_stream_ingest_rebuilds_touched_months(spark, tmp_path):
     ST.ingest_stream(spark, landing, rebuild, checkpoint=chk)
     assert seen[-1] == ["2024-02-01", "2024-03-01"]
     st = spark.read.parquet(str(tmp_path / "st")).groupBy("month").count().collect()
-    assert {str(r.month): r["count"] for r in st} == {"2024-02-01": 18, "2024-03-01": 6}  # incremental = full rebuild
+    assert {str(r.month): r["count"] for r in st} == {"2024-02-01": 60, "2024-03-01": 20}  # incremental = full rebuild
 
 
 def test_stream_rejects_reordered_header(spark, tmp_path):

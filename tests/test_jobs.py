@@ -13,14 +13,14 @@ from meterflow import schemas as S
 from meterflow.operators import joins as J
 from meterflow.plans import jobs as JB
 
-from fixtures import nged_part_files, ssen_daily_files
+from fixtures import NGED_PER_DAY, SSEN_PER_DAY, nged_part_files, ssen_daily_files, ssen_rows, write_csv
 
 LOOKUP_SCHEMA = "substation_nrn string, substation_geo_location string"
 
 
 def lookup(spark):
-    a = spark.createDataFrame([("0002002001", "50.79,-2.43"), ("0002002002", "49.79,-1.43")], LOOKUP_SCHEMA)
-    b = spark.createDataFrame([("0002002001", "51.79,-2.53")], LOOKUP_SCHEMA)
+    a = spark.createDataFrame([("5310024417", "51.204,-1.753"), ("5310024862", "51.377,-1.418")], LOOKUP_SCHEMA)
+    b = spark.createDataFrame([("5310024417", "51.311,-1.662")], LOOKUP_SCHEMA)
     return J.merged_location_lookup(a, b)
 
 
@@ -54,12 +54,12 @@ def built(spark, tmp_path_factory):
 
 def test_ssen_month_rows_and_locations(spark, built):
     df = spark.read.parquet(built["staging"]).where("dno = 'SSEN' AND month = DATE'2024-02-01'")
-    assert df.count() == 6 * 29
+    assert df.count() == SSEN_PER_DAY * 29
     locs = {r.secondary_substation_id: r.substation_geo_location for r in df.select("secondary_substation_id", "substation_geo_location").distinct().collect()}
-    assert locs == {"001": "51.79,-2.53", "002": "49.79,-1.43", "003": None}
+    assert locs == {"417": "51.311,-1.662", "862": "51.377,-1.418", "950": None}
     assert not glob.glob(f"{built['staging']}/dno=SSEN/month=2024-03-01")  # no input, no output
     stats = {str(r.month): (r.row_count, r.nunique_feeders) for r in built["ssen"].stats.collect()}
-    assert stats == {"2024-02-01": (174, 6)}
+    assert stats == {"2024-02-01": (580, 4)}
 
 
 def assert_files_sorted_by_day(folder, cols):
@@ -75,36 +75,36 @@ def assert_files_sorted_by_day(folder, cols):
 
 def test_ssen_month_sorted(built):
     n = assert_files_sorted_by_day(f"{built['staging']}/dno=SSEN/month=2024-02-01", ["data_collection_log_timestamp", "dno_alias", "secondary_substation_id", "lv_feeder_id"])
-    assert n == 174
+    assert n == 580
 
 
 def test_nged_month_cleaning_and_stats(spark, built):
     df = spark.read.parquet(built["staging"]).where("dno = 'NGED' AND month = DATE'2024-01-01'")
-    assert df.count() == 186
-    blank = df.where("secondary_substation_id = '345678'").first()
+    assert df.count() == 248
+    blank = df.where("secondary_substation_id = '640022'").first()
     assert blank.dataset_id is None and blank.secondary_substation_name is None and blank.lv_feeder_name is None
     assert blank.substation_geo_location is None and blank.dno_alias == "NGED"
     stats = {str(r.month): (r.row_count, r.nunique_feeders) for r in built["nged"].stats.collect()}
-    assert stats["2024-01-01"] == (187, 6)  # counted before the month filter, as published
+    assert stats["2024-01-01"] == (249, 4)  # counted before the month filter, as published
     outside = {str(r.month): r.rows_outside_month for r in built["nged"].outside.collect()}
     assert outside == {"2024-01-01": 1}
-    assert assert_files_sorted_by_day(f"{built['staging']}/dno=NGED/month=2024-01-01", ["data_collection_log_timestamp", "dno_alias", "secondary_substation_id", "lv_feeder_id"]) == 186
+    assert assert_files_sorted_by_day(f"{built['staging']}/dno=NGED/month=2024-01-01", ["data_collection_log_timestamp", "dno_alias", "secondary_substation_id", "lv_feeder_id"]) == 248
 
 
 def test_combined_month(spark, built):
     pub = spark.read.parquet(built["published"])
     feb = pub.where("month = DATE'2024-02-01'")
-    assert feb.count() == 6 * 29 * 2
+    assert feb.count() == (SSEN_PER_DAY + NGED_PER_DAY) * 29
     stats = {str(r.month): (r.row_count, r.nunique_feeders, r.nunique_substations) for r in built["combined"].stats.collect()}
-    assert stats["2024-02-01"] == (348, 12, 6)
-    assert stats["2024-01-01"] == (186, 6, 3)
+    assert stats["2024-02-01"] == (812, 8, 6)
+    assert stats["2024-01-01"] == (248, 4, 3)
     assert pub.columns[:8] == S.PUBLISHED_COLUMNS
-    r = feb.where("lv_feeder_unique_id = 'SSEN-000200200101'").first()
-    assert (r.aggregated_device_count_active, r.total_consumption_active_import) == (16, 2332)  # 15.5 -> 16, 2331.5 -> 2332
+    r = feb.where("lv_feeder_unique_id = 'SSEN-531002441703'").first()
+    assert (r.aggregated_device_count_active, r.total_consumption_active_import) == (8, 642)  # 7.5 -> 8, 641.5 -> 642: to even
     n = feb.where("dno_alias = 'NGED'").first()
-    assert (n.aggregated_device_count_active, n.total_consumption_active_import) == (15, 2330)  # 2330.5 -> 2330
+    assert (n.aggregated_device_count_active, n.total_consumption_active_import) == (22, 1180)  # 1180.5 -> 1180
     ids = {(x.secondary_substation_unique_id, x.lv_feeder_unique_id) for x in feb.where("dno_alias = 'NGED'").collect()}
-    assert ("NGED-234567", "NGED-234567-1") in ids
+    assert ("NGED-771203", "NGED-771203-4") in ids
 
 
 def test_geoparquet_files(built):
@@ -123,23 +123,23 @@ def test_geoparquet_files(built):
             assert g is not None
             if math.isnan(g["x"]):
                 empty += 1
-    assert rows == 348 and empty == 29 * 2 * 2  # SSEN 003 (no lookup) and NGED blank location
-    assert assert_sorted(f"{built['published']}/month=2024-02-01", S.PUBLISHED_SORT) == 348
+    assert rows == 812 and empty == 29 * (5 + 2)  # SSEN 950 (no lookup) and NGED blank location
+    assert assert_sorted(f"{built['published']}/month=2024-02-01", S.PUBLISHED_SORT) == 812
 
 
 def test_rebuild_replaces_only_its_month(spark, built):
     before = spark.read.parquet(built["staging"]).where("dno = 'NGED' AND month = DATE'2024-01-01'").count()
     JB.build_nged_months(spark, f"{built['root']}/raw/nged", built["staging"], ["2024-02-01"])
     after = spark.read.parquet(built["staging"]).where("dno = 'NGED'").groupBy("month").count().collect()
-    assert {str(r.month): r["count"] for r in after} == {"2024-01-01": before, "2024-02-01": 6 * 29}
+    assert {str(r.month): r["count"] for r in after} == {"2024-01-01": before, "2024-02-01": NGED_PER_DAY * 29}
 
 
 def test_one_dno_odd_days(spark, tmp_path):
     root = str(tmp_path)
-    ssen_daily_files(f"{root}/raw", 2024, 1, days=range(1, 32, 2))
+    ssen_daily_files(f"{root}/raw", 2024, 1, days=range(3, 31, 4))
     JB.build_ssen_months(spark, f"{root}/raw", lookup(spark), f"{root}/st", ["2024-01-01"])
     res = JB.build_combined_months(spark, f"{root}/st", f"{root}/pub", ["2024-01-01"])
-    assert res.stats.first().row_count == 6 * 16
+    assert res.stats.first().row_count == SSEN_PER_DAY * 7
 
 
 def test_no_input_no_output(spark, tmp_path):
@@ -149,13 +149,13 @@ def test_no_input_no_output(spark, tmp_path):
 
 def test_bad_file_rejected_whole(spark, tmp_path):
     folder = str(tmp_path / "raw")
-    ssen_daily_files(folder, 2024, 2, days=[12])
-    ssen_daily_files(folder, 2024, 2, days=[13], consumption="not-a-number")
+    ssen_daily_files(folder, 2024, 2, days=[5])
+    ssen_daily_files(folder, 2024, 2, days=[6], consumption="n/a")
     out = JB.ingest_raw(spark, folder, "SSEN")
     bad = [r.source_file for r in out["bad_files"].collect()]
-    assert len(bad) == 1 and bad[0].endswith("2024-02-13.csv.gz")
+    assert len(bad) == 1 and bad[0].endswith("2024-02-06.csv.gz")
     stats = out["stats"].collect()
-    assert len(stats) == 1 and stats[0].row_count == 6 and stats[0].nunique_feeders == 6
+    assert len(stats) == 1 and stats[0].row_count == SSEN_PER_DAY and stats[0].nunique_feeders == 4
     assert {r.name for r in out["schema"].collect()} == set(S.CANONICAL_COLUMNS)
 
 
@@ -166,7 +166,7 @@ def test_read_readings_pushes_filters_and_prunes_months(spark, built):
         spark,
         built["published"],
         columns=["secondary_substation_unique_id", "total_consumption_active_import", "geometry"],
-        filters=[("data_collection_log_timestamp", "=", "2024-02-10 00:30:00")],
+        filters=[("data_collection_log_timestamp", "=", "2024-02-10 04:30:00")],
         bbox=(-3.0, 50.0, 0.0, 54.0),
     )
     import contextlib
@@ -182,7 +182,7 @@ def test_read_readings_pushes_filters_and_prunes_months(spark, built):
     assert "geometry.x" in scan and "geometry.y" in scan  # so does the bbox
     assert "dataset_id" not in scan.split("ReadSchema:")[1].split("\n")[0]  # unused columns pruned
     rows = df.collect()
-    assert len(rows) == 6  # NGED rows at 53.18 N, -0.64 E (3 substations x 2 feeders, blank one has no point)
+    assert len(rows) == 6  # NGED: three feeders with a point; SSEN: 417 twice and 862
 
 
 def test_lookup_join_is_broadcast_and_guarded(spark, tmp_path):
@@ -206,7 +206,7 @@ def test_read_staging_month_and_late_rows(spark, built):
     from meterflow.sources import readers as R
 
     feb = R.read_staging_month(spark, built["staging"], "SSEN", "2024-02")
-    assert feb.count() == 174 and "month" not in feb.columns
+    assert feb.count() == 580 and "month" not in feb.columns
     tagged = spark.read.parquet(built["staging"]).where("dno = 'NGED'")
     assert Q.late_rows(tagged.withColumnRenamed("month", "file_month")).count() == 0  # FI3 already dropped them
 
@@ -230,5 +230,70 @@ def test_rebuilding_published_month_replaces_its_files(spark, built):
     before = sorted(glob.glob(f"{built['published']}/month=2024-01-01/*.parquet"))
     JB.build_combined_months(spark, built["staging"], built["published"], ["2024-02-01"])
     feb = spark.read.parquet(built["published"]).where("month = DATE'2024-02-01'")
-    assert feb.count() == 348  # replaced, not appended
+    assert feb.count() == 812  # replaced, not appended
     assert sorted(glob.glob(f"{built['published']}/month=2024-01-01/*.parquet")) == before  # other months untouched
+
+
+def test_failed_rebuild_leaves_the_month(spark, built):
+    """One task of a rebuild fails: the published month stays row for row."""
+    from meterflow.sinks import geoparquet as GP
+
+    GP.register(spark)
+    root = built["published"]
+    before = sorted(map(repr, spark.read.parquet(root).where("month = DATE'2024-02-01'").collect()))
+    rows = spark.read.parquet(root).where("month = DATE'2024-02-01'").repartition(4)
+    broken = rows.where(F.when(F.spark_partition_id() == 3, F.raise_error(F.lit("lost")).cast("boolean")).otherwise(True))
+    with pytest.raises(Exception):
+        broken.write.format("meterflow_geoparquet").mode("append").option("path", root).save()
+    after = sorted(map(repr, spark.read.parquet(root).where("month = DATE'2024-02-01'").collect()))
+    assert after == before
+    assert not glob.glob(f"{root}/_temporary/*")
+
+
+def test_other_header_order_fails(spark, tmp_path):
+    """Columns are taken by name: a file with swapped columns is not read by position."""
+    from meterflow.sources import readers as R
+
+    os.makedirs(tmp_path / "raw")
+    write_csv(str(tmp_path / "raw/2024-02-01.csv.gz"), S.SSEN_CSV_COLUMNS, ssen_rows("2024-02-01"))
+    write_csv(str(tmp_path / "raw/2024-02-02.csv.gz"), S.SSEN_CSV_COLUMNS[::-1], ssen_rows("2024-02-02"))
+    with pytest.raises(Exception, match="header"):
+        R.read_daily_readings(spark, str(tmp_path / "raw")).collect()
+
+
+def test_month_rows_do_not_depend_on_the_batch(spark, tmp_path):
+    """A row staged under another month than its own counts in neither build."""
+    st = str(tmp_path / "st")
+    nged_part_files(str(tmp_path / "raw"), 2024, 2)
+    nged_part_files(str(tmp_path / "raw"), 2024, 3)
+    JB.build_nged_months(spark, str(tmp_path / "raw"), st, ["2024-02-01", "2024-03-01"])
+    stray = spark.read.parquet(st).where("month = DATE'2024-02-01'").limit(1)
+    stray = stray.withColumn("data_collection_log_timestamp", F.lit("2024-03-01 00:00:00").cast(stray.schema["data_collection_log_timestamp"].dataType))
+    stray.write.mode("append").partitionBy("dno", "month").parquet(st)
+    n = {k: JB.combined_rows(spark, st, k.split()).count() for k in ("2024-02-01", "2024-03-01", "2024-02-01 2024-03-01")}
+    assert n == {"2024-02-01": 232, "2024-03-01": 248, "2024-02-01 2024-03-01": 480}
+
+
+def test_listed_part_that_has_not_landed_fails(spark, tmp_path):
+    files = nged_part_files(str(tmp_path / "raw"), 2024, 2)
+    names = [os.path.basename(f) for f in files]
+    with pytest.raises(FileNotFoundError, match="part0007"):
+        JB.build_nged_months(spark, str(tmp_path / "raw"), str(tmp_path / "st"), ["2024-02-01"], listed=[*names, names[0].replace("part0000", "part0007")])
+
+
+def test_pivot_over_the_feeders_present(spark):
+    from meterflow.operators import aggregates as A
+
+    df = spark.createDataFrame([(1, "1", 2.0), (1, "9", 3.0)], "t long, f string, v double")
+    assert A.pivot_feeders(df, ["t"], "f", None, "v").first().asDict() == {"t": 1, "f_1": 2.0, "f_9": 3.0}
+    with pytest.raises(Exception, match="outside the list"):
+        A.pivot_feeders(df, ["t"], "f", ["1"], "v").collect()
+
+
+def test_offset_bound_prunes_utc_months():
+    import datetime as dt
+
+    from meterflow.operators import filters as FL
+
+    bound = dt.datetime(2024, 7, 1, tzinfo=dt.timezone(dt.timedelta(hours=1)))
+    assert "2024-06-01" in str(FL.month_predicate_from_filters([("data_collection_log_timestamp", ">=", bound)]))

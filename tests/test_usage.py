@@ -17,12 +17,12 @@ def test_readme_pipeline(spark, tmp_path):
     nged_part_files(f"{base}/raw/nged", 2024, 2)
     nged_part_files(f"{base}/raw/nged", 2024, 3, parts=2)
     os.makedirs(f"{base}/raw/ons/onspd/Data")
-    open(f"{base}/raw/ons/onspd/Data/ONSPD_X.csv", "w").write("pcd,lat,long\nAB1 0AA,57.101474,-2.242851\nAB1 0AB,57.101474,-2.242853\n")
+    open(f"{base}/raw/ons/onspd/Data/ONSPD_X.csv", "w").write("pcd,lat,long\nRG9 1XA,51.534218,-0.902113\nRG9 1XB,51.534218,-0.902153\n")
     open(f"{base}/raw/ssen/lv_feeder_postcode_mapping.csv", "w").write(
         "dataset_id,postcode,primary_substation_id,hv_feeder_id,secondary_substation_id,lv_feeder_id,lv_feeder_name\n"
-        "000200200101,AB1 0AA,0002,002,001,01,\n000200200102,AB1 0AB,0002,002,001,02,\n"
+        "531002441703,RG9 1XA,5310,024,417,03,\n531002441711,RG9 1XB,5310,024,417,11,\n"
     )
-    open(f"{base}/raw/ssen/transformers.csv", "w").write("full_nrn,latitude,longitude\n2_2_2,57.101671,-2.241243\n")
+    open(f"{base}/raw/ssen/transformers.csv", "w").write("full_nrn,latitude,longitude\n5310_24_862,51.603001,-0.954002\n")
 
     lookup_a = locations.substation_locations_from_postcodes(
         R.read_postcode_mapping(spark, f"{base}/raw/ssen/lv_feeder_postcode_mapping.csv"),
@@ -33,8 +33,9 @@ def test_readme_pipeline(spark, tmp_path):
     )
     lookup = J.merged_location_lookup(lookup_a, lookup_b.select("substation_nrn", "substation_geo_location"))
     got = dict(map(tuple, lookup.collect()))
-    assert got["0002002001"] == "57.101474,-2.242852"  # line midpoint of the two postcodes
-    assert got["0002002002"].startswith("57.1014")  # Helmert fallback, metres from the grid golden
+    assert got["5310024417"] == "51.534218,-0.902133"  # line midpoint of the two postcodes
+    lat, lon = map(float, got["5310024862"].split(","))  # Helmert fallback: about a hundred metres off
+    assert 0 < abs(lat - 51.603001) < 0.01 and 0 < abs(lon + 0.954002) < 0.01
 
     months = ["2024-02-01", "2024-03-01"]
     staging, published = f"{base}/staging", f"{base}/published"
@@ -47,12 +48,12 @@ def test_readme_pipeline(spark, tmp_path):
     assert seen == [months]
 
     counts = {str(r.month): r["count"] for r in spark.read.parquet(published).groupBy("month").count().collect()}
-    assert counts == {"2024-02-01": 348, "2024-03-01": 12 + 186}
+    assert counts == {"2024-02-01": 812, "2024-03-01": 40 + 248}
     half_hour = R.read_readings(
-        spark, published, filters=[("data_collection_log_timestamp", "=", "2024-03-01 00:30:00")], bbox=(-3.0, 50.0, 0.0, 58.0)
+        spark, published, filters=[("data_collection_log_timestamp", "=", "2024-03-01 04:30:00")], bbox=(-3.0, 50.0, 0.0, 58.0)
     )
     assert analytics.consumption_map(half_hour).count() == 4
     daily = analytics.feeder_timeseries(
-        R.read_readings(spark, published, filters=[("secondary_substation_unique_id", "==", "SSEN-0002002001")])
+        R.read_readings(spark, published, filters=[("secondary_substation_unique_id", "==", "SSEN-5310024417")])
     )
     assert daily.count() == 2 * 31  # two feeders, 1 Feb .. 2 Mar
