@@ -183,12 +183,12 @@ def dedup_lines(
         stored.join(hot, KEY)
         .filter(~same(F.col("id"), F.col("keeper")))
         .select("id", F.concat(*[F.unhex(F.lpad(F.hex(k), 16, "0")) for k in KEY]).alias("k"))
-        .groupBy("id").agg(F.collect_set("k").alias("__drop"))
+        .groupBy(F.col("id").alias("__of")).agg(F.collect_set("k").alias("__drop"))
     )
     names = ["n_lines", "n_dropped", "kept_sha256"]
     wanted = [c for c in (columns or docs.columns) if c not in names and c != text_col]
     left = docs.select(*wanted, F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    joined = left.join(drop, same(left["__id"], drop["id"]), "left").drop("id", "__id")
+    joined = left.join(drop, same(F.col("__id"), F.col("__of")), "left").drop("__of", "__id")
     made = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in wanted), "__kept string, __n_lines long, __n_dropped long, __sha string"])
     out = joined.mapInArrow(lambda it: _rebuild(it, min_chars), made)
     order = [c for c in (columns or docs.columns) if c not in names]
