@@ -92,6 +92,8 @@ class PieceEncoder:
         split: list[list[str] | None] = []
         firsts: list[str] = []
         for t in texts:
+            if self.word_ends and t.isascii() and "<|" not in t:
+                t = t.lower()  # as the tokenizer does, so that cases share a piece
             spread = t.replace("\n", " \n")
             if "  " in spread or not t or t[0].isspace() or t[-1].isspace() or _UNSURE.search(t):
                 split.append(None)

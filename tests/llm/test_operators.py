@@ -74,7 +74,7 @@ def test_bit_packing_round_trip(ids, bits):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_encode_as_the_whole_text(name):
     enc = PieceEncoder(tokenizer_path(name), 50)
-    texts = ["", " ", "a  b   c ", "Don't stop.\n\nNext\tline\r\n", "ÉTÉ déjà vu x", "<|endoftext|> as text", "x\x1cy !", "数字 12,345.6", "end\n", " lead", "é ñ", "w" * 5000, "a \nb\n c"]
+    texts = ["", " ", "A Mixed CASE text.", "<|ENDOFTEXT|> A", "a  b   c ", "Don't stop.\n\nNext\tline\r\n", "ÉTÉ déjà vu x", "<|endoftext|> as text", "x\x1cy !", "数字 12,345.6", "end\n", " lead", "é ñ", "w" * 5000, "a \nb\n c"]
     assert enc.encode(texts) == enc._direct(texts) == enc.encode(texts)
 
 
