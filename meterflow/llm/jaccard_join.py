@@ -4,9 +4,11 @@ A document's set holds its distinct shingles of ``words`` words (64-bit
 hashes); two documents link when |A and B| / |A or B| >= 3/4. Copies with one
 and the same set are one node, named by the smallest id.
 
-1. One pass counts, per batch, the shingles that several documents share, and
-   adds the counts up in a table of fixed size (``FREQUENCY`` counters). It
-   gives all tasks one order of shingles, rare ones first; any order is exact.
+1. One pass counts the shingles of all documents in a table of fixed size
+   (``FREQUENCY`` counters; the tasks' tables are added up in slices). It gives
+   all tasks one order of shingles, rare ones first; any order is exact. A
+   shingle in many more documents than the square root of its counter's share
+   stands out, so the lists of prefix shingles grow by a root of the input.
 2. A set of n shingles has a prefix of n - ceil(3n/4) + 1: two linking sets
    share a shingle of their prefixes. Documents with identical prefixes and
    size form one group, and only groups are joined, by prefix shingle. Group
@@ -35,6 +37,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +49,8 @@ from pyspark.sql import functions as F
 from .common import keep, shared_path, ship, with_ids
 
 WORDS = 5
-FREQUENCY = 1 << 20
-OFTEN = 4
+FREQUENCY = 1 << 21
+SLICE = 1 << 16
 _MIX = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
 
@@ -103,7 +106,8 @@ def prefix(s: np.ndarray, often: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: id, size, set id of each document. Kind 1: counter, count."""
+    """Kind 0: id, size, set id of each document. Kind 1: slice, its counters."""
+    counts = np.zeros(FREQUENCY, np.int64)
     for b in batches:
         sets = [shingle_set(t.as_py(), words) for t in b.column(1)]
         n = len(sets)
@@ -113,10 +117,23 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         )
         step = 2000  # sets counted at a time
         for i in range(0, n, step):
-            h, c = np.unique(np.concatenate(sets[i : i + step]), return_counts=True)
-            h, c = h[c >= OFTEN] & (FREQUENCY - 1), c[c >= OFTEN]
-            if len(h):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(h), np.int32)), pa.array(h), pa.array(c.astype(np.int64)), pa.nulls(len(h), pa.binary())], names=names)
+            counts += np.bincount(np.concatenate(sets[i : i + step]) & (FREQUENCY - 1), minlength=FREQUENCY)
+    at, packed = _pack({i: c for i, c in enumerate(counts.reshape(-1, SLICE)) if c.any()})
+    yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), at, pa.nulls(len(at), pa.int64()), packed], names=["kind", "id", "n", "fp"])
+
+
+def _pack(slices: dict[int, np.ndarray]) -> list[pa.Array]:
+    return [pa.array(list(slices), pa.int64()), pa.array([zlib.compress(c.tobytes(), 1) for c in slices.values()], pa.binary())]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of counters, added up: FREQUENCY of them in memory at most."""
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for i, z in zip(b.column(0).to_pylist(), b.column(1)):
+            c = np.frombuffer(zlib.decompress(z.as_py()), np.int64)
+            total[i] = total[i] + c if i in total else c
+    yield pa.RecordBatch.from_arrays(_pack(total), names=["id", "fp"])
 
 
 def _postings(batches: Iterator[pa.RecordBatch], often: np.ndarray, words: int) -> Iterator[pa.RecordBatch]:
@@ -267,9 +284,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stored = spark.read.schema(kinds).parquet(path)
     nodes = stored.filter("kind = 0").select("id", "n", "fp")
 
-    often = np.zeros(FREQUENCY, np.int32)  # at most FREQUENCY rows come here
-    counted = stored.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    often[counted["id"].to_numpy()] = np.minimum(counted["n"].to_numpy(), 2**31 - 1)
+    often = np.zeros(FREQUENCY, np.int32)  # at most FREQUENCY counters come here
+    slices = stored.filter("kind = 1").select("id", "fp").mapInArrow(_counted, "id long, fp binary")
+    for i, z in slices.repartition("id").mapInArrow(_counted, "id long, fp binary").collect():
+        often[i * SLICE : (i + 1) * SLICE] = np.minimum(np.frombuffer(zlib.decompress(z), np.int64), 2**31 - 1)
     sent = spark.sparkContext.broadcast(often)
 
     path = shared_path(spark, "prefix-lists")
