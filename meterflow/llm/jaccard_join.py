@@ -54,9 +54,9 @@ SLICE = 1 << 16
 _MIX = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Hashes (uint64) of a text's runs of ``words`` words, in their order."""
-    found = (text or "").encode().lower().split()  # ASCII: A-Z, and blanks 20, 09-0D
+def shingles(text: str | bytes | None, words: int = WORDS) -> np.ndarray:
+    """Hashes (uint64) of a text's (or its UTF-8 bytes') runs of ``words`` words, in their order."""
+    found = (text.encode() if isinstance(text, str) else text or b"").lower().split()  # ASCII: A-Z, and blanks 20, 09-0D
     if not found:
         return np.zeros(0, np.uint64)
     w = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
