@@ -5,13 +5,19 @@ from itself; a document's score is the sum of the log-probabilities of all its
 words. The network, in numpy: one hidden layer over the context words (a weight
 table for each place, tanh), then a two-level softmax: 32 classes, 32 words in
 each. Its 1024 outputs are the corpus' most frequent words, counted over all
-documents, and ``BUCKETS`` buckets that share all other words by hash.
+documents, and ``BUCKETS`` buckets that share all other words by hash. A word of
+a bucket has the bucket's probability times its own share of it, by Witten and
+Bell from the counts of all words: n / (N + T) for a word counted n times in a
+bucket of N words, T of them distinct. The T / (N + T) left is for words the
+corpus lacks, spread by their bytes (``unseen_log``). The counts are a table, as
+long as the corpus has words, and are joined to the words of the documents.
 
 Training goes over all documents in ``rounds`` rounds. In each, every task
 trains on its documents of the round from the common weights (Adagrad, every
-``stride``-th word a target) and gives its weights and its number of targets;
+word a target, or every ``stride``-th) and gives its weights and its number of targets;
 Spark adds them up in two levels, and their mean is the next common model. Only
-that mean, a fixed 0.5 MB, comes to the driver.
+that mean, a fixed 0.5 MB, the frequent words and the buckets' sizes come to the
+driver.
 
 Words are runs without ASCII white space, A-Z lower-cased.
 
@@ -26,15 +32,16 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import keep, ship
 
 CLASSES, IN_CLASS = 32, 32
 OUT = CLASSES * IN_CLASS
@@ -43,7 +50,7 @@ SIDE = 2
 HIDDEN = 24
 PAD = OUT
 ROUNDS = 3
-STRIDE = 3
+STRIDE = 1
 BATCH = 1024
 CHUNKS = 16
 SHAPES = [(2 * SIDE, OUT + 1, HIDDEN), (HIDDEN,), (CLASSES, HIDDEN), (CLASSES,), (CLASSES, IN_CLASS, HIDDEN), (CLASSES, IN_CLASS)]
@@ -72,8 +79,31 @@ class WordIds(dict):
         return out
 
     def ids(self, text: str | None) -> np.ndarray:
+        return self.both(text)[1]
+
+    def both(self, text: str | None) -> tuple[list[bytes], np.ndarray]:
         words = (text or "").encode().lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return words, np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
+class Vocabulary(list):
+    """The frequent words, with the table of all words' counts (word, n) and,
+    for each bucket, the number of its words and of its distinct ones."""
+
+    def __init__(self, words: list[bytes], counts: DataFrame, sizes: list[tuple[int, int]]):
+        super().__init__(words)
+        self.counts, self.sizes = counts, sizes
+
+
+def in_bucket(out: np.ndarray) -> np.ndarray:
+    """Which outputs are buckets (of the last ranks)."""
+    return out % IN_CLASS >= (OUT - BUCKETS) // CLASSES
+
+
+def unseen_log(length: Column) -> Column:
+    """Log-probability of a word of ``length`` bytes among all byte strings of
+    a bucket: each byte, or the end, one of 257."""
+    return F.lit(float(np.log(BUCKETS))) - (length + 1) * float(np.log(257))
 
 
 def split_weights(flat: np.ndarray) -> list[np.ndarray]:
@@ -216,22 +246,33 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.binary()), pa.array(c.values(), pa.int64())], names=["word", "n"])
 
 
-def frequent_words(texts: DataFrame) -> list[bytes]:
-    """The most frequent words of all documents, ties by their bytes."""
+def bucket_of(word: str = "word") -> Column:
+    return F.pmod(F.crc32(word), F.lit(BUCKETS)).cast("int")
+
+
+def vocabulary(texts: DataFrame) -> Vocabulary:
+    """The most frequent words of all documents, ties by their bytes, and the
+    counts of all."""
     counts = texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(OUT - BUCKETS)
-    return [bytes(r["word"]) for r in top.collect()]
+    counts = keep(counts, "word-counts")
+    top = counts.orderBy(F.desc("n"), "word").limit(OUT - BUCKETS).collect()
+    sizes = np.zeros((BUCKETS, 2), np.int64)
+    for r in counts.groupBy(bucket_of().alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("t")).collect():  # BUCKETS rows
+        sizes[r["b"]] = r["n"], r["t"]
+    for r in top:  # the frequent words are in no bucket
+        sizes[zlib.crc32(r["word"]) % BUCKETS] -= (r["n"], 1)
+    return Vocabulary([bytes(r["word"]) for r in top], counts, [(int(n), int(t)) for n, t in sizes])
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride: int = STRIDE) -> tuple[list[bytes], np.ndarray]:
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride: int = STRIDE) -> tuple[Vocabulary, np.ndarray]:
     """Vocabulary and weights, from all documents."""
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    words, weights = frequent_words(texts), first_weights()
+    words, weights = vocabulary(texts), first_weights()
     kind = "chunk int, part int, n long, w binary"
     for r in range(rounds):
-        sent = spark.sparkContext.broadcast((words, weights))
+        sent = spark.sparkContext.broadcast((list(words), weights))
         own = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r)  # every text in one round
         got = own.mapInArrow(lambda it, sent=sent: _train(it, *sent.value, stride), kind)
         got = got.repartition("chunk", "part").mapInArrow(lambda it: _add(it, False), kind)
@@ -242,24 +283,56 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride:
     return words, weights
 
 
+def _rows(columns: dict[str, list | np.ndarray | pa.Array], ids: pa.DataType, most: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Batches with all of ``PARTS``; those not given are null."""
+    n = len(columns["key"])
+    kinds = {"key": pa.int64(), "id": ids, "n_words": pa.int64(), "log_prob": pa.float64(), "word": pa.binary(), "times": pa.int64()}
+    b = pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()], names=list(kinds))
+    for i in range(0, n, most):
+        yield b.slice(i, most)
+
+
 def _scores(batches: Iterator[pa.RecordBatch], vocabulary: list[bytes], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row per document, under the network alone, and a row for each of its
+    distinct words without an output of its own. A document's ``word`` is its
+    key after a blank, which no word has: it joins with nothing, in no one task."""
     ids = WordIds(vocabulary)
+    key = TaskContext.get().partitionId() << 33
     for a, z, b in _groups(batches, 1):
-        docs = [ids.ids(t.as_py()) for t in b.column(1).slice(a, z - a)]
+        of_id, texts = b.column(0).slice(a, z - a), b.column(1).slice(a, z - a)
+        docs, key_of, rare, times = [], [], [], []
+        for k, t in enumerate(texts):
+            words, out = ids.both(t.as_py())
+            docs.append(out)
+            found = Counter(compress(words, in_bucket(out).tolist()))
+            rare += found.keys()
+            times += found.values()
+            key_of += [key + k] * len(found)
         n = np.asarray([len(d) for d in docs], np.int64)
         flat, at = padded(docs)
         of, total = np.repeat(np.arange(len(docs)), n), np.zeros(len(docs))
         for i in range(0, len(at), 50_000):  # a very long text has no more at once
             lp = log_probs(weights, flat, at[i : i + 50_000]).astype(np.float64)
             total += np.bincount(of[i : i + 50_000], lp, len(docs))
-        mean = np.divide(total, n, out=np.zeros(len(docs)), where=n > 0)
-        yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array(n), pa.array(total), pa.array(mean, mask=n == 0)], names=["id", "n_words", "log_prob", "mean_log_prob"])
+        own = np.arange(key, key + len(docs))
+        yield from _rows({"key": own, "id": of_id, "n_words": n, "log_prob": total, "word": [b" %d" % k for k in own]}, of_id.type)
+        yield from _rows({"key": key_of, "word": rare, "times": times}, of_id.type)
+        key += len(docs)
 
 
-def score(docs: DataFrame, words: list[bytes], weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, words: Vocabulary, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, n_words, log_prob (sum), mean_log_prob."""
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast((words, weights))
+    sent = docs.sparkSession.sparkContext.broadcast((list(words), weights))
     only = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return only.mapInArrow(lambda it: _scores(it, *sent.value), f"id {kind}, n_words long, log_prob double, mean_log_prob double").withColumnRenamed("id", id_col)
+    parts = only.mapInArrow(lambda it: _scores(it, *sent.value), f"key long, id {kind}, n_words long, log_prob double, word binary, times long")
+    joined = parts.join(words.counts, "word", "left")
+    all_n, distinct = (F.element_at(F.array(*[F.lit(float(s[i])) for s in words.sizes]), bucket_of() + 1) for i in (0, 1))
+    # a bucket without any counted word is all left to new ones
+    base = F.when(all_n > 0, F.log(distinct) - F.log(all_n + distinct)).otherwise(0.0) + unseen_log(F.length("word"))
+    share = F.when(F.col("n").isNotNull(), F.log(F.col("n").cast("double")) - F.log(all_n + distinct)).otherwise(base)
+    one = F.coalesce("log_prob", F.col("times") * share)
+    got = joined.groupBy("key").agg(F.max("id").alias(id_col), F.max("n_words").alias("n_words"), F.sum(one).alias("log_prob"))
+    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
+    return got.select(id_col, "n_words", "log_prob", mean.alias("mean_log_prob"))
