@@ -21,9 +21,11 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.columns import month_from_nged_url, month_from_ssen_url
 from ..functions.timefns import month_start
+from ..operators import windows as W
 from ..session import checkpoint_dir
 
 TS = "data_collection_log_timestamp"
+MONTH = "__month"
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -41,20 +43,6 @@ def scratch_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     return base + "/checkpoint", base + "/output"
 
 
-def with_event_time(df: DataFrame, column: str = TS) -> DataFrame:
-    """Watermarks need a zoned TIMESTAMP; a naive column gets a zoned copy."""
-    typ = df.schema[column].dataType
-    if isinstance(typ, T.TimestampNTZType):
-        return df.withColumn("__event_time", F.col(column).cast("timestamp"))
-    return df.withColumn("__event_time", F.col(column))
-
-
-def dedupe_stream(df: DataFrame, keys: list[str], delay: str = "31 days", column: str = TS) -> DataFrame:
-    """Drop repeated (timestamp, feeder) rows within the watermark delay (IN8)."""
-    timed = with_event_time(df, column)
-    return timed.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark(keys).drop("__event_time")
-
-
 def run_available(
     stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str, name: str | None = None
 ) -> None:
@@ -113,10 +101,37 @@ def ingest_stream(
     run_available(raw, on_batch, chk)
 
 
-def stream_to_parquet(stream: DataFrame, output: str, checkpoint: str) -> None:
-    """Write each micro-batch to its own folder, overwritten on retry."""
+def dedupe_stream(stream: DataFrame, keys: list[str], output: str, checkpoint: str, column: str = TS) -> None:
+    """One row per ``keys`` (the timestamp ``column`` among them) in ``output``,
+    a folder per month, however late a row or its repetition arrives (IN8).
+
+    There is no watermark, so nothing is too late: each batch's rows are landed
+    beside ``output`` by month, and the months a batch touches are de-duplicated
+    again (WN1) from all their landed rows and written with dynamic partition
+    overwrite. Repetitions share the timestamp, hence the month. A retried batch
+    overwrites what it landed. A batch brings its distinct months to the driver.
+    """
+    if column not in keys:
+        raise ValueError(f"{column} must be one of the keys: repetitions are looked for in one month")
+    landed = f"{output.rstrip('/')}-landed"
+    columns = stream.columns
+    schema = T.StructType([*stream.schema.fields, T.StructField(MONTH, T.StringType())])
+    month = F.coalesce(F.date_format(F.col(column), "yyyy-MM"), F.lit("none"))
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
+        path = f"{landed}/epoch={epoch}"
+        _by_month(batch.withColumn(MONTH, month), path, "static")
+        read = batch.sparkSession.read.schema(schema)
+        months = [r[MONTH] for r in read.parquet(path).select(MONTH).distinct().collect()]
+        rows = read.parquet(landed).where(F.col(MONTH).isin(months)).select(*columns, MONTH)
+        if set(columns) == set(keys):
+            kept = rows.dropDuplicates()
+        else:
+            kept = W.first_by(rows, [*keys, MONTH], [])
+        _by_month(kept.hint("rebalance", MONTH), output, "dynamic")
 
     run_available(stream, on_batch, checkpoint)
+
+
+def _by_month(df: DataFrame, path: str, overwrite: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(MONTH).parquet(path)
