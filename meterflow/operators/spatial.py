@@ -149,3 +149,61 @@ def within_distance(
     """Points within ``distance`` of any polygon: a left-semi result (JN5)."""
     pairs = within_distance_pairs(points, polygons, distance, point_key=point_key, **kw)
     return points.join(pairs.select(point_key).distinct(), point_key, "left_semi")
+
+
+def _segment_distance2(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    dx, dy = bx - ax, by - ay
+    len2 = dx * dx + dy * dy
+    t = F.when(len2 == 0, F.lit(0.0)).otherwise(((px - ax) * dx + (py - ay) * dy) / len2)
+    t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
+    qx, qy = ax + t * dx, ay + t * dy
+    return (px - qx) * (px - qx) + (py - qy) * (py - qy)
+
+
+def _edge_cells(edges: DataFrame, side: float, grow: float) -> DataFrame:
+    """A row per edge and grid cell that comes within ``grow`` of it: the cells
+    of its grown box, less those whose centre is too far for the cell to be near
+    (a long oblique edge keeps a strip of cells, not its whole box)."""
+
+    def span(a, b):
+        return F.sequence(F.floor((F.least(a, b) - grow) / side), F.floor((F.greatest(a, b) + grow) / side))
+
+    rows = edges.withColumn("cx", F.explode(span("ax", "bx"))).withColumn("cy", F.explode(span("ay", "by")))
+    mid_x, mid_y = (F.col("cx") + 0.5) * side, (F.col("cy") + 0.5) * side
+    reach = (grow + 0.7072 * side) * (1 + 1e-9)
+    return rows.where(_segment_distance2(mid_x, mid_y, *[F.col(c) for c in ("ax", "ay", "bx", "by")]) <= reach * reach)
+
+
+def areas_within_distance(
+    areas: DataFrame, polygons: DataFrame, distance: float, area_key: str, polygon_key: str = "polygon_id", cell: float | None = None
+) -> DataFrame:
+    """Distinct ``area_key`` of the areas (points, lines, polygons) that come
+    within ``distance`` of a polygon anywhere (``dwithin`` of two geometries).
+
+    Both have a ``ring`` in metres. They are near if two of their edges cross or
+    are near (edges meet in a common grid cell only), or if one lies inside the
+    other: without such edges it does so whole, so one vertex tells.
+    """
+    s = float(cell or max(distance, 1.0))
+    a = _edge_cells(polygon_edges(areas, area_key), s, 0.0)
+    b = _edge_cells(polygon_edges(polygons, polygon_key), s, distance).select(
+        "cx", "cy", *[F.col(c).alias(f"p_{c}") for c in ("ax", "ay", "bx", "by")]
+    )
+    ax, ay, bx, by, cx, cy, dx, dy = (F.col(c) for c in ("ax", "ay", "bx", "by", "p_ax", "p_ay", "p_bx", "p_by"))
+
+    def turn(px, py, qx, qy, rx, ry):
+        return F.signum((qx - px) * (ry - py) - (qy - py) * (rx - px))
+
+    across = (turn(ax, ay, bx, by, cx, cy) * turn(ax, ay, bx, by, dx, dy) < 0) & (turn(cx, cy, dx, dy, ax, ay) * turn(cx, cy, dx, dy, bx, by) < 0)
+    d2 = F.least(
+        _segment_distance2(ax, ay, cx, cy, dx, dy), _segment_distance2(bx, by, cx, cy, dx, dy),
+        _segment_distance2(cx, cy, ax, ay, bx, by), _segment_distance2(dx, dy, ax, ay, bx, by),
+    )
+    edges = a.join(b, ["cx", "cy"]).where(across | (F.sqrt(d2) <= distance)).select(area_key)
+
+    def vertex(df, key):
+        return df.select(key, F.col("ring")[0]["x"].alias("x"), F.col("ring")[0]["y"].alias("y"))
+
+    inside = within_distance_pairs(vertex(areas, area_key), polygons, distance, area_key, polygon_key, s).select(area_key)
+    around = within_distance_pairs(vertex(polygons, polygon_key), areas, distance, polygon_key, area_key, s).select(area_key)
+    return edges.unionByName(inside).unionByName(around).distinct()

@@ -15,6 +15,7 @@ from ..operators import joins as J
 from ..operators import spatial as SP
 from ..operators import windows as W
 from ..operators.gridshift import GridSpec, grid_shift
+from ..session import scratch_table
 
 
 def postcode_points(mapping: DataFrame, directory: DataFrame) -> DataFrame:
@@ -123,15 +124,11 @@ def license_area_locations(
     keep = (kind == "Point") | ((kind == "LineString") & (F.col("length_m") < S.MAX_LINE_LENGTH_M)) | (
         (kind == "Polygon") & (F.col("length_m") / F.col("coordinate_count") < S.MAX_POLYGON_MEAN_EDGE_M)
     )
-    subs = measured.where(keep)
-    # test the substation centroid against the areas (the area's distance to a
-    # small hull differs from its centroid's by at most the hull's size)
-    pts = subs.select(
-        F.col("substation_nrn").alias("point_id"), F.col("centroid_m")["x"].alias("x"), F.col("centroid_m")["y"].alias("y")
-    )
+    subs = scratch_table(measured.where(keep), "substation-areas")  # read four times below
     polys = areas.select("polygon_id", H.project_hull("ring").alias("ring"))
-    near = SP.within_distance(pts, polys, distance_m, cell=cell_m)
-    return subs.join(near.select(F.col("point_id").alias("substation_nrn")), "substation_nrn", "left_semi")
+    shapes = subs.select("substation_nrn", F.col("hull_m").alias("ring"))
+    near = SP.areas_within_distance(shapes, polys, distance_m, "substation_nrn", cell=cell_m)
+    return subs.join(near, "substation_nrn", "left_semi")
 
 
 def location_coverage(all_nrns: DataFrame, lookup_a: DataFrame, lookup_b: DataFrame) -> DataFrame:

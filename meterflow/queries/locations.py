@@ -447,7 +447,44 @@ def id_set_ops(spark, sf):
     return both.unionByName(a_only).unionByName(b_only)
 
 
-@register("license_area_locations", "GE14 (ADR form; rows-only check)")
+def _d2(px: str, py: str, a: str) -> str:
+    """Squared distance of a point to the edge of ``a``, as SQL."""
+    dx, dy = f"({a}.be - {a}.ae)", f"({a}.bn - {a}.an)"
+    len2 = f"({dx} * {dx} + {dy} * {dy})"
+    t = f"CASE WHEN {len2} = 0 THEN 0.0 ELSE least(greatest((({px} - {a}.ae) * {dx} + ({py} - {a}.an) * {dy}) / {len2}, 0.0), 1.0) END"
+    return f"(({px} - ({a}.ae + {t} * {dx})) ** 2 + ({py} - ({a}.an + {t} * {dy})) ** 2)"
+
+
+def _turn(a: str, px: str, py: str) -> str:
+    return f"sign(({a}.be - {a}.ae) * ({py} - {a}.an) - ({a}.bn - {a}.an) * ({px} - {a}.ae))"
+
+
+def _ray(px: str, py: str, a: str) -> str:
+    """Whether the ray to the right of a point meets the edge of ``a``, as SQL."""
+    return f"CASE WHEN (({a}.an > {py}) <> ({a}.bn > {py})) AND {px} < {a}.ae + ({py} - {a}.an) * ({a}.be - {a}.ae) / ({a}.bn - {a}.an) THEN 1 ELSE 0 END"
+
+
+# every edge of a substation's hull with every edge of an area, plainly
+_LICENSE_SQL = (
+    loc_with().rstrip("\n")
+    + sqlgeo.hull_sql("(SELECT substation_nrn, long AS x, lat AS y FROM located)", "substation_nrn", "hl")
+    + sqlgeo.hull_sql("(SELECT nation, long AS x, lat AS y FROM dir_typed WHERE lat IS NOT NULL AND long IS NOT NULL)", "nation", "na")
+    + f""", subs AS (SELECT substation_nrn, geometry_type, length_m FROM hl_final WHERE geometry_type = 'Point'
+  OR (geometry_type = 'LineString' AND length_m < 100) OR (geometry_type = 'Polygon' AND length_m / coordinate_count < 100)),
+se AS (SELECT k, ae, an, be, bn FROM hl_pe UNION ALL SELECT v.k, v_e, v_n, v_e, v_n FROM hl_v v JOIN hl_n n ON v.k = n.k WHERE n.npts = 1),
+pe AS (SELECT k, ae, an, be, bn FROM na_pe UNION ALL SELECT v.k, v_e, v_n, v_e, v_n FROM na_v v JOIN na_n n ON v.k = n.k WHERE n.npts = 1),
+pairs AS (SELECT s.k AS sk, p.k AS pk, s.ae AS sx, s.an AS sy, p.ae AS px, p.an AS py,
+  least({_d2("s.ae", "s.an", "p")}, {_d2("s.be", "s.bn", "p")}, {_d2("p.ae", "p.an", "s")}, {_d2("p.be", "p.bn", "s")}) AS d2,
+  {_turn("s", "p.ae", "p.an")} * {_turn("s", "p.be", "p.bn")} < 0 AND {_turn("p", "s.ae", "s.an")} * {_turn("p", "s.be", "s.bn")} < 0 AS across,
+  {_ray("s.ae", "s.an", "p")} AS out_ray, {_ray("p.ae", "p.an", "s")} AS in_ray FROM se s, pe p),
+near AS (SELECT sk FROM pairs WHERE across OR sqrt(d2) <= 1000.0
+  UNION SELECT sk FROM pairs JOIN na_n n ON n.k = pk WHERE n.nedges >= 3 GROUP BY sk, pk, sx, sy HAVING sum(out_ray) % 2 = 1
+  UNION SELECT sk FROM pairs JOIN hl_n n ON n.k = sk WHERE n.nedges >= 3 GROUP BY sk, pk, px, py HAVING sum(in_ray) % 2 = 1)
+SELECT substation_nrn, geometry_type, round(length_m, 3) AS length_m FROM subs WHERE substation_nrn IN (SELECT sk FROM near)"""
+)
+
+
+@register("license_area_locations", "GE14 (ADR form; whole areas)", _LICENSE_SQL)
 def license_area_locations(spark, sf):
     lonlat = _nation_hulls(spark, sf).select("polygon_id", F.col("hull").alias("ring"))
     out = L.license_area_locations(mapping(spark, sf), directory(spark, sf), lonlat, distance_m=1000.0, cell_m=10_000.0)
