@@ -6,7 +6,7 @@ import pytest
 
 from meterflow.queries import REGISTRY
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))

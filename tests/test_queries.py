@@ -10,7 +10,7 @@ import pytest
 
 from meterflow.queries import REGISTRY
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
