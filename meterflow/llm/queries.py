@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, licenses, line_dedup, lm_score, packing, substrings, token_files, topk, toxicity
+from . import decontaminate, jaccard_join, licenses, line_dedup, lm_score, packing, substrings, token_files, topk, toxicity, whitening
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 OP1_SQL = r"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nr,
@@ -98,5 +102,6 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
 }
 ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_licenses": licenses.ORACLE, "op4_top_k": OP4_SQL}
