@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, licenses, line_dedup, lm_score, packing, substrings, token_files, topk, toxicity, whitening
+from . import decontaminate, jaccard_join, lexical_search, licenses, line_dedup, lm_score, packing, substrings, token_files, topk, toxicity, whitening
 from .common import table
 
 
@@ -57,6 +57,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP1_SQL = r"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nr,
@@ -91,6 +95,32 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+docs AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY doc_id),
+whole AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS l FROM docs),
+normed AS (SELECT doc_id, 100 - 25 + (25 * n * nn) // l AS m FROM docs, whole),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL),
+weighted AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, whole WHERE term IN (SELECT term FROM asked) GROUP BY term, nn),
+items AS (SELECT item_id, term, count(*) * any_value(w) AS w FROM asked JOIN weighted USING (term) GROUP BY item_id, term),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM items JOIN tfs USING (term) JOIN normed USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_licenses": op2_licenses,
@@ -103,5 +133,6 @@ QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
     "op11_whitening": op11_whitening,
+    "op13_ranked_search": op13_ranked_search,
 }
-ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_licenses": licenses.ORACLE, "op4_top_k": OP4_SQL}
+ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_licenses": licenses.ORACLE, "op4_top_k": OP4_SQL, "op13_ranked_search": OP13_SQL}
