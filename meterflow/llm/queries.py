@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, lexical_search, licenses, line_dedup, lm_score, packing, substrings, token_files, topk, toxicity, whitening
+from . import decontaminate, jaccard_join, lexical_search, licenses, line_dedup, lm_score, packing, quality, substrings, token_files, topk, toxicity, whitening
 from .common import table
 
 
@@ -57,6 +57,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -133,6 +138,7 @@ QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
     "op11_whitening": op11_whitening,
+    "op12_quality": op12_quality,
     "op13_ranked_search": op13_ranked_search,
 }
 ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_licenses": licenses.ORACLE, "op4_top_k": OP4_SQL, "op13_ranked_search": OP13_SQL}
