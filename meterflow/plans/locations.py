@@ -124,8 +124,9 @@ def license_area_locations(
     keep = (kind == "Point") | ((kind == "LineString") & (F.col("length_m") < S.MAX_LINE_LENGTH_M)) | (
         (kind == "Polygon") & (F.col("length_m") / F.col("coordinate_count") < S.MAX_POLYGON_MEAN_EDGE_M)
     )
-    subs = scratch_table(measured.where(keep), "substation-areas")  # read four times below
-    polys = areas.select("polygon_id", H.project_hull("ring").alias("ring"))
+    # both are read several times below
+    subs = scratch_table(measured.where(keep), "substation-areas")
+    polys = scratch_table(areas.select("polygon_id", H.project_hull("ring").alias("ring")), "licence-areas")
     shapes = subs.select("substation_nrn", F.col("hull_m").alias("ring"))
     near = SP.areas_within_distance(shapes, polys, distance_m, "substation_nrn", cell=cell_m)
     return subs.join(near, "substation_nrn", "left_semi")

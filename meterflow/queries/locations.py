@@ -16,6 +16,7 @@ from ..operators import spatial as SP
 from ..operators import windows as W
 from ..operators.gridshift import GridSpec, grid_shift
 from ..plans import locations as L
+from ..session import scratch_table
 from ..sources import readers as R
 from ..sources import testdata as TD
 from . import sqlgeo
@@ -390,12 +391,13 @@ SELECT point_id, polygon_id, round(distance_m, 3) AS distance_m FROM (SELECT * F
 )
 
 
-@register("within_distance", "JN5 (grid-cell equi-join, exact distance)", _WITHIN_SQL)
+@register("within_distance", "JN5 (polygon cover, exact distance)", _WITHIN_SQL)
 def within_distance_q(spark, sf):
     first = FI.located(W.dedupe_model(model(spark, sf)), "latitude", "longitude")
     p = G.project_point(C.point("longitude", "latitude"))
     pts = first.select(F.col("file_row").alias("point_id"), p["x"].alias("x"), p["y"].alias("y"))
-    pairs = SP.within_distance_pairs(pts, _nation_areas(spark, sf), 1000.0, cell=10_000.0)
+    areas = scratch_table(_nation_areas(spark, sf), "nation-areas")  # cover and edges both read it
+    pairs = SP.within_distance_pairs(pts, areas, 1000.0, cell=10_000.0)
     return pairs.select("point_id", "polygon_id", F.round("distance_m", 3).alias("distance_m"))
 
 

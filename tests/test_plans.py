@@ -15,11 +15,12 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
 
 
-WINDOWED = {"gaps", "new_missing_by_day", "new_missing_by_month"}  # partitions bounded by time, after a distinct
+# partitions bounded by time, after a distinct; or by the cells and crossings of one polygon in one row of cells
+WINDOWED = {"gaps", "new_missing_by_day", "new_missing_by_month", "within_distance", "license_area_locations"}
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
-def test_windows_only_where_partitions_are_time_bounded(spark, name):
+def test_windows_only_where_partitions_are_bounded(spark, name):
     plan = REGISTRY[name].build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     if name not in WINDOWED:
         assert not re.search(r"\bWindow\b", plan)
