@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -34,6 +34,36 @@ def range_sorted_for_write(df: DataFrame, sort_cols: list[str], partition_col: s
     return parted.sortWithinPartitions(*nulls_last(keys))
 
 
+#: cells a side of the grid over the globe by which published files are clustered
+GRID_BITS = 14
+
+
+def z_cell(geometry: str = "geometry", bits: int = GRID_BITS) -> Column:
+    """The place of a lon/lat point's grid cell along a Z-order curve: cells near
+    each other on the map are mostly near along it. -1 without a location."""
+    cells = float(1 << bits)
+
+    def axis(c: str, low: float, span: float) -> Column:
+        return F.least(F.greatest(F.floor((F.col(f"{geometry}.{c}") - low) / span * cells), F.lit(0)), F.lit((1 << bits) - 1))
+
+    x, y = axis("x", -180.0, 360.0), axis("y", -90.0, 180.0)
+    code = F.lit(0).cast("long")
+    for b in range(bits):
+        code = code + F.shiftright(x, b).bitwiseAND(F.lit(1)) * (1 << (2 * b)) + F.shiftright(y, b).bitwiseAND(F.lit(1)) * (1 << (2 * b + 1))
+    known = F.col(f"{geometry}.x").isNotNull() & ~F.isnan(f"{geometry}.x") & F.col(f"{geometry}.y").isNotNull() & ~F.isnan(f"{geometry}.y")
+    return F.when(known, code).otherwise(F.lit(-1).cast("long"))
+
+
+def space_sorted_for_write(df: DataFrame, sort_cols: list[str], partition_col: str = "month", n: int | None = None) -> DataFrame:
+    """Files of neighbouring places, each sorted by ``sort_cols``: range-partitioned
+    by (month, Z-order cell, sort keys), so that a busy cell is split, too. A box
+    then meets few files, and a time range few row groups of each."""
+    keyed = df.withColumn("__cell", z_cell())
+    keys = nulls_last([partition_col, "__cell", *sort_cols])
+    parted = keyed.repartitionByRange(n, *keys) if n else keyed.repartitionByRange(*keys)
+    return parted.sortWithinPartitions(*nulls_last([partition_col, *sort_cols])).drop("__cell")
+
+
 def day_sorted_for_write(df: DataFrame, sort_cols: list[str], ts: str = "data_collection_log_timestamp", partition_col: str = "month") -> DataFrame:
     """One pass: rebalance by (month, day) and sort inside each partition.
 

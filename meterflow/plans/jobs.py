@@ -157,7 +157,7 @@ def build_combined_months(
     """Published GeoParquet months (JB3): global order per month (SO2), AG1."""
     rows = combined_rows(spark, staging_root, months)
     SINK.write_published(rows, published_root, partitions=partitions, geoparquet=geoparquet)
-    written = spark.read.parquet(published_root).where(_months_filter("month", months))
+    written = R.read_published(spark, published_root).where(_months_filter("month", months))
     return MonthBuild(months, A.partition_stats(written, "COMBINED", by=["month"]))
 
 

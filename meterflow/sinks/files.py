@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.timefns import month_start
-from ..operators.ordering import day_sorted_for_write, range_sorted_for_write
+from ..operators.ordering import day_sorted_for_write, range_sorted_for_write, space_sorted_for_write
 
 
 def write_staging(df: DataFrame, root: str, dno: str, partitions: int | None = None, order: str = "daily") -> None:
@@ -46,18 +46,23 @@ def write_published(
 
     ``order="global"`` (default, as published) range-sorts each month so file
     names follow the order; ``"daily"`` writes sorted one-day files in one
-    pass. With ``geoparquet`` the files carry the ``geo`` footer (Python
-    Data Source writer); otherwise Spark's writer with zstd is used.
+    pass; ``"space"`` puts neighbouring places into the same files, for reads by
+    box. With ``geoparquet`` the files carry the ``geo`` footer and an index
+    names them (Python Data Source writer; read with ``read_published``), and
+    files that no index has named for a day are swept; otherwise Spark's writer
+    with zstd is used.
     """
     out = df.withColumn("month", month_start("data_collection_log_timestamp"))
     if order == "global":
         ordered = range_sorted_for_write(out, S.PUBLISHED_SORT, partition_col="month", n=partitions)
+    elif order == "space":
+        ordered = space_sorted_for_write(out, S.PUBLISHED_SORT, n=partitions)
     else:
         ordered = day_sorted_for_write(out, S.PUBLISHED_SORT)
     if geoparquet:
         import os
 
-        from .geoparquet import register
+        from .geoparquet import register, sweep
 
         # the file writer runs pyarrow on the executors: give it an absolute
         # path (or keep the URI) rather than one relative to the driver's folder
@@ -72,6 +77,7 @@ def write_published(
             .option("sort", ",".join(S.PUBLISHED_SORT))
             .save()
         )
+        sweep(root)
         return
     (
         ordered.write.mode("overwrite")

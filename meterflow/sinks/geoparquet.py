@@ -5,20 +5,29 @@ so this sink writes each task's Arrow batches with ``pyarrow.parquet``:
 zstd level 9, millisecond UTC timestamps, the point column tagged as a
 geoarrow point, sorting columns recorded, and the ``geo`` metadata.
 
-Layout: ``<root>/month=YYYY-MM-01/part-<task>-<attempt>.parquet``. Every
-task attempt writes its own file names, so a retried or speculative attempt
-never writes over another one. ``commit`` receives the file lists of the
-successful attempts only and removes every other file in the month folders
-the job wrote: earlier months' files (dynamic partition overwrite) and the
-leftovers of failed or losing attempts. ``abort`` removes what was written.
+Layout of a published table:
+
+  <root>/files/job=<job>/month=<YYYY-MM-01>/part-<task>-<attempt>.parquet
+  <root>/index/month=<YYYY-MM-01>/<number>-<job>.json
+
+Data files are never moved or written over. What a month holds is said by the
+highest numbered index file of the month alone: a line per data file with its
+rows, bounding box and time range, for the files of the successful task
+attempts, as Spark's write hands them to ``commit``. Adding that one small file
+is the switch: a write that fails, at whatever point, leaves each month as it
+was or as it will be, and files of failed or losing attempts are in no index.
+``sweep`` removes what no index names once it is old enough.
+
+The boxes let a reader skip files (``sources.readers.read_published``).
 """
 
 from __future__ import annotations
 
 import json
 import sys
+import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -58,6 +67,47 @@ def geo_metadata(geometry: str = "geometry") -> dict:
     return {"version": GEOPARQUET_VERSION, "schema_version": GEOPARQUET_VERSION, "primary_column": geometry, "columns": {geometry: col}}
 
 
+INDEX_SCHEMA = "month date, file string, n_rows long, x_min double, y_min double, x_max double, y_max double, ts_min timestamp, ts_max timestamp"
+SWEEP_AGE_S = 24 * 3600
+
+
+@dataclass
+class FileEntry:
+    """A data file and what it covers; no box if it has no location."""
+
+    month: str
+    file: str  # below <root>/files
+    n_rows: int = 0
+    box: list = field(default_factory=list)
+    times: list = field(default_factory=list)
+
+    def add(self, table, geometry: str, ts: str) -> None:
+        import pyarrow.compute as pc
+
+        self.n_rows += table.num_rows
+        xy = table.column(geometry).combine_chunks()
+        here = []
+        for c in ("x", "y"):
+            v = pc.struct_field(xy, c)
+            low_high = pc.min_max(v.filter(pc.is_finite(v)))
+            here += [low_high["min"].as_py(), low_high["max"].as_py()]
+        if None not in here:
+            x0, x1, y0, y1 = here
+            b = self.box or [x0, y0, x1, y1]
+            self.box = [min(b[0], x0), min(b[1], y0), max(b[2], x1), max(b[3], y1)]
+        if ts in table.column_names:
+            low_high = pc.min_max(table.column(ts))
+            if low_high["min"].is_valid:
+                both = [low_high["min"].as_py(), low_high["max"].as_py()]
+                t = self.times or both
+                self.times = [min(t[0], both[0]), max(t[1], both[1])]
+
+    def line(self) -> str:
+        box = dict(zip(("x_min", "y_min", "x_max", "y_max"), self.box))
+        times = {k: t.isoformat() for k, t in zip(("ts_min", "ts_max"), self.times)}
+        return json.dumps({"file": self.file, "n_rows": self.n_rows, **box, **times})
+
+
 @dataclass
 class FilesWritten(WriterCommitMessage):
     files: list
@@ -108,32 +158,30 @@ class GeoParquetWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.root = options["path"].rstrip("/")
         self.geometry = options.get("geometry", "geometry")
+        self.ts = options.get("timestamp", "data_collection_log_timestamp")
         self.partition_col = options.get("partition", "month")
         self.sort = [c for c in options.get("sort", "").split(",") if c]
         self.level = int(options.get("compression_level", "9"))
         self.job = uuid.uuid4().hex  # made on the driver, one for all tasks
 
-    def _stage(self, base: str) -> str:
-        return f"{base}/_temporary/{self.job}"
-
     def write(self, iterator) -> FilesWritten:
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx else 0
-        attempt = ctx.taskAttemptId() if ctx else 0  # never repeated within an application
+        name = f"part-{ctx.partitionId():05d}-{ctx.taskAttemptId()}.parquet"  # attempts never share a name
         fs, base = _fs(self.root)
         writers: dict = {}
         waiting: dict = {}
-        files = []
+        entries: dict[str, FileEntry] = {}
 
         def flush(value) -> None:
             tables = waiting.pop(value, [])
             if tables:
                 table = pa.concat_tables(tables).combine_chunks()
                 writers[value].write_table(table, row_group_size=ROW_GROUP_ROWS)
+                entries[value].add(table, self.geometry, self.ts)
 
         try:
             for batch in iterator:
@@ -145,19 +193,18 @@ class GeoParquetWriter(DataSourceArrowWriter):
                     sub = table.filter(pa.compute.equal(keys, pa.scalar(value, keys.type)))
                     out = _to_published_arrow(sub, self.geometry, self.partition_col)
                     if value not in writers:
-                        folder = f"{self._stage(base)}/{self.partition_col}={value}"
-                        fs.create_dir(folder, recursive=True)
-                        path = f"{folder}/part-{part:05d}-{attempt}-{self.job}.parquet"
+                        folder = f"job={self.job}/{self.partition_col}={value}"
+                        fs.create_dir(f"{base}/files/{folder}", recursive=True)
                         sorting = [pq.SortingColumn(out.schema.get_field_index(c)) for c in self.sort if c in out.schema.names]
                         writers[value] = pq.ParquetWriter(
-                            path,
+                            f"{base}/files/{folder}/{name}",
                             out.schema,
                             filesystem=fs,
                             compression="zstd",
                             compression_level=self.level,
                             sorting_columns=sorting or None,
                         )
-                        files.append(path)
+                        entries[value] = FileEntry(str(value), f"{folder}/{name}")
                     waiting.setdefault(value, []).append(out)
                     if sum(t.num_rows for t in waiting[value]) >= ROW_GROUP_ROWS:
                         flush(value)
@@ -166,40 +213,69 @@ class GeoParquetWriter(DataSourceArrowWriter):
         finally:
             for w in writers.values():
                 w.close()
-        return FilesWritten(files=files)
+        return FilesWritten(files=list(entries.values()))
 
     def commit(self, messages) -> None:
-        """Move the winning attempts' files into their month folders, then drop
-        the files of earlier jobs there: until the move ends the old month is whole."""
-        import pyarrow.fs as pafs
-
+        """Switch every month written to its new files, a month at a time."""
         fs, base = _fs(self.root)
-        stage = self._stage(base)
-        folders = set()
-        for f in sorted({f for m in messages if m is not None for f in m.files}):
-            folder, name = f.rsplit("/", 1)
-            target = base + folder[len(stage) :]
-            if target not in folders:
-                fs.create_dir(target, recursive=True)
-                folders.add(target)
-            fs.move(f, f"{target}/{name}")
-        for folder in folders:
-            for info in fs.get_file_info(pafs.FileSelector(folder)):
-                if info.type == pafs.FileType.File and self.job not in info.base_name:
-                    fs.delete_file(info.path)
-        self._clear(fs, stage)
+        months: dict[str, list[FileEntry]] = {}
+        for entry in (e for m in messages if m is not None for e in m.files):
+            months.setdefault(entry.month, []).append(entry)
+        for month, entries in sorted(months.items()):
+            lines = "".join(e.line() + "\n" for e in sorted(entries, key=lambda e: e.file.rsplit("/", 1)[1]))
+            switch_month(fs, f"{base}/index/{self.partition_col}={month}", lines, self.job)
 
     def abort(self, messages) -> None:
-        """Drop this job's own files; published months are not touched."""
-        fs, base = _fs(self.root)
-        self._clear(fs, self._stage(base))
+        """Nothing to undo: what no index names is not published. Nor are files
+        removed here: tasks that are being ended may still write, and a commit
+        that broke off may have switched some months to this job's files."""
 
-    @staticmethod
-    def _clear(fs, stage: str) -> None:
-        try:
-            fs.delete_dir(stage)
-        except OSError:
-            pass
+
+def _listed(fs, folder: str) -> list:
+    import pyarrow.fs as pafs
+
+    return fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+
+
+def switch_month(fs, folder: str, lines: str, job: str) -> None:
+    """Add the index file that says what the month holds from now on. It is
+    written under a name readers skip and renamed, so it is never seen in part."""
+    numbers = [int(i.base_name.split("-")[0]) for i in _listed(fs, folder) if i.base_name[0].isdigit()]
+    name = f"{max(numbers, default=0) + 1:012d}-{job}.json"
+    fs.create_dir(folder, recursive=True)
+    with fs.open_output_stream(f"{folder}/_{name}") as out:
+        out.write(lines.encode())
+    fs.move(f"{folder}/_{name}", f"{folder}/{name}")
+
+
+def sweep(root: str, age_s: float = SWEEP_AGE_S) -> list[str]:
+    """Remove what is older than ``age_s`` and of no use to any reader: index
+    files below the highest of their month, then jobs' files that no index
+    names. Returns the paths removed."""
+    fs, base = _fs(root.rstrip("/"))
+    now, named, removed = time.time(), set(), []
+
+    def old(info) -> bool:
+        return info.mtime is not None and now - info.mtime.timestamp() >= age_s
+
+    for month in _listed(fs, f"{base}/index"):
+        files = sorted(_listed(fs, month.path), key=lambda i: i.base_name)
+        current = [i for i in files if i.base_name[0].isdigit()]
+        for i in files:
+            if old(i) and (i not in current[-1:]):
+                fs.delete_file(i.path)
+                removed.append(i.path)
+            elif i in current:
+                named |= {json.loads(line)["file"].split("/")[0] + "/" + month.base_name for line in fs.open_input_stream(i.path).read().decode().splitlines()}
+    for job in _listed(fs, f"{base}/files"):
+        months = _listed(fs, job.path)
+        for m in months:
+            if f"{job.base_name}/{m.base_name}" not in named and all(old(i) for i in _listed(fs, m.path)):
+                fs.delete_dir(m.path)
+                removed.append(m.path)
+        if old(job) and not _listed(fs, job.path):
+            fs.delete_dir(job.path)
+    return removed
 
 
 class GeoParquetDataSource(DataSource):

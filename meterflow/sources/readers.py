@@ -8,6 +8,7 @@ into ``min_partitions`` partitions.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,6 +152,39 @@ def read_location_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*S.LOOKUP_COLUMNS)
 
 
+def published_files(spark: SparkSession, root: str) -> DataFrame:
+    """The data files of a published table: a row per file with its month, rows,
+    bounding box and time range, as the newest index file of each month has them."""
+    from ..sinks.geoparquet import INDEX_SCHEMA
+
+    lines = spark.read.schema(INDEX_SCHEMA).json(f"{root.rstrip('/')}/index").withColumn("version", F.col("_metadata.file_name"))
+    newest = lines.groupBy("month").agg(F.max("version").alias("version"))
+    return lines.join(newest, ["month", "version"]).drop("version")
+
+
+def has_index(spark: SparkSession, root: str) -> bool:
+    try:
+        spark.read.schema("file string").json(f"{root.rstrip('/')}/index")
+    except AnalysisException:
+        return False
+    return True
+
+
+def read_published(spark: SparkSession, root: str, files: Column | None = None) -> DataFrame:
+    """The published table. With an index (GeoParquet), the files it names;
+    ``files``, a predicate over ``published_files``, leaves out the others. A
+    table that Spark's own writer made is read as a folder."""
+    if not has_index(spark, root):
+        return spark.read.parquet(root)
+    listed = published_files(spark, root)
+    everything = [f"{root.rstrip('/')}/files/{r['file']}" for r in (listed if files is None else listed.where(files)).select("file").orderBy("file").collect()]
+    none = not everything
+    if none:  # no file can hold such a row: the schema of any
+        everything = [f"{root.rstrip('/')}/files/{r['file']}" for r in listed.select("file").limit(1).collect()]
+    out = spark.read.option("basePath", f"{root.rstrip('/')}/files").parquet(*everything).drop("job")
+    return out.limit(0) if none else out
+
+
 def read_readings(
     spark: SparkSession,
     root: str,
@@ -162,13 +196,20 @@ def read_readings(
 
     ``filters`` uses the DNF predicate form of FI5; a timestamp range in it
     is also turned into a ``month`` folder predicate so whole months are
-    skipped before any footer is opened.
+    skipped before any footer is opened. ``bbox`` leaves out the files whose
+    box it does not meet (none has a location inside it), then the row groups
+    and the rows.
     """
     from ..operators.filters import bbox_filter, dnf_filter, month_predicate_from_filters
 
-    df = spark.read.parquet(root)
+    month_pred = month_predicate_from_filters(filters) if filters else None
+    wanted = month_pred
+    if bbox:
+        x0, y0, x1, y1 = bbox
+        meets = (F.col("x_min") <= x1) & (F.col("x_max") >= x0) & (F.col("y_min") <= y1) & (F.col("y_max") >= y0)
+        wanted = meets if wanted is None else wanted & meets
+    df = read_published(spark, root, wanted)
     if filters:
-        month_pred = month_predicate_from_filters(filters)
         if month_pred is not None and "month" in df.columns:
             df = df.where(month_pred)
         df = dnf_filter(df, filters)
@@ -177,4 +218,3 @@ def read_readings(
     if columns:
         df = df.select(*columns)
     return df
-

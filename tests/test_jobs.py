@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from meterflow import schemas as S
 from meterflow.operators import joins as J
 from meterflow.plans import jobs as JB
+from meterflow.sources import readers as R
 
 from fixtures import NGED_PER_DAY, SSEN_PER_DAY, nged_part_files, ssen_daily_files, ssen_rows, write_csv
 
@@ -92,7 +93,7 @@ def test_nged_month_cleaning_and_stats(spark, built):
 
 
 def test_combined_month(spark, built):
-    pub = spark.read.parquet(built["published"])
+    pub = R.read_published(spark, built["published"])
     feb = pub.where("month = DATE'2024-02-01'")
     assert feb.count() == (SSEN_PER_DAY + NGED_PER_DAY) * 29
     stats = {str(r.month): (r.row_count, r.nunique_feeders, r.nunique_substations) for r in built["combined"].stats.collect()}
@@ -107,8 +108,16 @@ def test_combined_month(spark, built):
     assert ("NGED-771203", "NGED-771203-4") in ids
 
 
-def test_geoparquet_files(built):
-    files = files_in_order(f"{built['published']}/month=2024-02-01")
+def month_folder(spark, root, month):
+    """Where the files lie that the index names for a month."""
+    named = {os.path.dirname(r.file) for r in R.published_files(spark, root).where(F.col("month") == month).collect()}
+    assert len(named) == 1
+    return f"{root}/files/{named.pop()}"
+
+
+def test_geoparquet_files(spark, built):
+    folder = month_folder(spark, built["published"], "2024-02-01")
+    files = files_in_order(folder)
     meta = pq.read_schema(files[0]).metadata
     geo = json.loads(meta[b"geo"])
     assert geo["primary_column"] == "geometry" and geo["columns"]["geometry"]["encoding"] == "point"
@@ -124,7 +133,7 @@ def test_geoparquet_files(built):
             if math.isnan(g["x"]):
                 empty += 1
     assert rows == 812 and empty == 29 * (5 + 2)  # SSEN 950 (no lookup) and NGED blank location
-    assert assert_sorted(f"{built['published']}/month=2024-02-01", S.PUBLISHED_SORT) == 812
+    assert assert_sorted(folder, S.PUBLISHED_SORT) == 812
 
 
 def test_rebuild_replaces_only_its_month(spark, built):
@@ -160,7 +169,6 @@ def test_bad_file_rejected_whole(spark, tmp_path):
 
 
 def test_read_readings_pushes_filters_and_prunes_months(spark, built):
-    from meterflow.sources import readers as R
 
     df = R.read_readings(
         spark,
@@ -187,7 +195,6 @@ def test_read_readings_pushes_filters_and_prunes_months(spark, built):
 
 def test_lookup_join_is_broadcast_and_guarded(spark, tmp_path):
     from meterflow.sinks import files as SINK2
-    from meterflow.sources import readers as R
 
     lk = lookup(spark)
     SINK2.write_location_lookup(lk, str(tmp_path / "lookup"))
@@ -203,7 +210,6 @@ def test_lookup_join_is_broadcast_and_guarded(spark, tmp_path):
 
 def test_read_staging_month_and_late_rows(spark, built):
     from meterflow.operators import quality as Q
-    from meterflow.sources import readers as R
 
     feb = R.read_staging_month(spark, built["staging"], "SSEN", "2024-02")
     assert feb.count() == 580 and "month" not in feb.columns
@@ -214,7 +220,7 @@ def test_read_staging_month_and_late_rows(spark, built):
 def test_feeder_extract_sample(spark, built):
     from meterflow.plans.analytics import feeder_extract
 
-    pub = spark.read.parquet(built["published"])
+    pub = R.read_published(spark, built["published"])
     a = feeder_extract(pub, n=3, seed=7).collect()
     b = feeder_extract(pub, n=3, seed=7).collect()
     assert [tuple(map(repr, r)) for r in a] == [tuple(map(repr, r)) for r in b]  # seeded: repeatable (NaN-safe compare)
@@ -227,11 +233,15 @@ def test_feeder_extract_sample(spark, built):
 
 
 def test_rebuilding_published_month_replaces_its_files(spark, built):
-    before = sorted(glob.glob(f"{built['published']}/month=2024-01-01/*.parquet"))
+    before = {r.file for r in R.published_files(spark, built["published"]).where("month = DATE'2024-01-01'").collect()}
     JB.build_combined_months(spark, built["staging"], built["published"], ["2024-02-01"])
-    feb = spark.read.parquet(built["published"]).where("month = DATE'2024-02-01'")
+    feb = R.read_published(spark, built["published"]).where("month = DATE'2024-02-01'")
     assert feb.count() == 812  # replaced, not appended
-    assert sorted(glob.glob(f"{built['published']}/month=2024-01-01/*.parquet")) == before  # other months untouched
+    assert {r.file for r in R.published_files(spark, built["published"]).where("month = DATE'2024-01-01'").collect()} == before  # other months untouched
+
+
+def published_rows(spark, root, month):
+    return sorted(map(repr, R.read_published(spark, root).where(F.col("month") == month).collect()))
 
 
 def test_failed_rebuild_leaves_the_month(spark, built):
@@ -240,19 +250,79 @@ def test_failed_rebuild_leaves_the_month(spark, built):
 
     GP.register(spark)
     root = built["published"]
-    before = sorted(map(repr, spark.read.parquet(root).where("month = DATE'2024-02-01'").collect()))
-    rows = spark.read.parquet(root).where("month = DATE'2024-02-01'").repartition(4)
+    before = published_rows(spark, root, "2024-02-01")
+    rows = R.read_published(spark, root).where("month = DATE'2024-02-01'").repartition(4)
     broken = rows.where(F.when(F.spark_partition_id() == 3, F.raise_error(F.lit("lost")).cast("boolean")).otherwise(True))
     with pytest.raises(Exception):
         broken.write.format("meterflow_geoparquet").mode("append").option("path", root).save()
-    after = sorted(map(repr, spark.read.parquet(root).where("month = DATE'2024-02-01'").collect()))
-    assert after == before
-    assert not glob.glob(f"{root}/_temporary/*")
+    assert published_rows(spark, root, "2024-02-01") == before
+    GP.sweep(root, age_s=0)
+    named = {r.file.rsplit("/", 1)[0] for r in R.published_files(spark, root).collect()}
+    kept = {os.path.relpath(os.path.dirname(f), f"{root}/files") for f in glob.glob(f"{root}/files/*/*/*")}
+    assert kept == named and published_rows(spark, root, "2024-02-01") == before
+
+
+def test_commit_that_breaks_off(spark, tmp_path, monkeypatch):
+    """A driver lost at any point of the switch: each month is the old or the new one."""
+    from meterflow.sinks import files as SINK
+    from meterflow.sinks import geoparquet as GP
+
+    staging, root = str(tmp_path / "st"), str(tmp_path / "pub")
+    for m in (1, 2):
+        nged_part_files(str(tmp_path / "raw"), 2024, m)
+    months = ["2024-01-01", "2024-02-01"]
+    JB.build_nged_months(spark, str(tmp_path / "raw"), staging, months)
+    JB.build_combined_months(spark, staging, root, months)
+    old = {m: published_rows(spark, root, m) for m in months}
+    half = JB.combined_rows(spark, staging, months).where("lv_feeder_unique_id LIKE '%1'")
+    new = None
+    for calls in range(5):  # renames and new files: two of each
+        steps = []
+
+        def broken(fs, folder, lines, job, real=GP.switch_month):
+            steps.append(folder)
+            if len(steps) > calls // 2:
+                if calls % 2:  # the file is there, under the name that readers skip
+                    fs.create_dir(folder, recursive=True)
+                    with fs.open_output_stream(f"{folder}/_000000000009-{job}.json") as out:
+                        out.write(b"{half a line")
+                raise RuntimeError("driver lost")
+            real(fs, folder, lines, job)
+
+        monkeypatch.setattr(GP, "switch_month", broken)
+        try:
+            SINK.write_published(half, root)
+        except Exception as exc:
+            assert "driver lost" in str(exc)
+        monkeypatch.undo()
+        now = {m: published_rows(spark, root, m) for m in months}
+        new = new or {m: [r for r in old[m] if "1'" in r.split("lv_feeder_unique_id=")[1].split(",")[0]] for m in months}
+        assert all(now[m] in (old[m], new[m]) for m in months)
+        assert now == (old if calls < 2 else {months[0]: new[months[0]], months[1]: old[months[1]]} if calls < 4 else new)
+    GP.sweep(root, age_s=0)
+    assert {m: published_rows(spark, root, m) for m in months} == new
+
+
+def test_a_box_skips_files(spark, built, tmp_path):
+    """Files clustered by place: a small box reads some of them, and finds the same rows."""
+    from meterflow.sinks import files as SINK
+
+    rows = R.read_published(spark, built["published"]).drop("month")
+    root = str(tmp_path / "space")
+    SINK.write_published(rows, root, partitions=6, order="space")
+    box = (-1.7, 51.3, -1.6, 51.4)  # SSEN 417 alone
+    near = R.read_readings(spark, root, bbox=box)
+    assert R.published_files(spark, root).count() >= 6 and len(near.inputFiles()) < R.published_files(spark, root).count()
+    assert sorted(map(repr, near.drop("month").collect())) == sorted(map(repr, R.read_readings(spark, built["published"], bbox=box).drop("month").collect()))
+    assert R.read_published(spark, root).count() == rows.count()
+    assert R.read_readings(spark, root, bbox=(100.0, 10.0, 101.0, 11.0)).count() == 0
+    listed = R.published_files(spark, root).agg(F.sum("n_rows"), F.min("x_min"), F.max("y_max"), F.min("ts_min")).first()
+    both = rows.agg(F.count(F.lit(1)), F.min(F.nanvl("geometry.x", F.lit(None))), F.max(F.nanvl("geometry.y", F.lit(None))), F.min("data_collection_log_timestamp")).first()
+    assert tuple(listed) == tuple(both)
 
 
 def test_other_header_order_fails(spark, tmp_path):
     """Columns are taken by name: a file with swapped columns is not read by position."""
-    from meterflow.sources import readers as R
 
     os.makedirs(tmp_path / "raw")
     write_csv(str(tmp_path / "raw/2024-02-01.csv.gz"), S.SSEN_CSV_COLUMNS, ssen_rows("2024-02-01"))

@@ -47,7 +47,7 @@ def test_readme_pipeline(spark, tmp_path):
     ingest_stream(spark, f"{base}/raw/ssen", lambda ms: seen.append(ms), checkpoint=f"{base}/ckpt/ingest", glob="20*.csv*")
     assert seen == [months]
 
-    counts = {str(r.month): r["count"] for r in spark.read.parquet(published).groupBy("month").count().collect()}
+    counts = {str(r.month): r["count"] for r in R.read_published(spark, published).groupBy("month").count().collect()}
     assert counts == {"2024-02-01": 812, "2024-03-01": 40 + 248}
     half_hour = R.read_readings(
         spark, published, filters=[("data_collection_log_timestamp", "=", "2024-03-01 04:30:00")], bbox=(-3.0, 50.0, 0.0, 58.0)
