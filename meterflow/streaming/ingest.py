@@ -11,10 +11,11 @@ folder from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +26,6 @@ from ..operators import windows as W
 from ..session import checkpoint_dir
 
 TS = "data_collection_log_timestamp"
-MONTH = "__month"
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -101,37 +101,72 @@ def ingest_stream(
     run_available(raw, on_batch, chk)
 
 
-def dedupe_stream(stream: DataFrame, keys: list[str], output: str, checkpoint: str, column: str = TS) -> None:
-    """One row per ``keys`` (the timestamp ``column`` among them) in ``output``,
-    a folder per month, however late a row or its repetition arrives (IN8).
+DAY = "__day"
+COMPACT_AFTER = 32
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave a checkpoint's query when it was first started; another
+    checkpoint, or a new one at the same place, has another."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
-    There is no watermark, so nothing is too late: each batch's rows are landed
-    beside ``output`` by month, and the months a batch touches are de-duplicated
-    again (WN1) from all their landed rows and written with dynamic partition
-    overwrite. Repetitions share the timestamp, hence the month. A retried batch
-    overwrites what it landed. A batch brings its distinct months to the driver.
+
+def dedupe_stream(stream: DataFrame, keys: list[str], output: str, checkpoint: str, column: str = TS, compact_after: int = COMPACT_AFTER) -> None:
+    """One row per ``keys`` (the timestamp ``column`` among them) in ``output``,
+    a folder per day, however late a row or its repetition arrives and
+    whichever stream brings it (IN8).
+
+    There is no watermark, so nothing is too late. The state is the rows landed
+    beside ``output``, by day, then by checkpoint and epoch: streams with
+    checkpoints of their own feed one output without touching each other's
+    rows, and a retried batch lands on its own rows alone. Repetitions share the
+    timestamp, hence the day, so a batch reads the landed rows of its days
+    only, de-duplicates them (WN1) and rewrites these days' folders of the
+    output: the work follows the days a batch touches, not what is stored. A
+    day whose rows came in ``compact_after`` parts gets them in one, without
+    repetitions. A write that fails is made good by the retried batch, as the
+    landed rows stay. A batch's distinct days come to the driver with the
+    metrics of its one write. Streams into one output run one after another.
     """
     if column not in keys:
-        raise ValueError(f"{column} must be one of the keys: repetitions are looked for in one month")
+        raise ValueError(f"{column} must be one of the keys: repetitions are looked for in one day")
     landed = f"{output.rstrip('/')}-landed"
     columns = stream.columns
-    schema = T.StructType([*stream.schema.fields, T.StructField(MONTH, T.StringType())])
-    month = F.coalesce(F.date_format(F.col(column), "yyyy-MM"), F.lit("none"))
+    schema = T.StructType([*stream.schema.fields, *[T.StructField(c, T.StringType()) for c in (DAY, "source", "epoch")]])
+    day = F.coalesce(F.date_format(F.col(column), "yyyy-MM-dd"), F.lit("none"))
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        path = f"{landed}/epoch={epoch}"
-        _by_month(batch.withColumn(MONTH, month), path, "static")
-        read = batch.sparkSession.read.schema(schema)
-        months = [r[MONTH] for r in read.parquet(path).select(MONTH).distinct().collect()]
-        rows = read.parquet(landed).where(F.col(MONTH).isin(months)).select(*columns, MONTH)
-        if set(columns) == set(keys):
-            kept = rows.dropDuplicates()
-        else:
-            kept = W.first_by(rows, [*keys, MONTH], [])
-        _by_month(kept.hint("rebalance", MONTH), output, "dynamic")
+        spark = batch.sparkSession
+        source = checkpoint_id(spark, checkpoint)
+        seen = Observation()
+        rows = batch.withColumns({DAY: day, "source": F.lit(source), "epoch": F.lit(str(epoch))})
+        _write(rows.observe(seen, F.collect_set(DAY).alias("days")), landed, [DAY, "source", "epoch"])
+        days = sorted(seen.get["days"])
+        if not days:
+            return
+        stored = spark.read.schema(schema).option("basePath", landed).parquet(*[f"{landed}/{DAY}={d}" for d in days])
+        parts = stored.groupBy(DAY, "source", "epoch").agg(F.lit(1)).groupBy(DAY).agg(F.collect_list(F.struct("source", "epoch")).alias("parts")).collect()
+        rows = stored.select(*columns, DAY)
+        kept = rows.dropDuplicates() if set(columns) == set(keys) else W.first_by(rows, [*keys, DAY], [])
+        _write(kept.hint("rebalance", DAY), output, [DAY])
+        many = {r[DAY]: r["parts"] for r in parts if len(r["parts"]) >= compact_after}
+        if many:
+            _compact(spark.read.schema(schema).parquet(output).where(F.col(DAY).isin(list(many))).select(*columns, DAY), landed, many)
 
     run_available(stream, on_batch, checkpoint)
 
 
-def _by_month(df: DataFrame, path: str, overwrite: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(MONTH).parquet(path)
+def _write(df: DataFrame, path: str, by: list[str]) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def _compact(kept: DataFrame, landed: str, parts: dict) -> None:
+    """Days' rows without repetitions as one more part, then the parts they came
+    from go. Broken off between the two, repetitions stay, which do no harm."""
+    import pyarrow.fs as pafs
+
+    _write(kept.withColumns({"source": F.lit("compacted"), "epoch": F.lit(uuid.uuid4().hex)}), landed, [DAY, "source", "epoch"])
+    fs, base = pafs.FileSystem.from_uri(landed)
+    for d, gone in parts.items():
+        for p in gone:
+            fs.delete_dir(f"{base}/{DAY}={d}/source={p['source']}/epoch={p['epoch']}")
