@@ -64,17 +64,18 @@ def space_sorted_for_write(df: DataFrame, sort_cols: list[str], partition_col: s
     return parted.sortWithinPartitions(*nulls_last([partition_col, *sort_cols])).drop("__cell")
 
 
-def day_sorted_for_write(df: DataFrame, sort_cols: list[str], ts: str = "data_collection_log_timestamp", partition_col: str = "month") -> DataFrame:
+def day_sorted_for_write(df: DataFrame, sort_cols: list[str], ts: str = "data_collection_log_timestamp", partition_col: str = "month", folders: list[str] | None = None) -> DataFrame:
     """One pass: rebalance by (month, day) and sort inside each partition.
 
     Every file is sorted and holds whole days (a hot day is split by AQE's
     rebalance, small days are coalesced), which is what row-group pruning
     needs; unlike a range exchange it needs no sampling job, so the upstream
-    (e.g. parsing raw CSVs) runs once.
+    (e.g. parsing raw CSVs) runs once. ``folders``: partition columns that stand
+    before ``partition_col`` in the paths written.
     """
     day = F.to_date(F.col(ts))
     keyed = df.withColumn("__day", day)
-    return keyed.hint("rebalance", partition_col, "__day").sortWithinPartitions(*nulls_last([partition_col] + sort_cols)).drop("__day")
+    return keyed.hint("rebalance", partition_col, "__day").sortWithinPartitions(*nulls_last([*(folders or []), partition_col, *sort_cols])).drop("__day")
 
 
 def extract_order(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

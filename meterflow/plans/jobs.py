@@ -9,11 +9,12 @@ written (a cheap scan of two columns) instead of recomputing the inputs.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -24,7 +25,9 @@ from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import transform as T
 from ..sinks import files as SINK
+from ..sources import csvfiles as CSV
 from ..sources import readers as R
+from . import month_stats as MS
 
 TS = "data_collection_log_timestamp"
 
@@ -90,47 +93,55 @@ def build_nged_months(
     months: list[str],
     min_partitions: int | None = None,
     listed: list[str] | None = None,
+    allow_missing: bool = False,
 ) -> MonthBuild:
     """NGED part files of ``months`` -> cleaned staging months (JB2).
 
-    SC2 + PR2, PR3, PR4; AG1 stats before the month filter (as the reference
-    counts them); FI3 keeps rows inside the month and the dropped rows are
-    reported; SO1 + SK1. ``listed``: the file names the portal lists for these
-    months; one that has not landed fails the build.
+    SC2 + PR2, PR3, PR4; FI3 keeps rows inside the month, SO1 + SK1. Parts are
+    numbered from 0 without a gap, so a missing part is seen without a listing,
+    save for the last ones: ``listed``, the file names the portal lists for these
+    months, finds those, too. A missing part fails the build unless
+    ``allow_missing``.
+
+    The part files are parsed once. One write stages the rows of the month and,
+    set aside, those of other months; its observed metrics count the latter. AG1 counts before the month filter (as published),
+    so it reads both from what was written: two columns of Parquet.
     """
-    if listed:
-        wanted = [f"{raw_dir.rstrip('/')}/{name}" for name in listed]
-        absent = sorted(set(wanted) - set(existing_paths(spark, wanted)))
+    parts = [f"{raw_dir.rstrip('/')}/aggregated-smart-meter-data-lv-feeder-{m[:7]}-part*.csv*" for m in months]
+    patterns = existing_paths(spark, parts)
+    if not allow_missing:
+        absent = missing_parts(spark, raw_dir, patterns, listed or [])
         if absent:
-            raise FileNotFoundError(f"listed parts that have not landed: {absent}")
-    patterns = existing_paths(
-        spark, [f"{raw_dir.rstrip('/')}/aggregated-smart-meter-data-lv-feeder-{m[:7]}-part*.csv*" for m in months]
-    )
+            raise FileNotFoundError(f"parts that have not landed: {absent}")
     if not patterns:
         return MonthBuild(months, None)
-    raw = R._csv(spark, patterns).withColumn("source_file", F.col("_metadata.file_path"))
-    typed = R.canonical_columns(R.rename_nged(raw), keep=["source_file"])
-    cleaned = T.clean_nged(typed).withColumn("month", C.month_from_nged_url("source_file")).drop("source_file")
-    # the part files are parsed once: the write fills a disk-only cache, and the
-    # stats taken before the month filter (as published) read from it; lost
-    # blocks are recomputed from the files
-    cleaned = cleaned.persist(StorageLevel.DISK_ONLY)
-    try:
-        inside = cleaned.where(month_start(TS) == F.col("month"))
-        SINK.write_staging(inside, staging_root, "NGED")
-        in_month = month_start(TS) == F.col("month")
-        per_month = (
-            A.partition_stats(cleaned, "NGED", by=["month"])
-            .join(cleaned.groupBy("month").agg(F.count_if(~in_month | F.col(TS).isNull()).alias("rows_outside_month")), "month")
-            .collect()
-        )  # one row per month built
-    finally:
-        cleaned.unpersist()
-    stats = spark.createDataFrame([(r.month, r.row_count, r.nunique_feeders) for r in per_month], "month date, row_count long, nunique_feeders long")
-    outside = spark.createDataFrame(
-        [(r.month, r.rows_outside_month) for r in per_month if r.rows_outside_month], "month date, rows_outside_month long"
-    )
-    return MonthBuild(months, stats, outside)
+    cleaned = T.clean_nged(R.read_part_readings(spark, patterns, min_partitions, with_file=True))
+    cleaned = cleaned.withColumn("month", C.month_from_nged_url("source_file")).drop("source_file")
+    inside = F.coalesce(month_start(TS) == F.col("month"), F.lit(False))
+    seen = Observation()
+    counts = [F.count_if(~inside & (F.col("month") == F.lit(m).cast("date"))).alias(m) for m in months]
+    staged = cleaned.observe(seen, F.count(F.lit(1)).alias("n"), *counts).withColumn("outside", ~inside)
+    SINK.write_staging(staged, staging_root, "NGED", aside="outside")
+    outside = {m: seen.get[m] for m in months if seen.get[m]}
+    built = (F.col("dno") == "NGED") & _months_filter("month", months)
+    if outside:  # of months without such rows an earlier build's may lie there
+        built = built | ((F.col("dno") == f"NGED{SINK.ASIDE_SUFFIX}") & _months_filter("month", list(outside)))
+    written = spark.read.parquet(staging_root).where(built)
+    report = spark.createDataFrame([(dt.date.fromisoformat(m), n) for m, n in outside.items()], "month date, rows_outside_month long")
+    return MonthBuild(months, A.partition_stats(written, "NGED", by=["month"]), report)
+
+
+def missing_parts(spark: SparkSession, raw_dir: str, patterns: list[str], listed: list[str]) -> list[str]:
+    """Part files that should be there: those ``listed``, and those that the
+    numbers of the landed ones skip."""
+    landed = {f.rsplit("/", 1)[1] for f, _ in CSV.file_headers(spark, patterns)} if patterns else set()
+    numbered: dict[str, dict[int, str]] = {}
+    for name in landed:
+        found = re.match(r"(.*-part)(\d{4})(\.csv.*)$", name)
+        if found:
+            numbered.setdefault(found[1], {})[int(found[2])] = found[3]
+    gaps = [f"{stem}{i:04d}{next(iter(ends.values()))}" for stem, ends in numbered.items() for i in range(max(ends)) if i not in ends]
+    return sorted(set(gaps) | (set(listed) - landed))
 
 
 def combined_rows(spark: SparkSession, staging_root: str, months: list[str]) -> DataFrame:
@@ -161,20 +172,24 @@ def build_combined_months(
     return MonthBuild(months, A.partition_stats(written, "COMBINED", by=["month"]))
 
 
-def ingest_raw(spark: SparkSession, path: str, dno: str, quarantine_dir: str | None = None) -> dict[str, DataFrame]:
+def ingest_raw(spark: SparkSession, path: str, dno: str, quarantine_dir: str | None = None, stats_root: str | None = None) -> dict[str, DataFrame]:
     """Validate and profile raw files (JB4): a file with any bad value is
     rejected whole (SK6); per-file row counts, distinct feeders (AG1) and the
-    column profile (AG15)."""
-    raw = R._csv(spark, path).withColumn("source_file", F.col("_metadata.file_path"))
-    if dno.upper() == "NGED":
-        raw = R.rename_nged(raw)
-    R.require_columns(raw, S.CANONICAL_COLUMNS, f"{dno} raw file")
-    good, bad = Q.quarantine_bad_files(raw)
+    column profile (AG15). The files are parsed once; what follows reads the
+    flagged copy. ``stats_root``: the good files' states for month statistics are
+    kept there (``month_stats``), a rejected file's earlier one goes."""
+    flagged, seen = Q.flag_once(R.raw_readings(spark, path, dno))
+    good, bad = Q.split_by_file(flagged, seen["n_bad"])
     if quarantine_dir:
         bad.write.mode("overwrite").parquet(quarantine_dir)
     typed = R.canonical_columns(good, keep=["source_file"])
     key = A.feeder_key(dno)
     stats = typed.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("nunique_feeders"))
+    if stats_root:
+        name = C.filename_from_url("source_file")
+        rows = good.withColumns({"file": name, "month": C.month_from_url("source_file", dno)})
+        files = [r["f"] for r in flagged.select(name.alias("f")).distinct().collect()]  # a name per file of the batch
+        MS.update_stats(spark, stats_root, rows, {"feeders": key}, files, file_col="file")
     return {"good": typed, "bad_files": bad, "stats": stats, "schema": A.schema_profile(spark, typed.drop("source_file"))}
 
 

@@ -16,21 +16,28 @@ from ..functions.timefns import month_start
 from ..operators.ordering import day_sorted_for_write, range_sorted_for_write, space_sorted_for_write
 
 
-def write_staging(df: DataFrame, root: str, dno: str, partitions: int | None = None, order: str = "daily") -> None:
+#: the ``dno`` folder of rows set aside: no reader of a DNO's months meets them
+ASIDE_SUFFIX = "-ASIDE"
+
+
+def write_staging(df: DataFrame, root: str, dno: str, partitions: int | None = None, order: str = "daily", aside: str | None = None) -> None:
     """Sorted staging months under ``root/dno=<DNO>/month=<YYYY-MM-01>/`` (SK1, SK5).
 
     A ``month`` column set by the caller (the file's month) is kept; otherwise
     the reading's month is used. ``order="daily"`` (default) writes sorted
     one-day files in one pass; ``"global"`` range-sorts the whole month
-    (file names follow the order) at the cost of a sampling pass.
+    (file names follow the order) at the cost of a sampling pass. ``aside``
+    names a boolean column: its rows go, in the same write, to months of their
+    own under ``dno=<DNO>-ASIDE``.
     """
-    out = df.withColumn("dno", F.lit(dno.upper()))
+    name = F.lit(dno.upper())
+    out = df.withColumn("dno", F.concat(name, F.when(F.col(aside), F.lit(ASIDE_SUFFIX)).otherwise(F.lit("")))).drop(aside) if aside else df.withColumn("dno", name)
     if "month" not in out.columns:
         out = out.withColumn("month", month_start("data_collection_log_timestamp"))
     if order == "global":
         ordered = range_sorted_for_write(out, S.STAGING_SORT, partition_col="month", n=partitions)
     else:
-        ordered = day_sorted_for_write(out, S.STAGING_SORT)
+        ordered = day_sorted_for_write(out, S.STAGING_SORT, folders=["dno"] if aside else None)
     (
         ordered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -1,8 +1,7 @@
 """Readers for the raw and staged files (SC1-SC8).
 
-CSV files are read with every column as text and cast by name afterwards:
-an explicit narrower schema would bind by position and silently null values.
-Gzip files are not splittable, so a read of few large files can be spread
+CSV files are read with every column as text, by each file's own header
+(``csvfiles``), and cast by name afterwards. Gzip files are not splittable, so a read of few large files can be spread
 into ``min_partitions`` partitions.
 """
 
@@ -13,15 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-
-
-def _csv(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    # every file's header is held against the first one's: columns are taken by
-    # name, so a file with another order must fail rather than swap its values
-    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST").option("enforceSchema", False)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return reader.csv(path)
+from . import csvfiles as CSV
 
 
 def require_columns(df: DataFrame, columns: list[str], what: str) -> None:
@@ -58,25 +49,35 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
+def raw_readings(spark: SparkSession, path: str | list[str], dno: str) -> DataFrame:
+    """The 12 staging columns as text, and ``source_file``: columns are picked by
+    name from each file's own header, NGED spellings renamed (PR2)."""
+    renames = S.NGED_RENAMES if dno.upper() == "NGED" else None
+    return CSV.read_csv(spark, path, S.CANONICAL_COLUMNS, renames=renames)
+
+
+def _readings(spark, path, dno, min_partitions, with_file) -> DataFrame:
+    typed = canonical_columns(raw_readings(spark, path, dno), keep=["source_file"] if with_file else None)
+    return _spread(typed, min_partitions)
+
+
 def read_daily_readings(
     spark: SparkSession, path: str | list[str], min_partitions: int | None = None, with_file: bool = False
 ) -> DataFrame:
     """SSEN daily files (gzip CSV) -> staging columns (SC1)."""
-    raw = _csv(spark, path)
-    if with_file:
-        raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
-    typed = canonical_columns(raw, keep=["source_file"] if with_file else None)
-    return _spread(typed, min_partitions)
+    return _readings(spark, path, "SSEN", min_partitions, with_file)
 
 
-def read_part_readings(spark: SparkSession, path: str | list[str], min_partitions: int | None = None) -> DataFrame:
+def read_part_readings(
+    spark: SparkSession, path: str | list[str], min_partitions: int | None = None, with_file: bool = False
+) -> DataFrame:
     """NGED monthly part files -> staging columns after the header renames (SC2)."""
-    return _spread(canonical_columns(rename_nged(_csv(spark, path))), min_partitions)
+    return _readings(spark, path, "NGED", min_partitions, with_file)
 
 
 def read_postcode_mapping(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Feeder -> postcode mapping, all text (SC3)."""
-    df = _csv(spark, path)
+    df = CSV.read_csv(spark, path).drop("source_file")
     require_columns(df, ["dataset_id", "postcode"], "postcode mapping")
     return df
 
@@ -102,9 +103,8 @@ def postcode_directory_from_text(df: DataFrame, cols: list[str] | None = None) -
 
 def read_postcode_directory(spark: SparkSession, folder: str, cols: list[str] | None = None) -> DataFrame:
     """The postcode directory CSV inside an extracted archive folder (SC4)."""
-    df = _csv(spark, folder, glob="*.[cC][sS][vV]")
-    df = df.where(F.col("_metadata.file_name").rlike(S.POSTCODE_FILE_PATTERN))
-    return postcode_directory_from_text(df, cols)
+    df = CSV.read_csv(spark, folder, cols, glob="*.[cC][sS][vV]", name_pattern=S.POSTCODE_FILE_PATTERN)
+    return postcode_directory_from_text(df.drop("source_file"), cols)
 
 
 def model_from_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -121,16 +121,16 @@ def read_transformer_model(spark: SparkSession, path: str | list[str], cols: lis
 
     A ``file_row`` column keeps the file order for first-row de-duplication.
     """
-    df = _csv(spark, path).withColumn(
-        "file_row",
-        F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")),
-    )
+    df = CSV.read_csv(spark, path, cols, position=True).drop("source_file")
     return model_from_text(df, (cols + ["file_row"]) if cols else None)
 
 
 def read_staging(spark: SparkSession, root: str) -> DataFrame:
-    """All staging months: ``root/dno=<DNO>/month=<YYYY-MM-01>/``."""
-    return spark.read.parquet(root)
+    """All staging months: ``root/dno=<DNO>/month=<YYYY-MM-01>/``, without the
+    rows set aside."""
+    from ..sinks.files import ASIDE_SUFFIX
+
+    return spark.read.parquet(root).where(~F.col("dno").endswith(ASIDE_SUFFIX))
 
 
 def read_staging_month(spark: SparkSession, root: str, dno: str, month: str) -> DataFrame:

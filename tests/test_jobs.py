@@ -321,14 +321,43 @@ def test_a_box_skips_files(spark, built, tmp_path):
     assert tuple(listed) == tuple(both)
 
 
-def test_other_header_order_fails(spark, tmp_path):
-    """Columns are taken by name: a file with swapped columns is not read by position."""
-
-    os.makedirs(tmp_path / "raw")
-    write_csv(str(tmp_path / "raw/2024-02-01.csv.gz"), S.SSEN_CSV_COLUMNS, ssen_rows("2024-02-01"))
-    write_csv(str(tmp_path / "raw/2024-02-02.csv.gz"), S.SSEN_CSV_COLUMNS[::-1], ssen_rows("2024-02-02"))
-    with pytest.raises(Exception, match="header"):
-        R.read_daily_readings(spark, str(tmp_path / "raw")).collect()
+def test_columns_are_taken_by_name_in_each_file(spark, tmp_path):
+    """Files with swapped columns, a column more, or NGED spellings: the values of each name."""
+    raw = str(tmp_path / "raw [1]")
+    os.makedirs(raw)
+    write_csv(f"{raw}/2024-02-01.csv.gz", S.SSEN_CSV_COLUMNS, ssen_rows("2024-02-01"))
+    write_csv(f"{raw}/2024-02-02.csv.gz", S.SSEN_CSV_COLUMNS[::-1], ssen_rows("2024-02-02"))
+    write_csv(f"{raw}/2024-02-03.csv.gz", ["new_one", *S.SSEN_CSV_COLUMNS], ssen_rows("2024-02-03"))
+    open(f"{raw}/2024-02-04.csv", "w").close()  # nothing in it, not even a header
+    got = R.read_daily_readings(spark, raw.replace("[", "\\[").replace("]", "\\]"), with_file=True)
+    days = {}
+    for r in got.collect():
+        d = r.asDict()
+        d.pop("source_file")
+        day = d["data_collection_log_timestamp"].day
+        days.setdefault(day, []).append({k: v for k, v in d.items() if k not in S.TIME_COLUMNS} | {"at": d["data_collection_log_timestamp"].time()})
+    assert sorted(days) == [1, 2, 3] and all(sorted(map(repr, v)) == sorted(map(repr, days[1])) and len(v) == SSEN_PER_DAY for v in days.values())
+    assert {r.source_file.rsplit("/", 1)[1] for r in got.select("source_file").distinct().collect()} == {f"2024-02-0{d}.csv.gz" for d in (1, 2, 3)}
+
+
+def test_a_file_without_a_column_fails_by_name(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    os.makedirs(raw)
+    write_csv(f"{raw}/2024-02-01.csv.gz", S.SSEN_CSV_COLUMNS, ssen_rows("2024-02-01"))
+    write_csv(f"{raw}/2024-02-02.csv.gz", [c for c in S.SSEN_CSV_COLUMNS if c != "insert_time"], ssen_rows("2024-02-02"))
+    with pytest.raises(ValueError, match="2024-02-02.*insert_time"):
+        R.read_daily_readings(spark, raw)
+
+
+def test_headers_need_the_first_lines_only(spark, tmp_path):
+    from meterflow.sources import csvfiles as CSV
+
+    big = tmp_path / "big.csv"
+    big.write_text("a,b\n" + "1,2\n" * 400_000)
+    (tmp_path / "two.csv").write_text('"b","a"\r\n3,4\r\n')
+    assert [(f.rsplit("/", 1)[1], CSV.header_columns(line)) for f, line in CSV.file_headers(spark, str(tmp_path))] == [("big.csv", ["a", "b"]), ("two.csv", ["b", "a"])]
+    rows = CSV.read_csv(spark, str(tmp_path)).groupBy("a", "b").count().collect()
+    assert {tuple(r) for r in rows} == {("1", "2", 400_000), ("4", "3", 1)}
 
 
 def test_month_rows_do_not_depend_on_the_batch(spark, tmp_path):
@@ -344,6 +373,26 @@ def test_month_rows_do_not_depend_on_the_batch(spark, tmp_path):
     assert n == {"2024-02-01": 232, "2024-03-01": 248, "2024-02-01 2024-03-01": 480}
 
 
+def test_a_gap_in_the_parts_fails(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    files = nged_part_files(raw, 2024, 2, parts=4)
+    os.rename(files[1], f"{tmp_path}/later.csv.gz")
+    with pytest.raises(FileNotFoundError, match="part0001"):
+        JB.build_nged_months(spark, raw, str(tmp_path / "st"), ["2024-02-01"])
+    assert not os.path.exists(tmp_path / "st")
+    assert JB.build_nged_months(spark, raw, str(tmp_path / "st"), ["2024-02-01"], allow_missing=True).stats.first().row_count == 29 * NGED_PER_DAY * 3 // 4
+
+
+def test_rows_outside_go_with_their_month(spark, tmp_path):
+    """A rebuilt month without stray rows reports none, though earlier ones lie aside."""
+    raw, st = str(tmp_path / "raw"), str(tmp_path / "st")
+    for extra, rows, outside in ((True, 249, [1]), (False, 248, [])):
+        nged_part_files(raw, 2024, 1, extra_next_month=extra)
+        built = JB.build_nged_months(spark, raw, st, ["2024-01-01"])
+        assert built.stats.first().row_count == rows and [r.rows_outside_month for r in built.outside.collect()] == outside
+        assert R.read_staging(spark, st).count() == 248
+
+
 def test_listed_part_that_has_not_landed_fails(spark, tmp_path):
     files = nged_part_files(str(tmp_path / "raw"), 2024, 2)
     names = [os.path.basename(f) for f in files]

@@ -15,8 +15,9 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
 
 
-# partitions bounded by time, after a distinct; or by the cells and crossings of one polygon in one row of cells
-WINDOWED = {"gaps", "new_missing_by_day", "new_missing_by_month", "within_distance", "license_area_locations"}
+# partitions bounded by time, after a distinct; or by the cells and crossings of one polygon in one row of cells;
+# or by the distinct values in one range of a group
+WINDOWED = {"gaps", "new_missing_by_day", "new_missing_by_month", "within_distance", "license_area_locations", "insert_lag"}
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
