@@ -60,7 +60,7 @@ def nrn_from_full(full_nrn: Column | str, strict: bool = True) -> Column:
     if not strict:
         return F.when(F.size(parts) == 3, nrn)
     return F.when(c.isNull(), F.lit(None).cast("string")).when(F.size(parts) == 3, nrn).otherwise(
-        F.raise_error(F.concat(F.lit("Unexpected NRN format: "), c))
+        F.raise_error(F.concat(F.lit("not three parts joined by _: "), c))
     )
 
 
@@ -110,7 +110,7 @@ def month_from_url(url: Column | str, dno: str) -> Column:
         return month_from_ssen_url(url)
     if dno == "NGED":
         return month_from_nged_url(url)
-    raise ValueError(f"Unsupported DNO: {dno}")
+    raise ValueError(f"no file name rule is known for network operator {dno}")
 
 
 # -- locations ----------------------------------------------------------------

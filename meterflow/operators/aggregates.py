@@ -27,7 +27,7 @@ def feeder_key(dno: str) -> Column:
         return C.null_join("-", "secondary_substation_id", "lv_feeder_id")
     if key == "COMBINED":
         return F.col("lv_feeder_unique_id")
-    raise ValueError(f"Unsupported DNO: {dno}")
+    raise ValueError(f"no feeder key is known for network operator {dno}")
 
 
 def partition_stats(df: DataFrame, dno: str, by: list[str] | None = None, month_of: str = TS) -> DataFrame:

@@ -163,16 +163,14 @@ def bbox_filter(df: DataFrame, minx: float, miny: float, maxx: float, maxy: floa
     return df.where(bbox_predicate(minx, miny, maxx, maxy, geometry))
 
 
-def in_list(df: DataFrame, column: str, values, bounded: bool = False) -> DataFrame:
+def in_list(df: DataFrame, column: str, values) -> DataFrame:
     """Membership in a list or in another DataFrame's column (FI7).
 
-    A DataFrame is matched with a left-semi join; it is broadcast only when
-    the caller vouches for its size (``bounded``, e.g. a sample of n ids).
+    A DataFrame is matched with a left-semi join; whether it is broadcast is
+    left to Spark's check of its size.
     """
     if isinstance(values, DataFrame):
         ids = values.select(F.col(values.columns[0]).alias("__id")).distinct()
-        if bounded:
-            ids = F.broadcast(ids)
         return df.join(ids, F.col(column) == F.col("__id"), "left_semi")
     return df.where(F.col(column).isin(list(values)))
 

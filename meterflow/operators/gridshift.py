@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,56 +33,34 @@ def grid_from_ntv2_seconds(df: DataFrame) -> DataFrame:
     )
 
 
-def grid_shift(
-    points: DataFrame,
-    grid: DataFrame,
-    spec: GridSpec,
-    key: str,
-    lat: str = "latitude",
-    lon: str = "longitude",
-) -> DataFrame:
-    """Shift every point by the interpolated grid value.
+def grid_cells(grid: DataFrame) -> DataFrame:
+    """A row per grid cell (by its lowest node) with the shifts of its four nodes;
+    a node that the grid lacks is null."""
+    places = [(0, 0), (1, 0), (0, 1), (1, 1)]
+    at = F.array(*[F.struct((F.col("i") - di).cast("long").alias("i"), (F.col("j") - dj).cast("long").alias("j"), F.lit(k).alias("k")) for k, (di, dj) in enumerate(places)])
+    nodes = grid.select(F.explode(at).alias("c"), "shift_lat", "shift_lon").select("c.*", "shift_lat", "shift_lon")
+    aggs = [F.max(F.when(F.col("k") == k, F.col(f"shift_{x}"))).alias(f"__{x}{k}") for x in ("lat", "lon") for k in range(4)]
+    return nodes.groupBy(F.col("i").alias("__i"), F.col("j").alias("__j")).agg(*aggs)
 
-    Returns ``key`` + shifted lat/lon; a point with a missing corner node
-    (outside the grid) gets null coordinates rather than a partial shift.
+
+def grid_shift(points: DataFrame, grid: DataFrame, spec: GridSpec, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """``points`` with ``lat`` and ``lon`` shifted by the interpolated grid value.
+
+    Each point meets the one row of its grid cell; its other columns go along.
+    A point with a missing node (outside the grid) gets null coordinates rather
+    than a partial shift.
     """
     fi = (F.col(lat) - F.lit(spec.lat0)) / F.lit(spec.dlat)
     fj = (F.col(lon) - F.lit(spec.lon0)) / F.lit(spec.dlon)
-    base = points.select(
-        key,
-        F.col(lat).alias("__lat"),
-        F.col(lon).alias("__lon"),
-        F.floor(fi).alias("__i"),
-        F.floor(fj).alias("__j"),
-        (fi - F.floor(fi)).alias("__ti"),
-        (fj - F.floor(fj)).alias("__tj"),
-    )
+    at = points.withColumns({"__i": F.floor(fi), "__j": F.floor(fj), "__ti": fi - F.floor(fi), "__tj": fj - F.floor(fj)})
     ti, tj = F.col("__ti"), F.col("__tj")
-    corners = F.array(
-        F.struct(F.lit(0).alias("di"), F.lit(0).alias("dj"), ((1 - ti) * (1 - tj)).alias("w")),
-        F.struct(F.lit(1).alias("di"), F.lit(0).alias("dj"), (ti * (1 - tj)).alias("w")),
-        F.struct(F.lit(0).alias("di"), F.lit(1).alias("dj"), ((1 - ti) * tj).alias("w")),
-        F.struct(F.lit(1).alias("di"), F.lit(1).alias("dj"), (ti * tj).alias("w")),
-    )
-    # one row per corner node, with its bilinear weight
-    exploded = base.select(key, "__lat", "__lon", "__i", "__j", F.explode(corners).alias("c")).select(
-        key,
-        "__lat",
-        "__lon",
-        (F.col("__i") + F.col("c.di")).cast("long").alias("i"),
-        (F.col("__j") + F.col("c.dj")).cast("long").alias("j"),
-        F.col("c.w").alias("w"),
-    )
-    g = grid.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), "shift_lat", "shift_lon")
-    joined = exploded.join(g, ["i", "j"], "left")
-    summed = joined.groupBy(key, "__lat", "__lon").agg(
-        F.sum(F.col("w") * F.col("shift_lat")).alias("__dlat"),
-        F.sum(F.col("w") * F.col("shift_lon")).alias("__dlon"),
-        F.max(F.when(F.col("shift_lat").isNull() & (F.col("w") > 0), F.lit(1)).otherwise(F.lit(0))).alias("__miss"),
-    )
-    ok = F.col("__miss") == 0
-    return summed.select(
-        key,
-        F.when(ok, F.col("__lat") + F.col("__dlat")).alias(lat),
-        F.when(ok, F.col("__lon") + F.col("__dlon")).alias(lon),
-    )
+    weights = [(1 - ti) * (1 - tj), ti * (1 - tj), (1 - ti) * tj, ti * tj]
+
+    def moved(x: str, start: Column) -> Column:
+        # a node without weight may be missing
+        parts = [F.when(w > 0, w * F.col(f"__{x}{k}")).otherwise(F.lit(0.0)) for k, w in enumerate(weights)]
+        return start + (parts[0] + parts[1] + parts[2] + parts[3])
+
+    joined = at.join(grid_cells(grid), ["__i", "__j"], "left")
+    new = {lat: moved("lat", F.col(lat)), lon: moved("lon", F.col(lon))}
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in points.columns])

@@ -2,15 +2,17 @@
 
 Plan for ``convex_hulls``:
 
-1. ``mapInPandas`` over the input partitions: groups with more than a few
-   points are replaced by their hull vertices inside each Arrow batch. This is
-   the map-side combine: a group holding a third of all rows is cut down to a
-   handful of vertices per batch before anything is shuffled.
-2. ``groupBy(group, source task % 256)`` hulls each bucket of candidates
-   (an Arrow ``pandas_udf`` running the monotone chain), so no bucket holds
-   more than its share of a hot group.
-3. ``groupBy(group)`` collects at most 256 partial hulls per group and the
-   same UDF gives the final hull.
+1. A plain aggregate (JVM, combined map-side) finds each group's farthest points
+   in ``DIRECTIONS`` directions, and a join on the group drops the points that lie
+   strictly inside the polygon of these: they are on no hull. Of a dense group a
+   few per cent are left.
+2. ``mapInPandas`` over what is left, the only place where Python sees points:
+   groups with more than a few points in an Arrow batch become their hull there,
+   before any shuffle. The partial hulls are written once to the shared folder.
+3. Partial hulls are merged in a tree, ``FAN_IN`` tasks' parts at a time, as deep as
+   the number of tasks that made them needs; a node holds at most that many
+   partial hulls, however hot the group (an Arrow ``pandas_udf`` running the
+   monotone chain).
 
 The hull is taken in degrees, as the data's lon/lat, then measured in
 British National Grid metres with Column math (no Python).
@@ -18,6 +20,7 @@ British National Grid metres with Column math (no Python).
 
 from __future__ import annotations
 
+import math
 import sys
 from fractions import Fraction
 
@@ -29,6 +32,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import geo as G
+from ..session import scratch_table
 
 # Python workers get this module's functions by value, so executors need no
 # copy of the package on their path.
@@ -115,14 +119,15 @@ def _partial_hulls(group: str):
         for pdf in batches:
             if pdf.empty:
                 continue
-            sizes = pdf.groupby(group, sort=False)["x"].transform("size")
+            sizes = pdf.groupby(group, sort=False, dropna=False)["x"].transform("size")
             small = pdf[sizes <= _PARTIAL_MIN_POINTS]
             big = pdf[sizes > _PARTIAL_MIN_POINTS]
             if not small.empty:
                 yield small
             if not big.empty:
                 rows = []
-                for key, g in big.groupby(group, sort=False):
+                for key, g in big.groupby(group, sort=False, dropna=False):
+                    key = None if pd.isna(key) else key
                     g = g.drop_duplicates(["x", "y"])
                     metres = dict(zip(zip(g["x"], g["y"]), zip(g["mx"], g["my"])))
                     for vx, vy in hull_vertices(g["x"].to_numpy(), g["y"].to_numpy()):
@@ -133,15 +138,53 @@ def _partial_hulls(group: str):
     return reduce_batches
 
 
-_SALT = 256
+DIRECTIONS = 16
+FAN_IN = 64
+#: a point this close to an edge of the polygon, against the terms of its cross product, stays
+MARGIN = 1e-9
+
+
+def farthest_points(points: DataFrame, group: str) -> DataFrame:
+    """Per group the farthest points in ``DIRECTIONS`` directions, counter-clockwise:
+    __x0, __y0, __x1, ... The two ``max_by`` of a direction see the same order, so
+    they pick one point."""
+    aggs = []
+    for k in range(DIRECTIONS):
+        turn = 2 * math.pi * k / DIRECTIONS
+        along = F.col("x") * math.cos(turn) + F.col("y") * math.sin(turn)
+        aggs += [F.max_by("x", along).alias(f"__x{k}"), F.max_by("y", along).alias(f"__y{k}")]
+    return points.groupBy(F.col(group).alias("__group")).agg(*aggs)
+
+
+def outer_points(points: DataFrame, group: str) -> DataFrame:
+    """``points`` without those strictly inside the polygon of their group's
+    farthest points. Points near its edges stay, as do all points of a group
+    whose farthest points span no area."""
+    far = farthest_points(points, group)
+    joined = points.join(far, points[group].eqNullSafe(far["__group"]))
+    inside, edges = F.lit(True), F.lit(0)
+    for k in range(DIRECTIONS):
+        n = (k + 1) % DIRECTIONS
+        ax, ay = F.col(f"__x{k}"), F.col(f"__y{k}")
+        dx, dy = F.col(f"__x{n}") - ax, F.col(f"__y{n}") - ay
+        left, right = dx * (F.col("y") - ay), dy * (F.col("x") - ax)
+        none = (dx == 0) & (dy == 0)
+        inside = inside & (none | (left - right > (F.abs(left) + F.abs(right)) * MARGIN))
+        edges = edges + F.when(none, 0).otherwise(1)
+    return joined.where(~(inside & (edges >= 3))).select(*points.columns)
 
 
 def _hull_step(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hull the points of each ``keys`` group; one row per hull vertex."""
+    """Hull the points of each ``keys`` group."""
     g = df.groupBy(*keys).agg(F.collect_set(F.struct("x", "y", "mx", "my")).alias("__pts"))
-    h = g.select(*keys, _hull_udf(F.col("__pts.x"), F.col("__pts.y"), F.col("__pts.mx"), F.col("__pts.my")).alias("__h"))
-    v = h.select(*keys, F.explode(F.arrays_zip(F.col("__h.xs").alias("x"), F.col("__h.ys").alias("y"), F.col("__h.mxs").alias("mx"), F.col("__h.mys").alias("my"))).alias("v"))
-    return v.select(*[k for k in keys if k != "__salt"], "v.x", "v.y", "v.mx", "v.my")
+    return g.select(*keys, _hull_udf(F.col("__pts.x"), F.col("__pts.y"), F.col("__pts.mx"), F.col("__pts.my")).alias("__h"))
+
+
+def _vertices(hulls: DataFrame, keys: list[str]) -> DataFrame:
+    h = F.col("__h")
+    return hulls.select(*keys, F.explode(F.arrays_zip(h["xs"].alias("x"), h["ys"].alias("y"), h["mxs"].alias("mx"), h["mys"].alias("my"))).alias("v")).select(
+        *keys, "v.x", "v.y", "v.mx", "v.my"
+    )
 
 
 def convex_hulls(points: DataFrame, group: str, x: str = "x", y: str = "y", project: bool = True) -> DataFrame:
@@ -150,27 +193,27 @@ def convex_hulls(points: DataFrame, group: str, x: str = "x", y: str = "y", proj
     ``hull`` is array<struct<x,y>> in the input coordinates (degrees for
     lon/lat), taken there as the data defines it; ``hull_m`` holds the same
     vertices in BNG metres. The points are projected before the hull step
-    (plain per-row Column math), so the vertex metres come out of the UDF as
-    a column: later filters on measures cannot be inlined back into the
-    projection. With ``project=False`` the input is already planar.
+    (plain per-row Column math, of the outer points alone), so the vertex metres
+    come out of the UDF as a column: later filters on measures cannot be inlined
+    back into the projection. With ``project=False`` the input is already planar.
     Rows with a null coordinate are ignored.
     """
     xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
     pts = points.select(group, xc.alias("x"), yc.alias("y")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    pts = outer_points(pts, group)
     if project:
         m = G.project_bng(F.col("x"), F.col("y"))
         pts = pts.select(group, "x", "y", m["x"].alias("mx"), m["y"].alias("my"))
     else:
         pts = pts.select(group, "x", "y", F.col("x").alias("mx"), F.col("y").alias("my"))
-    reduced = pts.mapInPandas(_partial_hulls(group), pts.schema)
-    # middle level: a group's partial hulls are bucketed by the task that made
-    # them (mod SALT) and hulled per bucket, so the final task of even the
-    # hottest group sees at most SALT partial hulls, however many tasks fed
-    # it; a group seen by one task stays in one bucket
-    salted = reduced.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(_SALT)))
-    partial = _hull_step(salted, [group, "__salt"])
-    gathered = partial.groupBy(group).agg(F.collect_set(F.struct("x", "y", "mx", "my")).alias("__pts"))
-    hulled = gathered.select(group, _hull_udf(F.col("__pts.x"), F.col("__pts.y"), F.col("__pts.mx"), F.col("__pts.my")).alias("__h"))
+    made = pts.mapInPandas(_partial_hulls(group), pts.schema).withColumn("__part", F.spark_partition_id())
+    partial = scratch_table(made, "partial-hulls")
+    parts = (partial.agg(F.max("__part")).first()[0] or 0) + 1
+    while parts > FAN_IN:
+        parts = -(-parts // FAN_IN)
+        step = partial.withColumn("__part", F.floor(F.col("__part") / FAN_IN).cast("int"))
+        partial = _vertices(_hull_step(step, [group, "__part"]), [group, "__part"])
+    hulled = _hull_step(partial.drop("__part"), [group])
     hull = F.arrays_zip(F.col("__h.xs").alias("x"), F.col("__h.ys").alias("y"))
     hull_m = F.arrays_zip(F.col("__h.mxs").alias("x"), F.col("__h.mys").alias("y"))
     return hulled.select(group, hull.alias("hull"), hull_m.alias("hull_m")).withColumn("geometry_type", geometry_type("hull"))

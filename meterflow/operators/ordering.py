@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -83,16 +83,22 @@ def extract_order(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.orderBy(*nulls_last(cols or ["data_collection_log_timestamp", "lv_feeder_unique_id"]))
 
 
-def sample_ids(df: DataFrame, column: str, n: int, seed: int = 0) -> DataFrame:
-    """A repeatable random ``n`` of the distinct non-null ids, sorted (SO4).
+def sample_ids(df: DataFrame, column: str, n: int, seed: int = 0, by: str | None = None) -> DataFrame:
+    """A repeatable random ``n`` of the distinct non-null ids, sorted (SO4); with
+    ``by``, of the ids of each group (a region), groups first.
 
-    The hash order is a seeded permutation of the distinct ids; ``limit`` is
-    the sampling feature itself, and Spark keeps only ``n`` rows per task
-    before the final merge.
+    The ids with the ``n`` smallest hashes (md5 of id and seed, so that any
+    engine can repeat it) are the sample. Ids are made distinct map-side; of what
+    is left each task keeps the ``n`` smallest, of each group, before the final
+    merge: a group's whole ids meet in no task.
     """
-    ids = df.where(F.col(column).isNotNull()).select(column).distinct()
-    picked = ids.orderBy(F.xxhash64(F.col(column), F.lit(seed)), F.col(column)).limit(n)
-    return picked.orderBy(column)
+    keys = [by] if by else []
+    ids = df.where(F.col(column).isNotNull()).select(*keys, column).distinct()
+    draw = [F.md5(F.concat(F.col(column).cast("string"), F.lit(f"#{seed}")).cast("binary")), F.col(column)]
+    if not by:
+        return ids.orderBy(*draw).limit(n).orderBy(column)
+    ranked = ids.withColumn("__rank", F.row_number().over(Window.partitionBy(by).orderBy(*draw))).where(F.col("__rank") <= n)
+    return ranked.drop("__rank").orderBy(by, column)
 
 
 def top_n(df: DataFrame, by: str, n: int, tie_break: list[str] | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -68,9 +68,9 @@ def unique_ids(df: DataFrame, dno: str | None = None) -> DataFrame:
             return df.withColumns({"secondary_substation_unique_id": nged_sub, "lv_feeder_unique_id": nged_feeder})
         if key == "SSEN":
             return df.withColumns({"secondary_substation_unique_id": ssen_sub, "lv_feeder_unique_id": ssen_feeder})
-        raise ValueError(f"Unsupported DNO: {dno} for combined geoparquet")
+        raise ValueError(f"no rule for the ids of network operator {dno}")
     alias = F.col("dno_alias")
-    bad = F.raise_error(F.concat(F.lit("Unsupported DNO: "), F.coalesce(alias, F.lit("null"))))
+    bad = F.raise_error(F.concat(F.lit("no rule for the ids of network operator "), F.coalesce(alias, F.lit("null"))))
     return df.withColumns(
         {
             "secondary_substation_unique_id": F.when(alias == "NGED", nged_sub).when(alias == "SSEN", ssen_sub).otherwise(bad),
@@ -114,13 +114,25 @@ def with_normalised(
     return df.withColumn(out, C.normalised(consumption, devices))
 
 
-def month_list(spark, start: str, end: str) -> DataFrame:
-    """Month partition keys from ``start`` to ``end`` inclusive (PR22)."""
-    return spark.range(1).select(
-        F.explode(
-            F.sequence(F.lit(start).cast("date"), F.trunc(F.lit(end).cast("date"), "MM"), F.expr("INTERVAL 1 MONTH"))
-        ).alias("month")
-    )
+def month_list(spark, start: str, end: str | Column) -> DataFrame:
+    """Month partition keys from ``start`` to the month of ``end`` inclusive (PR22);
+    none if that is earlier."""
+    first = F.lit(start).cast("date")
+    last = F.trunc((F.lit(end) if isinstance(end, str) else end).cast("date"), "MM")
+    months = F.when(last >= first, F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
+    return spark.range(1).select(F.explode(months).alias("month"))
+
+
+def source_months(spark, source: str, today: str | Column) -> DataFrame:
+    """The month partitions a source has on the day ``today`` (PR22): SSEN and the
+    combined table with the running month, NGED completed months only, each from
+    its first month on."""
+    key = source.upper()
+    first = {"SSEN": S.SSEN_FIRST_MONTH, "NGED": S.NGED_FIRST_MONTH, "COMBINED": S.COMBINED_FIRST_MONTH}.get(key)
+    if first is None:
+        raise ValueError(f"no months are known of {source}")
+    day = (F.lit(today) if isinstance(today, str) else today).cast("date")
+    return month_list(spark, first, F.add_months(day, -1) if key == "NGED" else day)
 
 
 def stage_mixed_feed(readings: DataFrame, lookup: DataFrame, located_alias: str = "SSEN") -> DataFrame:

@@ -3,7 +3,7 @@
 Each window is partitioned by a feeder/substation key (never an unpartitioned
 window), so rows are spread over tasks by that key. A deduplication key
 that may be hot is handled by ``dedupe_readings`` through an aggregate
-(``min_by`` over a struct) instead of a window: Spark combines it map-side,
+(``min`` of a struct) instead of a window: Spark combines it map-side,
 so a key holding a third of the rows is reduced before the shuffle.
 """
 
@@ -19,26 +19,27 @@ def first_by(df: DataFrame, keys: list[str], order: list[str], nulls_first_flags
     """One row per ``keys``: the smallest by ``order`` (nulls last), ties
     broken by the remaining columns (nulls last), so the pick is exact.
 
-    Implemented as ``min_by(row, rank)`` in an aggregate: Spark reduces each
-    key map-side before the shuffle, so a key holding a third of all rows
-    never lands whole in one task (a window would sort it in one task).
-    ``nulls_first_flags`` names columns whose rows with nulls rank after
-    rows where they are all set (checked before ``order``).
+    One ``min`` over a struct of all columns, each behind its null flag, in an
+    aggregate: Spark reduces each key map-side before the shuffle, so a key
+    holding a third of all rows never lands whole in one task (a window would
+    sort it in one task). ``nulls_first_flags`` names columns whose rows with
+    nulls rank after rows where they are all set (checked before ``order``).
     """
     others = [c for c in df.columns if c not in keys]
-    rank_fields = []
+    if not others:
+        return df.distinct()
+    fields = []
     if nulls_first_flags:
         missing = None
         for c in nulls_first_flags:
             m = F.col(c).isNull()
             missing = m if missing is None else (missing | m)
-        rank_fields.append(missing.alias("__missing"))
-    for c in order + [c for c in others if c not in order]:
-        rank_fields += [F.col(c).isNull().alias(f"__n_{c}"), F.col(c).alias(f"__v_{c}")]
-    rank = F.struct(*rank_fields)
-    row = F.struct(*[F.col(c) for c in others])
-    kept = df.groupBy(*keys).agg(F.min_by(row, rank).alias("__row"))
-    return kept.select(*keys, *[F.col("__row")[c].alias(c) for c in others]).select(*df.columns)
+        fields.append(missing.alias("__missing"))
+    ranked = [c for c in order if c in others]
+    for c in ranked + [c for c in others if c not in order]:
+        fields += [F.col(c).isNull().alias(f"__n_{c}"), F.col(c).alias(f"__v_{c}")]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("__least"))
+    return least.select(*[F.col(c) if c in keys else F.col("__least")[f"__v_{c}"].alias(c) for c in df.columns])
 
 
 def dedupe_readings(

@@ -82,6 +82,6 @@ def feeder_extract(readings: DataFrame, n: int, seed: int, bbox=None) -> DataFra
     latitude/longitude columns (JB8: SO4, FI7, PR17, SO3, PR21)."""
     area = FI.bbox_filter(readings, *bbox) if bbox else readings
     sample = O.sample_ids(area, "lv_feeder_unique_id", n, seed)
-    picked = FI.in_list(readings, "lv_feeder_unique_id", sample, bounded=True)
+    picked = FI.in_list(readings, "lv_feeder_unique_id", sample)
     flat = T.flatten_geometry(picked)
     return O.extract_order(flat.select(*EXTRACT_COLUMNS))

@@ -97,8 +97,7 @@ def substation_locations_from_model(
     if grid is not None:
         if spec is None:
             raise ValueError("grid needs its GridSpec")
-        shifted = grid_shift(located, grid, spec, key="file_row")
-        fixed = located.drop("latitude", "longitude").join(shifted, "file_row").withColumn("method", F.lit("grid"))
+        fixed = grid_shift(located, grid, spec).withColumn("method", F.lit("grid"))
     else:
         pt = helmert_osgb36_to_wgs84(F.col("longitude"), F.col("latitude"))
         fixed = located.withColumns({"latitude": pt["y"], "longitude": pt["x"], "method": F.lit("helmert")})

@@ -343,7 +343,7 @@ shifted AS (SELECT file_row, latitude + sum(w * g.shift_lat) AS latitude, longit
 )
 def grid_shift_q(spark, sf):
     first = FI.located(W.dedupe_model(model(spark, sf)), "latitude", "longitude")
-    out = grid_shift(first, shift_grid(spark), GRID_SPEC, key="file_row")
+    out = grid_shift(first, shift_grid(spark), GRID_SPEC)
     return out.select("file_row", F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"))
 
 

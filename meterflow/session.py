@@ -51,13 +51,19 @@ def build_session(
     return spark
 
 
+#: settings on which results depend
+NEEDED = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+
+
 def apply_engine_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session."""
+    """Apply the runtime SQL settings to an existing session. A setting that the
+    cluster has locked stays as it is, unless results depend on it."""
     for key, value in ENGINE_CONF.items():
         try:
             spark.conf.set(key, value)
-        except Exception:  # static or locked settings stay as the cluster set them
-            pass
+        except Exception as exc:
+            if key in NEEDED and spark.conf.get(key, "") != value:
+                raise RuntimeError(f"{key} must be {value}; it is locked as {spark.conf.get(key, '')}") from exc
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

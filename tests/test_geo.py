@@ -128,7 +128,7 @@ def test_grid_shift_bilinear(spark):
         [(0, 0, 0.0, 0.0), (1, 0, 1.0, 0.0), (0, 1, 0.0, 2.0), (1, 1, 1.0, 2.0)], "i long, j long, shift_lat double, shift_lon double"
     )
     pts = spark.createDataFrame([(1, 57.25, -2.75), (2, 60.0, -2.75)], "id long, latitude double, longitude double")
-    got = {r.id: (r.latitude, r.longitude) for r in grid_shift(pts, grid, spec, "id").collect()}
+    got = {r.id: (r.latitude, r.longitude) for r in grid_shift(pts, grid, spec).collect()}
     assert got[1] == pytest.approx((57.25 + 0.5, -2.75 + 1.0))
     assert got[2] == (None, None)  # outside the grid
 
