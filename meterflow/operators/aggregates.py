@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from . import ordering as O
 from ..functions.timefns import floor_day, month_start
 
 TS = "data_collection_log_timestamp"
@@ -162,6 +163,32 @@ def pivot_feeders(df: DataFrame, index: list[str], column: str, values: list[str
     return df.groupBy(*index).agg(*aggs)
 
 
+def pivot_blocks(df: DataFrame, index: list[str], column: str, value: str, width: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Index x feeder matrix over all feeders present, however many (AG8).
+
+    Feeders get numbers in their order; ``width`` of them make a block of columns.
+    Returns the matrix in blocks (index, block, cells: a map from the place in the
+    block to the value, missing cells left out) and the columns (column, block,
+    place). The number of feeders is in the data alone: no list of them comes to
+    the driver, no expression is made for each, and a row holds ``width`` cells at
+    most. A second value for one cell is an error; null feeders have no column and
+    null values no cell.
+    """
+    ids = O.numbered(df.where(F.col(column).isNotNull()).select(column).distinct(), [column], "__nr")
+    columns = ids.select(column, F.floor(F.col("__nr") / width).alias("block"), (F.col("__nr") % width).cast("int").alias("place"))
+    # combined map-side: repetitions of a cell meet as a count, not as rows
+    cells = df.where(F.col(column).isNotNull()).groupBy(*index, column).agg(F.count(F.lit(1)).alias("__n"), F.max(value).alias("__value"))
+    once = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit(f"duplicate cell for {column}="), F.col(column).cast("string"))).cast(df.schema[value].dataType)).otherwise(F.col("__value"))
+    placed = cells.withColumn("__value", once).where(F.col("__value").isNotNull()).join(columns, column)
+    return placed.groupBy(*index, "block").agg(F.map_from_entries(F.collect_list(F.struct("place", "__value"))).alias("cells")), columns
+
+
+def unpivot_blocks(blocks: DataFrame, columns: DataFrame, index: list[str], column: str, value: str) -> DataFrame:
+    """The long form of ``pivot_blocks``: index, column, value."""
+    cells = blocks.select(*index, "block", F.explode("cells").alias("place", value))
+    return cells.join(columns, ["block", "place"]).select(*index, column, value)
+
+
 def readings_per_feeder(df: DataFrame, feeder: str = "lv_feeder_unique_id") -> DataFrame:
     """Distinct timestamps per feeder, most first (AG9)."""
     return df.groupBy(feeder).agg(F.count_distinct(TS).alias("n_timestamps"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import scratch_table
 
 
 def nulls_last(cols: list[str]):
@@ -78,6 +79,22 @@ def day_sorted_for_write(df: DataFrame, sort_cols: list[str], ts: str = "data_co
     return keyed.hint("rebalance", partition_col, "__day").sortWithinPartitions(*nulls_last([*(folders or []), partition_col, *sort_cols])).drop("__day")
 
 
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with the place of each row in ``order``, from 0, without sorting in
+    one task: rows are sorted in ranges, written once, and each range's numbers
+    start where the one before ends. A count per range comes to the driver."""
+    keys = nulls_last(order)
+    ranges = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    low = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the row's place in its task
+    kept = scratch_table(ranges.withColumns({"__range": F.spark_partition_id(), "__place": low}), "numbered")
+    starts, total = [], 0
+    for r in kept.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).orderBy("__range").collect():
+        starts.append((r["__range"], total))
+        total += r["n"]
+    first = df.sparkSession.createDataFrame(starts, "__range int, __first long")
+    return kept.join(first, "__range").withColumn(name, F.col("__first") + F.col("__place")).drop("__range", "__place", "__first")
+
+
 def extract_order(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Sort an extract by timestamp then feeder (SO3)."""
     return df.orderBy(*nulls_last(cols or ["data_collection_log_timestamp", "lv_feeder_unique_id"]))

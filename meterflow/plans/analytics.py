@@ -77,11 +77,11 @@ EXTRACT_COLUMNS = [
 ]
 
 
-def feeder_extract(readings: DataFrame, n: int, seed: int, bbox=None) -> DataFrame:
-    """All rows of a seeded random sample of ``n`` feeders, sorted, with
-    latitude/longitude columns (JB8: SO4, FI7, PR17, SO3, PR21)."""
+def feeder_extract(readings: DataFrame, n: int, seed: int, bbox=None, by: str | None = None) -> DataFrame:
+    """All rows of a seeded random sample of ``n`` feeders (of each group ``by``),
+    sorted, with latitude/longitude columns (JB8: SO4, FI7, PR17, SO3, PR21)."""
     area = FI.bbox_filter(readings, *bbox) if bbox else readings
-    sample = O.sample_ids(area, "lv_feeder_unique_id", n, seed)
+    sample = O.sample_ids(area, "lv_feeder_unique_id", n, seed, by).select("lv_feeder_unique_id")
     picked = FI.in_list(readings, "lv_feeder_unique_id", sample)
     flat = T.flatten_geometry(picked)
     return O.extract_order(flat.select(*EXTRACT_COLUMNS))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import files, locations, readings, streams  # noqa: F401  (register)
+from . import files, landed, locations, readings, streams  # noqa: F401  (register)
 from .registry import REGISTRY, Query
 
 

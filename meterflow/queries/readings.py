@@ -482,7 +482,14 @@ def top_feeders(spark, sf):
     return O.top_n(sums, "total_wh", 10, ["lv_feeder_unique_id"])
 
 
-@register("sample_feeders", "SO4 (seeded; hash order differs from SQL, rows-only check)")
+@register(
+    "sample_feeders",
+    "SO4, JB8 (seeded by md5)",
+    with_published()
+    + ", picked AS (SELECT DISTINCT lv_feeder_unique_id AS id FROM published WHERE lv_feeder_unique_id IS NOT NULL ORDER BY md5(lv_feeder_unique_id || '#42'), 1 LIMIT 5) "
+    "SELECT data_collection_log_timestamp, secondary_substation_unique_id, lv_feeder_unique_id, latitude, longitude, aggregated_device_count_active, "
+    "total_consumption_active_import FROM published WHERE lv_feeder_unique_id IN (SELECT id FROM picked)",
+)
 def sample_feeders(spark, sf):
     from ..plans.analytics import feeder_extract
 

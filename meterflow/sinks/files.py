@@ -68,12 +68,13 @@ def write_published(
         ordered = day_sorted_for_write(out, S.PUBLISHED_SORT)
     if geoparquet:
         import os
+        import re
 
         from .geoparquet import register, sweep
 
         # the file writer runs pyarrow on the executors: give it an absolute
         # path (or keep the URI) rather than one relative to the driver's folder
-        if "://" not in root and not os.path.isabs(root):
+        if not re.match(r"[A-Za-z][\w+.-]*:/", root) and not os.path.isabs(root):
             root = os.path.abspath(root)
         register(df.sparkSession)
         (

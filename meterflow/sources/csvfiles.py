@@ -55,7 +55,7 @@ def header_columns(line: str) -> list[str]:
     return next(csv.reader([line.lstrip("﻿").rstrip("\r")]))
 
 
-def _literal(file: str) -> str:
+def literal_path(file: str) -> str:
     """A listed file as a path to read: decoded, pattern signs escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
 
@@ -90,7 +90,7 @@ def read_csv(
         if len(set(names)) != len(names):
             raise ValueError(f"{files[0]}: a column name stands twice in the header")
         schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-        df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv([_literal(f) for f in files])
+        df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv([literal_path(f) for f in files])
         extra = [F.col("_metadata.file_path").alias("source_file")]
         if position:
             order = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")]

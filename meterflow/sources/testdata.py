@@ -17,6 +17,12 @@ queries use the same text as CTEs, so both engines see identical inputs.
 
 from __future__ import annotations
 
+import csv
+import io
+import zlib
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,6 +154,42 @@ VIEWS["raw_readings_dirty"] = (
     ],
 )
 
+# three months of readings of both networks from lineitem, as files carry them: a
+# third of all rows are one feeder's, some rows come in the file of days before,
+# and a few consumption texts of one day are no numbers (raw_months_dirty)
+_UID = "(CASE WHEN l_orderkey % 3 = 0 THEN 8 ELSE l_partkey % 397 + 1 END)"
+_DAY = "CAST((l_orderkey * 7 + l_linenumber * 13) % 91 AS INT)"
+_SLOT = "((l_orderkey + l_suppkey) % 48)"
+_DATE = f"(DATE '2024-01-01' + {_DAY})"
+_FILE_DATE = f"(DATE '2024-01-01' + {_DAY} - CASE WHEN l_orderkey % 50 = 1 THEN 3 ELSE 0 END)"
+_STAMP = f"CAST({_DATE} AS STRING) || ' ' || lpad(CAST(CAST(floor({_SLOT} / 2.0) AS INT) AS STRING), 2, '0') || CASE WHEN {_SLOT} % 2 = 1 THEN ':30:00' ELSE ':00:00' END"
+_SSEN = f"{_UID} % 2 = 0"
+_MONTHS = [
+    ("dataset_id", f"CASE WHEN {_SSEN} THEN lpad(CAST({_UID} AS STRING), 10, '0') || lpad(CAST({_UID} % 4 + 1 AS STRING), 2, '0') WHEN {_UID} % 17 = 1 THEN NULL ELSE 'N' || CAST({_UID} AS STRING) END"),
+    ("dno_name", f"CASE WHEN {_SSEN} THEN 'North, East' ELSE 'South, West' END"),
+    ("dno_alias", f"CASE WHEN {_SSEN} THEN 'SSEN' WHEN {_UID} % 17 = 1 THEN NULL ELSE 'NGED' END"),
+    ("secondary_substation_id", f"lpad(CAST({_UID} % 50 AS STRING), 6, '0')"),
+    ("secondary_substation_name", f"CASE WHEN {_UID} % 7 = 0 THEN ' ' ELSE 'SUBSTATION ' || CAST({_UID} % 50 AS STRING) END"),
+    ("lv_feeder_id", f"CAST({_UID} % 4 + 1 AS STRING)"),
+    ("lv_feeder_name", f"CASE WHEN {_UID} % 5 = 0 THEN NULL ELSE 'FEEDER ' || CAST({_UID} % 4 + 1 AS STRING) END"),
+    ("substation_geo_location", f"CASE WHEN {_SSEN} THEN NULL WHEN {_UID} % 13 = 0 THEN ', ' ELSE CAST(50 + {_UID} % 9 AS STRING) || '.' || lpad(CAST({_UID} * 37 % 1000 AS STRING), 3, '0') || ', -2.' || lpad(CAST({_UID} * 53 % 1000 AS STRING), 3, '0') END"),
+    ("aggregated_device_count_active", "CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST(1 + l_linenumber AS STRING) || '.5' END"),
+    ("primary_consumption_active_import", "CAST(CAST(round(l_quantity * 100) AS BIGINT) AS STRING) || '.0'"),
+    ("secondary_consumption_active_import", "CAST(NULL AS STRING)"),
+    ("total_consumption_active_import", "CAST(CAST(round(l_quantity * 500) AS BIGINT) AS STRING) || CASE WHEN l_linenumber % 4 = 0 THEN '.5' ELSE '.0' END"),
+    ("aggregated_device_count_reactive", "'0.0'"),
+    ("total_consumption_reactive_import", "'0.0'"),
+    ("data_collection_log_timestamp", _STAMP),
+    ("insert_time", f"CAST({_DATE} + 1 AS STRING) || ' 03:10:00'"),
+    ("last_modified_time", f"CAST({_DATE} + 2 AS STRING) || ' 04:20:00'"),
+    ("source_file", f"CASE WHEN {_SSEN} THEN CAST({_FILE_DATE} AS STRING) || '.csv.gz' ELSE 'aggregated-smart-meter-data-lv-feeder-' || substr(CAST({_FILE_DATE} AS STRING), 1, 7) || '-part' || lpad(CAST({_DAY} % 3 AS STRING), 4, '0') || '.csv.gz' END"),
+]
+VIEWS["raw_months"] = ("lineitem", _MONTHS)
+VIEWS["raw_months_dirty"] = (
+    "lineitem",
+    [(c, f"CASE WHEN {_DAY} = 40 AND l_linenumber = 2 THEN 'n/a' ELSE {e} END" if c == "total_consumption_active_import" else e) for c, e in _MONTHS],
+)
+
 POINT_EXPRS = {
     # the embedding's first two dimensions as lon/lat offsets on a 1/65536-degree
     # lattice (exact in binary) around 57.125 N, 2.25 W; 150 groups by id
@@ -226,6 +268,13 @@ _DUCK_TYPED = {
     + ", "
     + ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in S.TIME_COLUMNS)
     + " FROM raw_readings)",
+    "months": "months AS (SELECT "
+    + ", ".join(f"coalesce({c}, '') AS {c}" for c in S.TEXT_COLUMNS)
+    + ", "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in S.FLOAT_COLUMNS)
+    + ", "
+    + ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in S.TIME_COLUMNS)
+    + ", source_file FROM raw_months)",
     "nged_readings": "nged_readings AS (SELECT * FROM readings WHERE dno_alias <> 'SSEN')",
     "ssen_readings": "ssen_readings AS (SELECT * FROM readings WHERE dno_alias = 'SSEN')",
     "nged_staging": "nged_staging AS (SELECT "
@@ -248,6 +297,7 @@ _DUCK_TYPED = {
 
 _DEPENDS = {
     "readings": ["raw_readings"],
+    "months": ["raw_months"],
     "nged_readings": ["readings"],
     "ssen_readings": ["readings"],
     "nged_staging": ["nged_readings"],
@@ -273,5 +323,36 @@ def duck_with(*names: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+def land_csv(df: DataFrame, folder: str, name_col: str = "source_file", swap: bool = True, order: str | None = None) -> None:
+    """Write ``df``'s text columns as the CSV files a source would have put there,
+    a file per name in ``name_col``. With ``swap`` every other file has its columns
+    the other way round, as nothing promises their order. ``order``: a number
+    column (not written) that sorts a file's rows; a name that ends in .gz is
+    compressed."""
+    columns = [c for c in df.columns if c not in (name_col, order)]
+
+    def write(table: pa.Table) -> pa.Table:
+        name = table.column(name_col)[0].as_py()
+        if order:
+            table = table.sort_by(order)
+        header = columns[::-1] if swap and zlib.crc32(name.encode()) % 2 else columns
+        fs, base = pafs.FileSystem.from_uri(folder)
+        text = io.StringIO()
+        out = csv.writer(text, lineterminator="\n")
+        out.writerow(header)
+        out.writerows(zip(*(table.column(c).to_pylist() for c in header)))
+        with fs.open_output_stream(f"{base}/{name}", compression="gzip" if name.endswith(".gz") else None) as f:
+            f.write(text.getvalue().encode())
+        return pa.table({"name": [name]})
+
+    _folder(folder)
+    df.groupBy(name_col).applyInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+
+
+def _folder(path: str) -> None:
+    fs, base = pafs.FileSystem.from_uri(path)
+    fs.create_dir(base, recursive=True)
+
+
 def nged_blank_columns_spark(df: DataFrame) -> DataFrame:
     return df.withColumns({c: blank_to_null(c) for c in S.NGED_BLANK_COLUMNS})

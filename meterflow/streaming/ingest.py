@@ -19,20 +19,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schemas as S
 from ..functions.columns import month_from_nged_url, month_from_ssen_url
 from ..functions.timefns import month_start
 from ..operators import windows as W
 from ..session import checkpoint_dir
+from ..sources import csvfiles as CSV
 
 TS = "data_collection_log_timestamp"
 
 
-def text_schema(columns: list[str]) -> T.StructType:
-    """Streams need a schema: every CSV column as text, in file order."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
 def scratch_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     """(checkpoint, output) folders for one run under the shared checkpoint dir."""
     try:
@@ -59,46 +54,33 @@ def ingest_stream(
     landing_dir: str,
     rebuild_months: Callable[[list[str]], None],
     checkpoint: str | None = None,
-    columns: list[str] | None = None,
     month_of_file: Callable | None = None,
     glob: str = "*.csv*",
 ) -> None:
     """New raw CSV files -> months to rebuild -> ``rebuild_months(months)`` (IN6).
 
-    The only data a batch brings to the driver is its distinct months (a
-    handful of dates), the same decision the reference's sensor makes.
+    As the sensors do, a file counts for the month in its name (SSEN day file or
+    NGED part file, or what ``month_of_file`` makes of its path); one without is
+    read for the months of its readings, its timestamp column found by its own
+    header. What a batch brings to the driver is the names of such files and its
+    distinct months, the same decision the reference's sensor makes.
     """
-    cols = columns or S.SSEN_CSV_COLUMNS
     chk = checkpoint or scratch_paths(spark, "ingest")[0]
-    raw = (
-        spark.readStream.schema(text_schema(cols))
-        .option("header", True)
-        # check each file's header against the schema names of the columns
-        # read: a file whose columns moved fails loudly instead of binding
-        # values by position
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", glob)
-        .csv(landing_dir)
-        .select(F.col("_metadata.file_path").alias("source_file"), F.col(TS))
-    )
+    lines = spark.readStream.option("pathGlobFilter", glob).text(landing_dir).select(F.col("_metadata.file_path").alias("source_file"))
 
     def on_batch(batch: DataFrame, _epoch: int) -> None:
-        if month_of_file is not None:
-            month = month_of_file(F.col("source_file"))
-        else:
-            # as the sensors do: the month named by the file (SSEN day file or
-            # NGED part file), else the month of the reading itself
-            month = F.coalesce(
-                month_from_ssen_url(F.col("source_file")),
-                month_from_nged_url(F.col("source_file")),
-                month_start(F.col(TS).cast("timestamp")),
-            )
-        months_df = batch.select(month.alias("month"))
-        months = sorted(str(r["month"]) for r in months_df.where("month IS NOT NULL").distinct().collect())
+        path = F.col("source_file")
+        month = month_of_file(path) if month_of_file is not None else F.coalesce(month_from_ssen_url(path), month_from_nged_url(path))
+        named = batch.select(month.alias("month"), F.when(month.isNull(), path).alias("file")).distinct().collect()
+        months = {str(r["month"]) for r in named if r["month"] is not None}
+        unnamed = [CSV.literal_path(r["file"]) for r in named if r["month"] is None]
+        if unnamed and month_of_file is None:
+            read = CSV.read_csv(batch.sparkSession, unnamed, [TS]).select(month_start(F.col(TS).cast("timestamp")).alias("month"))
+            months |= {str(r["month"]) for r in read.where("month IS NOT NULL").distinct().collect()}
         if months:
-            rebuild_months(months)
+            rebuild_months(sorted(months))
 
-    run_available(raw, on_batch, chk)
+    run_available(lines, on_batch, chk)
 
 
 DAY = "__day"

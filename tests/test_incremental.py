@@ -108,19 +108,26 @@ def test_stream_ingest_rebuilds_touched_months(spark, tmp_path):
     assert {str(r.month): r["count"] for r in st} == {"2024-02-01": 60, "2024-03-01": 20}  # incremental = full rebuild
 
 
-def test_stream_rejects_reordered_header(spark, tmp_path):
+def test_files_without_a_month_in_their_name(spark, tmp_path):
+    """The timestamp is found by each file's own header; a file without it fails by name."""
     import gzip
 
     import pytest
 
     from meterflow import schemas as S
 
-    landing = tmp_path / "landing"
+    landing, seen = tmp_path / "landing", []
     landing.mkdir()
-    cols = list(S.SSEN_CSV_COLUMNS)
-    i, j = cols.index("data_collection_log_timestamp"), cols.index("insert_time")
-    cols[i], cols[j] = cols[j], cols[i]  # the column the stream reads moved in this file
-    with gzip.open(landing / "2024-02-12.csv.gz", "wt") as f:
-        f.write(",".join(cols) + "\n" + ",".join(["x"] * len(cols)) + "\n")
-    with pytest.raises(Exception):
-        ST.ingest_stream(spark, str(landing), lambda months: None, checkpoint=str(tmp_path / "chk"))
+
+    def put(name, columns, stamp):
+        with gzip.open(landing / name, "wt") as f:
+            f.write(",".join(columns) + "\n" + ",".join(stamp if c == "data_collection_log_timestamp" else "2020-01-01 00:00:00" for c in columns) + "\n")
+
+    put("one.csv.gz", S.SSEN_CSV_COLUMNS, "2024-02-12 00:30:00")
+    put("two.csv.gz", S.SSEN_CSV_COLUMNS[::-1], "2024-04-01 00:30:00")  # columns moved
+    put("2024-06-30.csv.gz", S.SSEN_CSV_COLUMNS[::-1], "2024-07-01 00:00:00")  # counts for its name's month
+    ST.ingest_stream(spark, str(landing), seen.append, checkpoint=str(tmp_path / "chk"))
+    assert seen == [["2024-02-01", "2024-04-01", "2024-06-01"]]
+    put("three.csv.gz", [c for c in S.SSEN_CSV_COLUMNS if c != "data_collection_log_timestamp"], "")
+    with pytest.raises(Exception, match="three.csv.gz.*data_collection_log_timestamp"):
+        ST.ingest_stream(spark, str(landing), seen.append, checkpoint=str(tmp_path / "chk"))

@@ -16,8 +16,8 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
 
 
 # partitions bounded by time, after a distinct; or by the cells and crossings of one polygon in one row of cells;
-# or by the distinct values in one range of a group
-WINDOWED = {"gaps", "new_missing_by_day", "new_missing_by_month", "within_distance", "license_area_locations", "insert_lag"}
+# or by the distinct values in one range of a group, or by the sample of each task
+WINDOWED = {"gaps", "new_missing_by_day", "new_missing_by_month", "within_distance", "license_area_locations", "insert_lag", "missing_first_months", "sample_feeders_by_network"}
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))

@@ -1,5 +1,4 @@
-"""Every registered query against its DuckDB oracle on the smallest tables,
-and every oracle-free query at least runs."""
+"""Every registered query against its DuckDB oracle on the smallest tables."""
 
 import datetime as dt
 import math
@@ -41,9 +40,7 @@ def test_query_matches_oracle(spark, duck, name):
     df = q.build(spark, SF_SMALL)
     cols = sorted(df.columns)
     got = Counter(tuple(norm(r[c]) for c in cols) for r in df.collect())
-    if q.oracle is None:
-        assert sum(got.values()) >= 0
-        return
+    assert q.oracle is not None, "a query without SQL needs a test of its own"
     cur = duck.execute(q.oracle)
     names = [d[0] for d in cur.description]
     assert sorted(names) == cols
