@@ -16,13 +16,18 @@ out. Three things are done with the scores, each a pass of its own:
 3. A window per query breaks ties by the smaller id and numbers the ranks.
 
 Components are floor(scale * x), x as double. Scores are exact: products run
-in float64 where every sum stays under 2**53 and in int64 otherwise.
+in float64 where every sum stays under 2**53. Otherwise they run in int64, where
+a sum that fits a long comes out right whatever wraps on the way, and a float64
+product tells whether it fits; only near the ends of a long Python's integers
+decide. Ranges are kept as unsigned longs, scores + 2**63.
 
 Defined results: a vector that is null, empty, or holds null or non-finite
 components takes no part, as do null ids. Only vectors of equal length meet.
 Rows with a query's own id are never its candidates; a repeated query id asks
 once, with its smallest vector; repeated candidate rows are candidates each.
-Fewer than k candidates give fewer rows; an empty table gives none.
+Fewer than k candidates give fewer rows; an empty table gives none. A score that
+does not fit a long is an error that names its two ids (a query's own vector is
+no candidate and may have any).
 """
 
 from __future__ import annotations
@@ -66,16 +71,36 @@ def _blocks(batches: Iterator[pa.RecordBatch], scale: float, block: int) -> Iter
         yield out(dim, ids, rows)
 
 
+ZERO = np.uint64(1 << 63)  # the unsigned form of a score of 0
+
+
+def _unsigned(scores: np.ndarray) -> np.ndarray:
+    """Longs as unsigned longs in the same order."""
+    return scores.view(np.uint64) ^ ZERO
+
+
+def _wide(a: np.ndarray, b: np.ndarray, own: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Products whose terms may pass 2**53."""
+    near = np.abs(a.astype(np.float64) @ b.T.astype(np.float64))
+    for r, c in zip(*np.nonzero((near > 2.0**63 * (1 - 1e-9)) & ~own)):
+        exact = sum(int(x) * int(y) for x, y in zip(a[r], b[c]))
+        if not -(2**63) < exact < 2**63:
+            raise ValueError(f"the score of {q[r]} and {v[c]} does not fit a long")
+    return a @ b.T  # modulo 2**64, and so right for all that fit
+
+
 def _pair(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, vector ids, scores (own id: smallest long, below any score)."""
+    """Query ids, vector ids, scores as unsigned (own id: 0, below any score)."""
     q, v = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
     a = np.frombuffer(row["q_ints"], np.int64).reshape(len(q), -1)
     b = np.frombuffer(row["ints"], np.int64).reshape(len(v), -1)
+    own = q[:, None] == v[None, :]
     if row["q_top"] * row["top"] * a.shape[1] < 2**53:
         s = (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
     else:
-        s = a @ b.T
-    s[q[:, None] == v[None, :]] = np.iinfo(np.int64).min
+        s = _wide(a, b, own, q, v)
+    s = _unsigned(s)
+    s[own] = 0
     return q, v, s
 
 
@@ -84,12 +109,12 @@ def _histogram(batches: Iterator[pa.RecordBatch], k: int, bins: int) -> Iterator
     for b in batches:
         for row in b.to_pylist():
             q, _, s = _pair(row)
-            low, width = np.frombuffer(row["low"], np.int64), np.frombuffer(row["width"], np.int64)
+            low, width = np.frombuffer(row["low"], np.uint64), np.frombuffer(row["width"], np.uint64)
             out_q, out_bin, out_n = [], [], []
             top = np.sort(np.partition(s, -k, axis=1)[:, -k:], axis=1) if s.shape[1] > k else np.sort(s, axis=1)
             floor = np.maximum(top[:, 0], low)
-            r, c = np.nonzero((s >= floor[:, None]) & (s > np.iinfo(np.int64).min))
-            cell = r * (bins + 1) + np.minimum((s[r, c] - low[r]) // width[r], bins)  # the last: above the range
+            r, c = np.nonzero((s >= floor[:, None]) & (s > 0))
+            cell = r * (bins + 1) + np.minimum((s[r, c] - low[r]) // width[r], np.uint64(bins)).astype(np.int64)  # the last: above the range
             at, n = np.unique(cell, return_counts=True)
             out_q, out_bin, out_n = q[at // (bins + 1)], at % (bins + 1), n
             yield pa.RecordBatch.from_arrays([pa.array(out_q), pa.array(out_bin, pa.int64()), pa.array(out_n, pa.int64())], names=["query_id", "bin", "n"])
@@ -100,13 +125,13 @@ def _above(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
     for b in batches:
         for row in b.to_pylist():
             q, v, s = _pair(row)
-            kth = np.frombuffer(row["low"], np.int64)
-            r, c = np.nonzero((s >= kth[:, None]) & (s > np.iinfo(np.int64).min))
-            order = np.lexsort((v[c], -s[r, c], r))
+            kth = np.frombuffer(row["low"], np.uint64)
+            r, c = np.nonzero((s >= kth[:, None]) & (s > 0))
+            order = np.lexsort((v[c], ~s[r, c], r))
             r, c = r[order], c[order]
             nr = np.arange(len(r)) - np.searchsorted(r, r)
             r, c = r[nr < k], c[nr < k]
-            yield pa.RecordBatch.from_arrays([pa.array(q[r]), pa.array(v[c]), pa.array(s[r, c])], names=["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(q[r]), pa.array(v[c]), pa.array((s[r, c] ^ ZERO).view(np.int64))], names=["query_id", "vec_id", "score"])
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, block: int = BLOCK, bins: int = BINS) -> DataFrame:
@@ -126,7 +151,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         q = queries.select("q_nr", F.col("ids").alias("q_ids"), F.col("ints").alias("q_ints"), F.col("top").alias("q_top")).join(ranges, "q_nr")
         return pairs_of.join(q, "q_nr").select("ids", "ints", "top", "q_ids", "q_ints", "q_top", "low", "width", "q_nr")
 
-    most = blocks.groupBy("dim").agg(F.max("top").alias("m")).join(queries, "dim").select("q_nr", "n", (F.col("m") * F.col("top") * F.col("dim")).alias("high"))
+    most = blocks.groupBy("dim").agg(F.max("top").alias("m")).join(queries, "dim").select("q_nr", "n", F.col("dim"), F.col("m"), "top")
     state = most.mapInPandas(lambda it: _first(it, bins), "q_nr long, low binary, width binary, steps int")
     state = keep(state, "ranges")
     for _ in range(state.agg(F.max("steps")).first()[0] or 0):
@@ -137,7 +162,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
             counts.withColumn("over", F.sum("n").over(down))
             .groupBy("query_id").agg(F.max(F.when(F.col("over") >= k, F.col("bin"))).alias("bin"), F.sum("n").alias("n"))
         )
-        holders = queries.join(state, "q_nr").mapInPandas(_spread, "q_nr long, at int, query_id long, low long, width long, steps int")
+        holders = queries.join(state, "q_nr").mapInPandas(_spread, "q_nr long, at int, query_id long, low string, width string, steps int")
         narrowed = holders.join(found, "query_id", "left").groupBy("q_nr").agg(
             F.sort_array(F.collect_list(F.struct("at", "low", "width", "bin"))).alias("rows"), F.max("steps").alias("steps")
         )
@@ -152,11 +177,11 @@ def _first(frames, bins: int):
     """The first range of every query: all possible scores."""
     for df in frames:
         rows = []
-        for nr, n, high in zip(df["q_nr"], df["n"], df["high"]):
-            width, steps = 1, 1
-            while width * bins < 2 * int(high) + 1:
+        for nr, n, dim, m, top in zip(df["q_nr"], df["n"], df["dim"], df["m"], df["top"]):
+            high, width, steps = min(int(m) * int(top) * int(dim), 2**63 - 1), 1, 1  # scores are longs
+            while width * bins < 2 * high + 1:
                 width, steps = width * bins, steps + 1
-            rows.append((nr, np.full(n, -int(high), np.int64).tobytes(), np.full(n, width, np.int64).tobytes(), steps))
+            rows.append((nr, np.full(n, 2**63 - high, np.uint64).tobytes(), np.full(n, min(width, 2**63), np.uint64).tobytes(), steps))
         yield type(df)(rows, columns=["q_nr", "low", "width", "steps"])
 
 
@@ -164,8 +189,8 @@ def _spread(frames):
     for df in frames:
         rows = []
         for r in df.itertuples():
-            ids, low, width = (np.frombuffer(x, np.int64) for x in (r.ids, r.low, r.width))
-            rows += [(r.q_nr, i, int(q), int(a), int(w), r.steps) for i, (q, a, w) in enumerate(zip(ids, low, width))]
+            ids, (low, width) = np.frombuffer(r.ids, np.int64), (np.frombuffer(x, np.uint64) for x in (r.low, r.width))
+            rows += [(r.q_nr, i, int(q), str(a), str(w), r.steps) for i, (q, a, w) in enumerate(zip(ids, low, width))]
         yield type(df)(rows, columns=["q_nr", "at", "query_id", "low", "width", "steps"])
 
 
@@ -179,7 +204,7 @@ def _narrow(frames, bins: int):
             for x in r.rows:
                 b = x["bin"]
                 found = b is not None and b == b and b < bins
-                low.append(x["low"] + (int(b) * x["width"] if found else 0))
-                width.append(max(1, x["width"] // bins))
-            rows.append((r.q_nr, np.asarray(low, np.int64).tobytes(), np.asarray(width, np.int64).tobytes(), r.steps))
+                low.append(int(x["low"]) + (int(b) * int(x["width"]) if found else 0))
+                width.append(max(1, int(x["width"]) // bins))
+            rows.append((r.q_nr, np.asarray(low, np.uint64).tobytes(), np.asarray(width, np.uint64).tobytes(), r.steps))
         yield type(df)(rows, columns=["q_nr", "low", "width", "steps"])
