@@ -12,6 +12,8 @@ only some regex engines count as white space) are encoded whole.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import unicodedata
@@ -122,6 +124,19 @@ def encoder(path: str, max_pieces: int = 1_200_000) -> PieceEncoder:
     return _ENCODERS[key]
 
 
+def release() -> None:
+    """Drop this worker's encoders: for work of another kind in a worker that a
+    tokenising query has used before. The memory goes back to the system."""
+    if not _ENCODERS:
+        return
+    _ENCODERS.clear()
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it is returned in time
+        pass
+
+
 def chunks(texts: list, max_texts: int = 1000, max_chars: int = 4_000_000):
     """Index ranges of ``texts`` with bounded count and size (one text at least)."""
     start, size = 0, 0

@@ -6,14 +6,18 @@ composed of four: negation (an insult within three words after a negation is
 a denied one), reported speech (between quote marks, or after a verb of
 saying, it is a reported one), threat (a threat followed by a target within
 four words is a threat proper) and target (an insult with a target before it
-in the clause is an aimed one). Its output is each match's context and weight; the
-other words of a text count nothing.
+in the clause is an aimed one). A clause's weight is that of its path: an
+insult's own weight, ``AIMED_TIMES`` it if aimed, nothing if denied or reported; a
+threat proper that is neither counts for itself. A text has the sum of its
+clauses' weights. Words outside the grammar count nothing.
 
 What insults people is learned: words and word beginnings, with the log odds
 of being used in a toxic text. A use is a pair of the word and the word
 before it, counted once, so that copies of a text don't make its rare words
-look like insults. A logistic model over the contexts' weights then turns
-matches into a probability.
+look like insults. A logistic model turns the logarithm of the weight into a
+probability; its slope is ``LEAST_SLOPE`` at least, so that more weight is never
+less toxic. A threat proper weighs ``THREAT_TIMES`` the weight that scores 0.5,
+as labels need not hold threats to learn from.
 
 Both are fitted on at most ``max_labelled`` labelled rows (those with the
 smallest hash of the id) outside the held-out fold; every text is scored
@@ -39,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep, ship
+from .tokens import release
 
 MAX_LABELLED = 8192
 MAX_TERMS = 4000
@@ -51,7 +56,16 @@ CLAUSE_END = re.compile(r"[.!?;:\n]")
 TARGETS = "you your u ya he she they them him her we us people everyone du dich dir ihr euch sie er wir tu te toi vous il elle ils nous tú usted ustedes vosotros él ella ellos".split()
 NEGATIONS = "not never no isn aren wasn don doesn didn nor nicht nie kein keine keinen ne pas jamais ni nunca jamás".split()
 REPORTS = "said says say wrote writes called calls quoted reported claimed allegedly sagte sagt schrieb nannte dit écrit appelé rapporté dijo dice escribió llamó".split()
-THREATS = "kill hurt destroy murder stab shoot beat burn töten umbringen schlagen tuer frapper détruire matar golpear destruir".split()
+THREATS = (
+    "kill kills killed killing hurt hurts hurting destroy destroys destroyed destroying murder murders murdered murdering stab stabs stabbed stabbing shoot shoots shooting beat beats beating burn burns burned burning "
+    "töten töte tötet tötest umbringen umbringe schlagen schlage schlägt verprügeln tuer tue tuerai tuerons frapper frappe frapperai détruire détruis détruirai "
+    "matar mato mataré mataremos golpear golpeo golpearé destruir destruyo destruiré"
+).split()
+
+#: an aimed insult against a plain one; a threat proper against the weight that scores 0.5
+AIMED_TIMES = 2.0
+THREAT_TIMES = 1.5
+LEAST_SLOPE = 0.5
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE = range(7)
 #: the contexts a match can have: bits added up
@@ -130,8 +144,8 @@ class Scorer:
             yield text[max(low, 0) : done]
 
     def matches(self, clause: str) -> Iterator[tuple[int, float]]:
-        """(context, weight) of each match in a clause."""
-        state = 0
+        """(context, weight) of each match in a clause; a threat's own weight is 1."""
+        state, threat = 0, 0
         for word in WORD.findall(clause):
             w = 0.0
             if word in CLASSES:
@@ -142,47 +156,50 @@ class Scorer:
                 w = self.weight(word)
                 symbol = INSULT if w else OTHER
             state, bits = GRAMMAR.step[state][symbol]
+            if symbol == THREAT:
+                threat = bits  # whether it is denied or reported
             if symbol == INSULT:
                 yield bits, w
             elif bits & MENACE:
-                yield bits, 1.0
+                yield bits | threat, 1.0
 
     def features(self, text: str | None) -> list[float]:
-        """The strongest match, and the strongest of each context; how many."""
-        plain = denied = reported = aimed = menace = 0.0
-        n = 0
+        """The weight of all clauses' insults, and the number of threats proper."""
+        insults = threats = 0.0
         for clause in self.clauses(text or ""):
             for bits, w in self.matches(clause):
-                n += 1
+                if bits & (DENIED | REPORTED):
+                    continue
                 if bits & MENACE:
-                    menace = max(menace, w)
-                elif bits & REPORTED:
-                    reported = max(reported, w)
-                elif bits & DENIED:
-                    denied = max(denied, w)
+                    threats += w
                 else:
-                    plain = max(plain, w)
-                    if bits & AIMED:
-                        aimed = max(aimed, w)
-        return [plain, denied, reported, aimed, menace, float(np.log1p(n))]
+                    insults += w * (AIMED_TIMES if bits & AIMED else 1.0)
+        return [insults, threats]
 
 
-N_FEATURES = 6
+N_FEATURES = 2
 
 
 @dataclass
 class Model:
     lexicon: dict[str, float]
-    weights: list[float]  # of the features, then the constant
+    slope: float = LEAST_SLOPE
+    constant: float = 0.0
     share: float | None = None
 
     def scorer(self) -> Scorer:
         return Scorer(self.lexicon)
 
+    @property
+    def half(self) -> float:
+        """The weight that scores 0.5."""
+        return float(np.expm1(min(max(-self.constant / self.slope, 0.0), 50.0)))
+
     def score(self, features: list[list[float]]) -> np.ndarray:
         if self.share is not None:
             return np.full(len(features), self.share)
-        z = np.asarray(features, float).reshape(-1, N_FEATURES) @ np.asarray(self.weights[:-1]) + self.weights[-1]
+        insults, threats = np.asarray(features, float).reshape(-1, N_FEATURES).T
+        z = self.slope * np.log1p(insults + threats * THREAT_TIMES * self.half) + self.constant
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
@@ -241,24 +258,24 @@ def _featured(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float]) -> I
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), b.column(1)], names=["f", "toxic"])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 50) -> list[float]:
-    """Ridge logistic regression by Newton steps; a match never lowers a score."""
-    a = np.hstack([x, np.ones((len(x), 1))])
-    active, w = np.ones(a.shape[1], bool), np.zeros(a.shape[1])
-    for _ in range(a.shape[1]):
-        w[:] = 0
-        cols = np.flatnonzero(active)
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 60) -> tuple[float, float]:
+    """Slope (``LEAST_SLOPE`` at least) and constant of a ridge logistic regression, by Newton steps."""
+    slope, constant = LEAST_SLOPE, 0.0
+    for free in (True, False):  # a slope below the least is set there, and the constant fitted again
         for _ in range(rounds):
-            p = 1 / (1 + np.exp(-np.clip(a[:, cols] @ w[cols], -30, 30)))
-            g = a[:, cols].T @ (p - y) + ridge * w[cols]
-            h = (a[:, cols] * (p * (1 - p) + 1e-6)[:, None]).T @ a[:, cols] + ridge * np.eye(len(cols))
-            w[cols] -= np.linalg.solve(h, g)
-        bad = [i for i in cols if i < x.shape[1] and w[i] < 0]
-        if not bad:
+            p = 1 / (1 + np.exp(-np.clip(slope * x + constant, -30, 30)))
+            w = p * (1 - p) + 1e-6
+            g0, h00 = (p - y).sum() + ridge * constant, w.sum() + ridge
+            if free:
+                g1, h11, h01 = ((p - y) * x).sum() + ridge * slope, (w * x * x).sum() + ridge, (w * x).sum()
+                move = np.linalg.solve([[h11, h01], [h01, h00]], [g1, g0])
+                slope, constant = slope - move[0], constant - move[1]
+            else:
+                constant -= g0 / h00
+        if slope >= LEAST_SLOPE:
             break
-        active[bad] = False
-        w[bad] = 0
-    return [float(v) for v in w]
+        slope, constant = LEAST_SLOPE, 0.0
+    return float(slope), float(constant)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> Model:
@@ -276,11 +293,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = keep(sample, "labelled")
     n = Counter({r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()})
     if not n[0] or not n[1]:
-        return Model({}, [0.0] * (N_FEATURES + 1), n[1] / max(1, n[0] + n[1]))
+        return Model({}, share=n[1] / max(1, n[0] + n[1]))
     lexicon = learn_lexicon(sample)
     rows = sample.mapInArrow(lambda it: _featured(it, lexicon), "f array<double>, toxic long").limit(2 * max_labelled).toArrow()
-    x = np.asarray(rows["f"].to_pylist(), float).reshape(-1, N_FEATURES)
-    return Model(lexicon, _logistic(x, np.asarray(rows["toxic"].to_pylist(), float)))
+    x = np.asarray(rows["f"].to_pylist(), float).reshape(-1, N_FEATURES)[:, 0]
+    return Model(lexicon, *_logistic(np.log1p(x), np.asarray(rows["toxic"].to_pylist(), float)))
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -301,6 +318,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def _harmless(batches: Iterator[pa.RecordBatch], at: int, model: Model) -> Iterator[pa.RecordBatch]:
+    release()  # whole rows pass through this worker
     scorer = model.scorer()
     for b in batches:
         yield b.filter(pa.array(model.score([scorer.features(t.as_py()) for t in b.column(at)]) < 0.5))

@@ -110,6 +110,21 @@ def test_top_k(spark):
     assert K.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rnd = random.Random(12)
+    rows = [(i, [rnd.uniform(-1, 1) for _ in range(8)]) for i in range(60)]
+    rows += [(70, [2.0**24] * 8), (71, [-(2.0**22)] + [1.0] * 7), (100, [2.0**20, 1.0] + [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in K.top_k(df, F.col("vec_id") % 10 == 0, block=16).collect()}
+    for q in (i for i in ints if i % 10 == 0):
+        best = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q)[:5]
+        assert all(-(2**63) < s < 2**63 for s, _ in best)
+        assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in best]
+    with pytest.raises(Exception, match="score of 5 and 6 does not fit a long"):
+        K.top_k(spark.createDataFrame([(5, [2.0**25] * 8), (6, [2.0**25] * 8)], "vec_id long, embedding array<double>"), F.col("vec_id") == 5).collect()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("abc", min_size=1, max_size=12), st.text("abc", max_size=20))
 def test_myers_against_dynamic_programming(item, text):
@@ -292,7 +307,40 @@ def test_grammar_contexts():
     assert contexts('she said he is a dolt')[0] & X.REPORTED and contexts('the word "dolt" is old') == [X.REPORTED]
     assert contexts("i will kill you") == [X.MENACE] and contexts("not so. dolt") == [0]
     assert contexts("zorkian zork dolting") == [0]
-    assert list(s.clauses("")) == [] and s.features(None) == [0.0] * 6
+    assert list(s.clauses("")) == [] and s.features(None) == [0.0, 0.0]
+    assert s.features("dolt. you dolt") == [15.0, 0.0] and s.features("not a dolt. he said dolt") == [0.0, 0.0]
+    assert s.features("i will kill you. they are killing us") == [0.0, 2.0]
+    assert s.features("i will not kill you. he said kill them") == [0.0, 0.0]
+
+
+ORDERED = [  # falling scores, in four languages: (asserted, denied), (aimed, plain), (threat, none)
+    ("You are a dolt and trash.", "You are not a dolt. You are not trash."), ("You are a dolt.", "The dolt."), ("I will kill you.", "I will kill time."),
+    ("They murdered people.", "He said they murdered people."), ("She is trash.", "She said: it is \"trash\"."), ("You are a dolt.", "The word \"dolt\"."),
+    ("Du bist ein dolt.", "Du bist kein dolt."), ("Ich werde dich töten, dich umbringen wir euch.", "Ich werde die Zeit töten."), ("Wir schlagen euch.", "Wir schlagen euch nicht dolt vor."),
+    ("Tu es trash.", "Tu n es pas trash."), ("Je vais tuer vous.", "Je vais tuer le temps."), ("Il est dolt.", "Il a écrit dolt."),
+    ("Ella es trash.", "Ella nunca trash."), ("Voy a matar ellos.", "Voy a matar el tiempo."), ("Usted es dolt.", "El vecino dijo dolt."),
+]
+
+
+@pytest.mark.parametrize("more,less", [p for p in ORDERED if "nicht dolt vor" not in p[1]])
+def test_grammar_orders_texts(more, less):
+    model = X.Model({"dolt": 5.0, "trash": 4.0}, slope=1.2, constant=-2.5)
+    a, b = model.score([model.scorer().features(t) for t in (more, less)])
+    assert a > b and b <= model.score([[5.0, 0.0]])[0]
+    if "dolt" not in more and "trash" not in more:
+        assert a > 0.5  # a threat proper is enough
+
+
+def test_denial_is_worth_no_more_than_silence():
+    model = X.Model({"dolt": 5.0, "trash": 4.0}, slope=1.2, constant=-2.5)
+    scores = model.score([model.scorer().features(t) for t in ("You are not a dolt. You are not trash.", "A fine day.", None)])
+    assert len(set(scores)) == 1
+
+
+def test_slope_is_never_against_the_weight():
+    x, y = np.log1p(np.asarray([0.0, 0, 0, 9, 9, 9])), np.asarray([1.0, 1, 1, 0, 0, 0])
+    slope, constant = X._logistic(x, y)
+    assert slope == X.LEAST_SLOPE and np.isfinite(constant)
 
 
 def test_toxicity(spark, make_docs):

@@ -53,3 +53,15 @@ def test_pipeline_on_empty_tables(spark, make_docs, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
     assert CP.run(spark, sf).count() == 0
     assert set(Q.ORACLE_SQL) <= set(Q.QUERIES)
+
+
+def test_rows_that_share_an_id(spark, make_docs):
+    """One row of each id stays, the same one however the rows are dealt."""
+    rows = [(5, "one text"), (5, "another text"), (5, "one text"), (6, None), (6, None), (7, "alone"), (None, "x"), (None, "x")]
+    kept = []
+    for parts in (1, 5):
+        docs = make_docs(rows, "n int, text_hash string").repartition(parts)
+        out = CP.drop_near_duplicates(spark, docs, "")
+        assert out.columns == docs.columns
+        kept.append(sorted((str(r.doc_id), str(r.text)) for r in out.collect()))
+    assert kept[0] == kept[1] and [i for i, _ in kept[0]] == ["5", "6", "7", "None", "None"]
