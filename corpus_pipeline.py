@@ -11,7 +11,7 @@ shared folder and read again.
 5. packing: the kept texts as pieces in sequences of 4096 tokens.
 
 Rows with a null doc_id are never near duplicates. Of rows that share a
-doc_id one stays in stage 3.
+doc_id one stays in stage 3, the one with the smallest hash of all its columns.
 """
 
 from __future__ import annotations
@@ -20,17 +20,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
-from meterflow.llm.common import keep, table
+from meterflow.llm.common import keep, small_batches, table
 
 #: SQL cannot express the toxicity model or the packing: see tests/llm.
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     out = line_dedup.dedup_lines(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -38,18 +40,32 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = jaccard_join.near_duplicates(docs)
     stay = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(keep(stay, "stay"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionAll(docs.filter("doc_id IS NULL"))
+    kept = docs.join(keep(stay, "stay"), "doc_id", "left_semi")
+    return one_of_each_id(kept).select(*docs.columns).unionAll(docs.filter("doc_id IS NULL"))
+
+
+def one_of_each_id(docs: DataFrame) -> DataFrame:
+    """Of rows that share a doc_id the one with the smallest hash of all columns
+    (rows equal in all are one row). Only rows of repeated ids are shuffled."""
+    whole = F.xxhash64(*[F.col(c) for c in docs.columns])
+    repeated = keep(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"), F.min(whole).alias("__least")).filter("__n > 1"), "repeated-ids")
+    if repeated.isEmpty():
+        return docs
+    some = docs.join(repeated.select("doc_id", "__least"), "doc_id").filter(whole == F.col("__least")).dropDuplicates(["doc_id"])
+    return docs.join(repeated, "doc_id", "left_anti").unionByName(some.select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    small_batches(spark)
+    return packing.pack_documents(docs, lasting=False)
 
 
 STAGES = [

@@ -17,6 +17,15 @@ from ..session import checkpoint_dir, scratch_table
 _SHIPPED: set[str] = set()
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Bound what Spark hands a Python worker at once by bytes (64 MB otherwise):
+    for work that carries whole rows, of which worker and JVM hold copies."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package (as ``--py-files``
     would), once per application, so that functions are imported there and

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, ship
-from .tokens import chunks, crc32, encoder, tokenizer_path
+from .tokens import release, chunks, crc32, encoder, tokenizer_path
 
 CAPACITY = 4096
 END_ID = 1
@@ -157,7 +157,7 @@ def plan(hist: dict[int, int], capacity: int = CAPACITY) -> list[Group]:
     return fixed + best_fit_decreasing(rest, capacity)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int, lasting: bool) -> Iterator[pa.RecordBatch]:
     task, enc, seen = TaskContext.get().partitionId(), encoder(tokenizer), Counter()
     end = np.asarray([end_id], "<u4").tobytes()
     for b in batches:
@@ -175,6 +175,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capa
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nr"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+    if not lasting:
+        release()
 
 
 def _places(batches: Iterator[pa.RecordBatch], slots: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -200,15 +202,18 @@ def pack_documents(
     tokenizer: str | None = None,
     end_id: int = END_ID,
     capacity: int = CAPACITY,
+    lasting: bool = True,
 ) -> DataFrame:
-    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    ``lasting``: a worker's pieces outlive a task, which is quicker; without, the
+    memory is there for other work that the worker does next."""
     spark = docs.sparkSession
     ship(spark)
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     only = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pieces = keep(
         only.mapInArrow(
-            lambda it: _pieces(it, path, end_id, capacity),
+            lambda it: _pieces(it, path, end_id, capacity, lasting),
             "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nr long",
         ),
         "pieces",
