@@ -23,7 +23,7 @@ import numpy as np
 
 END_OF_DOCUMENT = 2
 _PIECE = re.compile(r"\s*\S+|\s+\Z")
-_UNSURE = re.compile(r"<\||[\x1c-\x1f]")
+_UNSURE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 _ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
@@ -34,6 +34,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def unsure(text: str) -> bool:
+    return any(s in text for s in _UNSURE)
+
+
 class PieceEncoder:
     """Encodes texts as little-endian uint32 bytes."""
 
@@ -76,11 +80,11 @@ class PieceEncoder:
         if len(self.known) > self.max_pieces // 2:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        todo = list({p for ps in split if ps for p in ps if p not in known})
+        todo = set().union(*filter(None, split)).difference(known)
         if older:
-            found = [p for p in todo if p in older]
+            found = todo.intersection(older)
             known.update((p, older[p]) for p in found)
-            todo = [p for p in todo if p not in known]
+            todo -= found
         spaced = [p for p in todo if p and p[0] != "\n"]
         for i in range(0, len(spaced), 5000):
             part = spaced[i : i + 5000]
@@ -97,7 +101,7 @@ class PieceEncoder:
             if self.word_ends and t.isascii() and "<|" not in t:
                 t = t.lower()  # as the tokenizer does, so that cases share a piece
             spread = t.replace("\n", " \n")
-            if "  " in spread or not t or t[0].isspace() or t[-1].isspace() or _UNSURE.search(t):
+            if "  " in spread or not t or t[0].isspace() or t[-1].isspace() or unsure(t):
                 split.append(None)
                 firsts.append(t)
             else:
@@ -110,7 +114,7 @@ class PieceEncoder:
 
     def _rest(self, firsts: list[str], split: list) -> list[bytes]:
         """First words, and the texts with unusual spacing, cut by the general pattern."""
-        odd = [None if ps is not None or _UNSURE.search(t) else _PIECE.findall(t) for t, ps in zip(firsts, split)]
+        odd = [None if ps is not None or unsure(t) else _PIECE.findall(t) for t, ps in zip(firsts, split)]
         todo = list(dict.fromkeys([t for t, ps in zip(firsts, odd) if ps is None] + [p for ps in odd if ps for p in ps]))
         got = dict(zip(todo, self._direct(todo)))
         return [got[t] if ps is None else b"".join(map(got.__getitem__, ps)) for t, ps in zip(firsts, odd)]
