@@ -62,6 +62,8 @@ class PieceEncoder:
 
     def _n_bytes(self, piece: str) -> int:
         if self.word_ends:
+            if piece.isascii():  # neither case nor normal form changes the length
+                return sum(map(len, piece.split()))
             piece = "".join(unicodedata.normalize("NFC", piece).lower().split())
         return len(piece.encode())
 
