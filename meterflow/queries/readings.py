@@ -84,14 +84,14 @@ PUB_COLS = (
 # ---------------------------------------------------------------------------
 
 
-@register("canonical_readings", "SC1, PR1, N1", TD.duck_with("readings") + "SELECT * FROM readings")
+@register("canonical_readings", "PR1, N1", TD.duck_with("readings") + "SELECT * FROM readings")
 def canonical_readings(spark, sf):
     return TD.readings(spark, sf)
 
 
 @register(
     "blank_to_null",
-    "SC2, PR2, PR3, N2",
+    "PR2, PR3, N2",
     TD.duck_with("nged_readings")
     + "SELECT "
     + ", ".join(
@@ -111,7 +111,7 @@ def fill_alias(spark, sf):
 
 @register(
     "location_lookup_merged",
-    "SC8, JN1",
+    "JN1",
     TD.duck_with("merged_lookup") + "SELECT substation_nrn, substation_geo_location FROM merged_lookup",
 )
 def location_lookup_merged(spark, sf):
@@ -146,7 +146,7 @@ def combine_dnos(spark, sf):
 
 @register(
     "utc_month_filter",
-    "SC6, FI3",
+    "FI3",
     TD.duck_with("staging", "lookup_postcodes", "lookup_model")
     + "SELECT * FROM staging WHERE data_collection_log_timestamp >= TIMESTAMP '2024-01-01' AND data_collection_log_timestamp < TIMESTAMP '2024-02-01'",
 )
@@ -498,7 +498,7 @@ def sample_feeders(spark, sf):
 
 @register(
     "insert_lag",
-    "IN7 (exact percentiles)",
+    "IN7 (exact percentiles from counts)",
     TD.duck_with("staging", "lookup_postcodes", "lookup_model")
     + """, l AS (SELECT dno_alias, CAST(date_diff('second', data_collection_log_timestamp, insert_time) AS DOUBLE) AS lag FROM staging)
 SELECT dno_alias, quantile_cont(lag, 0.5) AS lag_p50_s, quantile_cont(lag, 0.9) AS lag_p90_s, max(lag) AS lag_max_s FROM l GROUP BY 1""",

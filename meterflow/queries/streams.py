@@ -1,5 +1,5 @@
 """Streaming queries: the events table as a file stream, read the way raw
-readings arrive, de-duplicated month by month without a limit on lateness."""
+readings arrive, de-duplicated day by day without a limit on lateness."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ KEYS = ["data_collection_log_timestamp", "dno_alias", "secondary_substation_id",
 
 @register(
     "ingest_stream_rows",
-    "IN6, IN8 (file stream, de-duplication by month)",
+    "IN8 (file stream, de-duplication by day)",
     TD.duck_with("readings") + "SELECT DISTINCT " + ", ".join(KEYS) + " FROM readings",
 )
 def ingest_stream_rows(spark, sf):

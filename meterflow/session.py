@@ -100,6 +100,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables: results that still read them,
+    which is what most queries return, must have been written or collected."""
+    import pyarrow.fs as pafs
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/meterflow-scratch-{spark.sparkContext.applicationId}"
+    fs, base = pafs.FileSystem.from_uri(path)
+    if fs.get_file_info(base).type != pafs.FileType.NotFound:
+        fs.delete_dir(base)
+
+
 def scratch_table(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back: cuts the lineage so several consumers share one

@@ -93,3 +93,13 @@ def test_clear_month(spark, workdir):
     assert spark.read.parquet(f"{workdir}/st").count() == 1
     SINK.clear_month(spark, f"{workdir}/st", "2024-02-01", "SSEN")
     assert spark.read.parquet(f"{workdir}/st/dno=SSEN/month=2024-02-01").count() == 0
+
+
+def test_scratch_of_an_application_goes(spark):
+    from meterflow import session
+
+    kept = session.scratch_table(spark.range(3), "gone")
+    assert kept.count() == 3
+    session.remove_scratch(spark)
+    session.remove_scratch(spark)  # nothing there: nothing to do
+    assert not glob.glob(kept.inputFiles()[0].replace("file://", "")) if kept.inputFiles() else True
