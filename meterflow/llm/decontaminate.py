@@ -11,8 +11,12 @@ The benchmark is the asked set: it is read in blocks of at most about
 ``block_chars`` characters, each sent to the executors on its own, and all
 documents are read against each block.
 
-Defined results: null or empty texts and items hold nothing. Items of fewer
-than ``min_chars`` characters are not searched: they occur by chance. Repeated
+Items of fewer than ``min_chars`` characters are searched without edits, between
+word borders (an ideograph or kana is a word), and their rows are marked
+``short``: they may occur by chance, so ``drop_leaks`` drops a text for one only
+where it makes up a whole line.
+
+Defined results: null or empty texts hold nothing, nor do items without a word. Repeated
 items each give their rows; repeated rows of documents each give theirs; null
 ids are carried as they are. Other columns are not read by ``find_leaks`` and
 pass through ``drop_leaks`` whatever their names. Empty tables leak nothing.
@@ -35,6 +39,19 @@ BLOCK_CHARS = 1_000_000
 _WORD = re.compile(r"\w+")
 
 
+#: characters of scripts written without spaces between words
+_UNSPACED = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
+
+
+def borders(text: str, start: int, end: int) -> bool:
+    """Whether words end before ``start`` and at ``end`` of a normal text."""
+
+    def parted(a: str, b: str) -> bool:
+        return a == " " or b == " " or bool(_UNSPACED.match(a) or _UNSPACED.match(b))
+
+    return (start == 0 or parted(text[start - 1], text[start])) and (end == len(text) or parted(text[end - 1], text[end]))
+
+
 def normal(text: str | None) -> str:
     return " ".join(_WORD.findall((text or "").lower()))
 
@@ -86,31 +103,45 @@ class LeakFinder:
         where: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             t = normal(text)
-            if len(t) < min_chars:
+            if not t:
                 continue
-            k = int(max_edit * len(t))
+            short = len(t) < min_chars
+            k = 0 if short else int(max_edit * len(t))
             for a, p in pieces(t, k):
                 where.setdefault(p, []).append((len(self.items), a))
-            self.items.append((item_id, t, k, masks(t)))
+            self.items.append((item_id, t, k, masks(t), short))
         for p, v in where.items():
             self.auto.add_word(p, (len(p), v))
         if where:
             self.auto.make_automaton()
 
-    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item_id, edits, start, end) of each item in the text, at its best
-        place, by characters of the normal text."""
+    def find(self, text: str | None) -> list[tuple[int, int, int, int, bool]]:
+        """(item_id, edits, start, end, short) of each item in the text, at its
+        best place, by characters of the normal text."""
+        found = self._places(text)
+        return [(self.items[nr][0], *v, self.items[nr][4]) for nr, v in sorted(found.items())]
+
+    def leaks(self, text: str | None) -> bool:
+        """Whether the text holds an item, a short one as a whole line."""
+        found = self._places(text)
+        if any(not self.items[nr][4] for nr in found):
+            return True
+        return bool(found) and not {self.items[nr][1] for nr in found}.isdisjoint(map(normal, text.split("\n")))
+
+    def _places(self, text: str | None) -> dict[int, tuple[int, int, int]]:
         t = normal(text)
         found: dict[int, tuple[int, int, int]] = {}
         tried: dict[int, list[int]] = {}
         if not t or not self.items:
-            return []
+            return found
         for last, (n, places) in self.auto.iter(t):
             for nr, a in places:
                 if found.get(nr, (1,))[0] == 0:
                     continue
-                item_id, item, k, peq = self.items[nr]
+                _, item, k, peq, short = self.items[nr]
                 start = last + 1 - n - a
+                if short and not borders(t, start, last + 1):
+                    continue
                 if t.startswith(item, max(start, 0)):
                     found[nr] = (0, start, start + len(item))
                     continue
@@ -121,7 +152,7 @@ class LeakFinder:
                 edits, end = myers(peq, len(item), t[low : start + len(item) + k])
                 if edits <= min(k, found.get(nr, (k,))[0]):
                     found[nr] = (edits, max(0, low + end - len(item)), low + end)
-        return [(self.items[nr][0], *v) for nr, v in sorted(found.items())]
+        return found
 
 
 def _item_blocks(benchmark: DataFrame, block_chars: int, id_col: str, text_col: str) -> Iterator[list[tuple]]:
@@ -136,18 +167,19 @@ def _item_blocks(benchmark: DataFrame, block_chars: int, id_col: str, text_col:
 
 def _leaks(batches: Iterator[pa.RecordBatch], items: list, max_edit: float, min_chars: int) -> Iterator[pa.RecordBatch]:
     finder = LeakFinder(items, max_edit, min_chars)
-    names = ["doc_id", "item_id", "edits", "start", "end"]
+    names = ["doc_id", "item_id", "edits", "start", "end", "short"]
     for b in batches:
         rows = [(i, *f) for i, t in zip(b.column(0).to_pylist(), b.column(1)) for f in finder.find(t.as_py())]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+            cols = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.bool_())], names=names)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", max_edit: float = MAX_EDIT, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """A row per document and item in it: doc_id, item_id, edits, start, end."""
+    """A row per document and item in it: doc_id, item_id, edits, start, end, short."""
     ship(docs.sparkSession)
     only = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    kind = "doc_id long, item_id long, edits long, start long, end long"
+    kind = "doc_id long, item_id long, edits long, start long, end long, short boolean"
     out = None
     for items in _item_blocks(benchmark, block_chars, item_id, item_text):
         got = only.mapInArrow(lambda it, items=items: _leaks(it, items, max_edit, min_chars), kind)
@@ -158,7 +190,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def _clean(batches: Iterator[pa.RecordBatch], at: int, items: list, max_edit: float, min_chars: int) -> Iterator[pa.RecordBatch]:
     finder = LeakFinder(items, max_edit, min_chars)
     for b in batches:
-        yield b.filter(pa.array([not finder.find(t.as_py()) for t in b.column(at)], pa.bool_()))
+        yield b.filter(pa.array([not finder.leaks(t.as_py()) for t in b.column(at)], pa.bool_()))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", max_edit: float = MAX_EDIT, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:

@@ -150,6 +150,22 @@ def test_decontamination(spark, make_docs):
     assert D.drop_leaks(docs, bench.limit(0)).count() == 6 and D.find_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_short_items(spark, make_docs):
+    """Found without edits between word borders; a text goes for one only where it is a whole line."""
+    bench = spark.createDataFrame([(1, "What is the capital of Peru?"), (2, "秘鲁的首都是什么?"), (3, "cat"), (4, "?!"), (5, "x y")], "item_id long, text string")
+    texts = {
+        10: "so, what is the CAPITAL of Peru", 11: "what is the capital of Perugia", 12: "intro\nWhat is the capital of Peru?\nLima", 13: "问题:秘鲁的首都是什么？利马", 14: "前文秘鲁的首都是什么利马",
+        15: "concatenate", 16: "a cat.", 17: "cat", 18: "x  Y", 19: "xx y", 20: None, 21: "", 22: "秘鲁的首都是什么",
+    }
+    docs = make_docs(texts, "short string")
+    got = {(r.doc_id, r.item_id) for r in D.find_leaks(docs, bench).collect() if r.short and r.edits == 0}
+    assert got == {(10, 1), (12, 1), (13, 2), (14, 2), (16, 3), (17, 3), (18, 5), (22, 2)}
+    plain = lambda t: f" {D.normal(t)} "
+    spaced = {1: "what is the capital of peru", 3: "cat", 5: "x y"}
+    assert {p for p in got if p[1] != 2} == {(d, i) for d, t in texts.items() for i, x in spaced.items() if f" {x} " in plain(t)}
+    assert sorted(r.doc_id for r in D.drop_leaks(docs, bench).collect()) == [10, 11, 13, 14, 15, 16, 19, 20, 21]
+
+
 def brute_components(texts):
     sets = {}
     for i, t in texts.items():
