@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from . import ordering as O
+from . import transform as T
 from ..functions.timefns import floor_day, month_start
 
 TS = "data_collection_log_timestamp"
@@ -47,6 +48,26 @@ def partition_stats(df: DataFrame, dno: str, by: list[str] | None = None, month_
     return src.groupBy(*by).agg(*aggs)
 
 
+def feed_stats(staged: DataFrame, month_of: str = TS) -> DataFrame:
+    """``partition_stats`` of a staged feed of both networks and of the combined
+    table made from it, in one pass: each row counts for its network and for the
+    whole (dno, month, row_count, nunique_feeders, nunique_substations)."""
+    none = F.lit(None).cast("string")
+    ssen = F.col("dno_alias") == "SSEN"
+    own = F.struct(
+        F.when(ssen, F.lit("SSEN")).otherwise(F.lit("NGED")).alias("dno"),
+        F.when(ssen, feeder_key("SSEN")).otherwise(feeder_key("NGED")).alias("feeder"), none.alias("station"),
+    )
+    whole = F.struct(F.lit("COMBINED").alias("dno"), feeder_key("COMBINED").alias("feeder"), F.col("secondary_substation_unique_id").alias("station"))
+    rows = T.unique_ids(staged).select(month_start(month_of).alias("month"), F.explode(F.array(own, whole)).alias("r")).select("month", "r.*")
+    stats = rows.groupBy("dno", "month").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        C.count_distinct_with_null("feeder").cast("long").alias("nunique_feeders"),
+        C.count_distinct_with_null("station").cast("long").alias("nunique_substations"),
+    )
+    return stats.withColumn("nunique_substations", F.when(F.col("dno") == "COMBINED", F.col("nunique_substations")))
+
+
 def mapping_stats(mapping: DataFrame) -> DataFrame:
     """Rows, distinct feeder names, distinct postcodes (nulls ignored) (AG2)."""
     return mapping.agg(

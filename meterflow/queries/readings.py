@@ -266,13 +266,7 @@ def _stats_sql(table: str, dno: str, feeder: str, subs: str | None) -> str:
     + _stats_sql("published", "COMBINED", "lv_feeder_unique_id", "secondary_substation_unique_id"),
 )
 def partition_stats(spark, sf):
-    out = []
-    for dno, df in (("SSEN", ssen_staging(spark, sf)), ("NGED", nged_staging(spark, sf)), ("COMBINED", published(spark, sf))):
-        st = A.partition_stats(df, dno)
-        if "nunique_substations" not in st.columns:
-            st = st.withColumn("nunique_substations", F.lit(None).cast("long"))
-        out.append(st.select(F.lit(dno).alias("dno"), "month", "row_count", F.col("nunique_feeders").cast("long"), "nunique_substations"))
-    return SE.concat(out)
+    return A.feed_stats(staging(spark, sf))
 
 
 @register(
