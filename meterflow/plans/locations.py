@@ -18,11 +18,13 @@ from ..operators.gridshift import GridSpec, grid_shift
 from ..session import scratch_table
 
 
-def postcode_points(mapping: DataFrame, directory: DataFrame) -> DataFrame:
+def postcode_points(mapping: DataFrame, directory: DataFrame, distinct: bool = False) -> DataFrame:
     """Located feeder postcodes: (standardised_postcode, substation_nrn, lat, long).
 
     PR7 + FI1 on the mapping, PR9 for the reference number, PR7 + dropna on
-    the directory, JN3 left join, FI2 drop unmatched.
+    the directory, JN3 left join, FI2 drop unmatched. ``distinct``: each place
+    once, for what depends on the set of places alone; repetitions go on either
+    side before the join, which would give a row for each pair of them.
     """
     m = mapping.withColumn("standardised_postcode", C.standardise_postcode("postcode"))
     m = FI.valid_postcodes(m).select(
@@ -30,6 +32,8 @@ def postcode_points(mapping: DataFrame, directory: DataFrame) -> DataFrame:
         C.nrn_from_parts("primary_substation_id", "hv_feeder_id", "secondary_substation_id").alias("substation_nrn"),
     )
     d = directory.select(C.standardise_postcode("pcd").alias("standardised_postcode"), "lat", "long").dropna()
+    if distinct:
+        return FI.located(J.locate_postcodes(m.distinct(), d.distinct()))
     return FI.located(J.locate_postcodes(m, d))
 
 
@@ -40,7 +44,7 @@ def measured_hulls(points: DataFrame, key: str = "substation_nrn", lon: str = "l
 
 def substation_locations_from_postcodes(mapping: DataFrame, directory: DataFrame) -> DataFrame:
     """Lookup A: centroid of each substation's postcode hull, when plausible (GE12)."""
-    measured = measured_hulls(postcode_points(mapping, directory))
+    measured = measured_hulls(postcode_points(mapping, directory, distinct=True))
     ok = H.plausible_areas(measured)
     return ok.select(
         "substation_nrn",
@@ -118,7 +122,7 @@ def license_area_locations(
 
     ``areas``: polygon_id, ring array<struct<x=lon, y=lat>>.
     """
-    measured = measured_hulls(postcode_points(mapping, directory))
+    measured = measured_hulls(postcode_points(mapping, directory, distinct=True))
     kind = F.col("geometry_type")
     keep = (kind == "Point") | ((kind == "LineString") & (F.col("length_m") < S.MAX_LINE_LENGTH_M)) | (
         (kind == "Polygon") & (F.col("length_m") / F.col("coordinate_count") < S.MAX_POLYGON_MEAN_EDGE_M)
