@@ -151,7 +151,8 @@ def _to_published_arrow(table, geometry: str, partition_col: str):
     return pa.Table.from_arrays([c if not hasattr(c, "chunks") else c.combine_chunks() for c in cols], schema=schema)
 
 
-ROW_GROUP_ROWS = 1 << 20
+#: rows of a month that a task holds until they are a row group
+ROW_GROUP_ROWS = 1 << 17
 
 
 class GeoParquetWriter(DataSourceArrowWriter):

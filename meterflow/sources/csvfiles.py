@@ -12,10 +12,8 @@ from __future__ import annotations
 import csv
 import re
 import sys
-from collections.abc import Iterator
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,26 +26,18 @@ except Exception:  # pragma: no cover
     pass
 
 
-def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of a task; the rest of its file is not read."""
-    for b in batches:
-        if b.num_rows:
-            yield b.slice(0, 1)
-            return
-
-
 def file_headers(spark: SparkSession, path: str | list[str], glob: str | None = None) -> list[tuple[str, str]]:
     """(file, its first line) of every file that has one, by file."""
-    # settings of this pass alone: a task a file, rows one by one
+    # settings of this pass alone: a task a file
     own = spark.newSession()
     own.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     reader = own.read
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
-    # a file cut into splits gives one line for each, the header is the one at its start
-    rows = lines.mapInArrow(_first, "file string, start long, value string").where("start = 0").collect()
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the line's place in its task
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value", row.alias("row"))
+    # a file cut into splits has a first line in each, the header is the one at its start
+    rows = lines.where("row = 0 AND start = 0").collect()
     return sorted((r["file"], r["value"]) for r in rows)
 
 

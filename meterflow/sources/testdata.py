@@ -18,11 +18,15 @@ queries use the same text as CTEs, so both engines see identical inputs.
 from __future__ import annotations
 
 import csv
+import gzip
 import io
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -323,30 +327,100 @@ def duck_with(*names: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+#: files a landing task has open at once, and bytes of a file it holds back
+OPEN_FILES, HELD = 200, 1 << 18
+
+
 def land_csv(df: DataFrame, folder: str, name_col: str = "source_file", swap: bool = True, order: str | None = None) -> None:
     """Write ``df``'s text columns as the CSV files a source would have put there,
     a file per name in ``name_col``. With ``swap`` every other file has its columns
     the other way round, as nothing promises their order. ``order``: a number
     column (not written) that sorts a file's rows; a name that ends in .gz is
-    compressed."""
-    columns = [c for c in df.columns if c not in (name_col, order)]
+    compressed.
 
-    def write(table: pa.Table) -> pa.Table:
-        name = table.column(name_col)[0].as_py()
-        if order:
-            table = table.sort_by(order)
-        header = columns[::-1] if swap and zlib.crc32(name.encode()) % 2 else columns
-        fs, base = pafs.FileSystem.from_uri(folder)
-        text = io.StringIO()
-        out = csv.writer(text, lineterminator="\n")
-        out.writerow(header)
-        out.writerows(zip(*(table.column(c).to_pylist() for c in header)))
-        with fs.open_output_stream(f"{base}/{name}", compression="gzip" if name.endswith(".gz") else None) as f:
-            f.write(text.getvalue().encode())
-        return pa.table({"name": [name]})
+    A file may be larger than a task's memory: each task streams its rows, as
+    lines, into pieces beside ``folder``, one per name, and a file is its header
+    and its pieces one after the other (gzip members put together are a gzip
+    file). Rows are shuffled only where ``order`` asks for it."""
+    columns = [c for c in df.columns if c not in (name_col, order)]
+    pieces = f"{folder.rstrip('/')}-pieces"
+    options = {"escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+    def packed(name: str, data: bytes) -> bytes:
+        return gzip.compress(data, 6) if name.endswith(".gz") else data
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (name, line): a piece of each name."""
+        ctx = TaskContext.get()
+        fs, base = pafs.FileSystem.from_uri(pieces)
+        files: dict[str, tuple] = {}  # name -> stream, lines held back
+        made: list[dict] = []
+
+        def flush(name: str) -> None:
+            out, held = files[name]
+            if held:
+                out.write(packed(name, b"".join(held)))
+                held.clear()
+
+        def close(name: str) -> None:
+            flush(name)
+            files.pop(name)[0].close()
+
+        for b in batches:
+            for part in _by_name(b):
+                name = part.column(0)[0].as_py()
+                if name not in files:
+                    if len(files) >= OPEN_FILES:
+                        close(next(iter(files)))
+                    piece = f"{ctx.partitionId():09d}-{ctx.taskAttemptId()}-{len(made):06d}"  # attempts never share one
+                    files[name] = (fs.open_output_stream(f"{base}/{piece}", compression=None), [])
+                    made.append({"name": name, "piece": piece})
+                held = files[name][1]
+                held.append("\n".join([*part.column(1).to_pylist(), ""]).encode())
+                if sum(map(len, held)) >= HELD:
+                    flush(name)
+        for name in list(files):
+            close(name)
+        if made:
+            yield pa.RecordBatch.from_pylist(made)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (fs, base), (there, target) = pafs.FileSystem.from_uri(pieces), pafs.FileSystem.from_uri(folder)
+        for b in batches:
+            for r in b.to_pylist():
+                head = io.StringIO()
+                csv.writer(head, lineterminator="\n").writerow(columns[::-1] if swap and zlib.crc32(r["name"].encode()) % 2 else columns)
+                with there.open_output_stream(f"{target}/{r['name']}", compression=None) as out:
+                    out.write(packed(r["name"], head.getvalue().encode()))
+                    for p in r["pieces"]:
+                        with fs.open_input_stream(f"{base}/{p}", compression=None) as piece:
+                            while block := piece.read(1 << 20):
+                                out.write(block)
+            yield b.select(["name"])
 
     _folder(folder)
-    df.groupBy(name_col).applyInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+    _folder(pieces)
+    line = F.to_csv(F.struct(*columns), options)
+    if swap:
+        line = F.when(F.crc32(F.col(name_col).cast("binary")) % 2 == 1, F.to_csv(F.struct(*columns[::-1]), options)).otherwise(line)
+    if order:
+        by = F.col(order).asc_nulls_last()
+        df = df.repartitionByRange(name_col, by).sortWithinPartitions(name_col, by)
+    made = df.select(F.col(name_col).alias("name"), line.alias("line")).mapInArrow(write, "name string, piece string")
+    files = made.groupBy("name").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    files.repartition("name").mapInArrow(join, "name string").write.format("noop").mode("overwrite").save()
+    fs, base = pafs.FileSystem.from_uri(pieces)
+    fs.delete_dir(base)
+
+
+def _by_name(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch's rows by its first column, their order kept within a name."""
+    codes = batch.column(0).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    at = np.argsort(codes, kind="stable")
+    cut = np.flatnonzero(np.diff(codes[at])) + 1
+    for rows in np.split(at, cut):
+        if len(rows):
+            yield batch.take(pa.array(rows))
 
 
 def _folder(path: str) -> None:
