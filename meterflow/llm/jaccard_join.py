@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, shared_path, ship, with_ids
+from .tokens import trimmed
 
 WORDS = 5
 FREQUENCY = 1 << 21
@@ -280,7 +281,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     only = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     path = shared_path(spark, "shingle-sets")
     kinds = "kind int, id long, n long, fp binary"
-    only.mapInArrow(lambda it: _sets(it, words), kinds).write.partitionBy("kind").parquet(path)
+    only.mapInArrow(trimmed(lambda it: _sets(it, words)), kinds).write.partitionBy("kind").parquet(path)
     stored = spark.read.schema(kinds).parquet(path)
     nodes = stored.filter("kind = 0").select("id", "n", "fp")
 
@@ -294,9 +295,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kinds = "kind int, token long, n int, pos int, g long, hub long, hub_n int, hub_pos int, fp binary, sig binary"
     (
         only.filter("id IS NOT NULL").select("text")
-        .mapInArrow(lambda it: _postings(it, sent.value, words), "token long, n int, pos int, g long, fp binary, sig binary")
+        .mapInArrow(trimmed(lambda it: _postings(it, sent.value, words)), "token long, n int, pos int, g long, fp binary, sig binary")
         .repartition("token").sortWithinPartitions("token", "pos", "n", "g")
-        .mapInArrow(_lists, kinds).write.partitionBy("kind").parquet(path)
+        .mapInArrow(trimmed(_lists), kinds).write.partitionBy("kind").parquet(path)
     )
     stored = spark.read.schema(kinds).parquet(path)
     lists = stored.filter("kind = 1").drop("kind", "fp", "sig")
@@ -369,10 +370,10 @@ class _Sets:
         """The pairs (a, b), a <> b, that link."""
         words = self.words
         pairs = pairs.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        pairs = keep(self._both(pairs, self.signatures, ["n", "sig"]).mapInArrow(_possible, "a long, b long").distinct(), "candidates")
+        pairs = keep(self._both(pairs, self.signatures, ["n", "sig"]).mapInArrow(trimmed(_possible), "a long, b long").distinct(), "candidates")
         if pairs.isEmpty():
             return pairs
         wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-        chosen = with_ids(self.docs.filter("id IS NOT NULL"), wanted).mapInArrow(lambda it: _whole_sets(it, words), "rep long, fp binary, s binary")
+        chosen = with_ids(self.docs.filter("id IS NOT NULL"), wanted).mapInArrow(trimmed(lambda it: _whole_sets(it, words)), "rep long, fp binary, s binary")
         sets = keep(chosen, "sets")
-        return keep(self._both(pairs, sets, ["s"]).mapInArrow(_verify, "a long, b long"), "links")
+        return keep(self._both(pairs, sets, ["s"]).mapInArrow(trimmed(_verify), "a long, b long"), "links")

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import keep, same, shared_path, ship
+from .tokens import trimmed
 
 BLANK = b" \t\n\x0b\x0c\r"
 KEY = ["h1", "h2"]
@@ -162,7 +163,7 @@ def dedup_lines(
     ship(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     only = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    lines = only.mapInArrow(lambda it: _keys(it, min_chars), f"id {kind}, h1 long, h2 long")
+    lines = only.mapInArrow(trimmed(lambda it: _keys(it, min_chars)), f"id {kind}, h1 long, h2 long")
     bounds = [b for b in (docs.select(F.percentile_approx(id_col, [i / batches for i in range(1, batches)], 1000)).first()[0] or [])] if batches > 1 else []
     step = F.lit(len(bounds))
     for b in bounds:  # 0 is the batch of the largest ids
@@ -190,7 +191,7 @@ def dedup_lines(
     left = docs.select(*wanted, F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     joined = left.join(drop, same(F.col("__id"), F.col("__of")), "left").drop("__of", "__id")
     made = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in wanted), "__kept string, __n_lines long, __n_dropped long, __sha string"])
-    out = joined.mapInArrow(lambda it: _rebuild(it, min_chars), made)
+    out = joined.mapInArrow(trimmed(lambda it: _rebuild(it, min_chars)), made)
     order = [c for c in (columns or docs.columns) if c not in names]
     pick = {text_col: F.col("__kept").alias(text_col)}
     return out.select(*[pick.get(c, F.col(f"`{c}`")) for c in order], F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.col("__sha").alias("kept_sha256"))

@@ -38,10 +38,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, ship
-from .tokens import release, chunks, crc32, encoder, tokenizer_path
+from .tokens import chunks, crc32, encoder, release, tokenizer_path, trim
 
 CAPACITY = 4096
 END_ID = 1
+#: pieces cached, and characters encoded at once, where a worker's memory is shared with other work
+FEW_PIECES, FEW_CHARS = 200_000, 500_000
 Group = tuple[int, tuple[tuple[int, int], ...]]
 
 
@@ -158,12 +160,15 @@ def plan(hist: dict[int, int], capacity: int = CAPACITY) -> list[Group]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int, lasting: bool) -> Iterator[pa.RecordBatch]:
-    task, enc, seen = TaskContext.get().partitionId(), encoder(tokenizer), Counter()
+    if not lasting:
+        trim()
+    task, enc, seen = TaskContext.get().partitionId(), encoder(tokenizer) if lasting else encoder(tokenizer, FEW_PIECES), Counter()
+    size = {} if lasting else {"max_chars": FEW_CHARS}
     end = np.asarray([end_id], "<u4").tobytes()
     for b in batches:
         ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
         rows = []
-        for i, j in chunks(texts):
+        for i, j in chunks(texts, **size):
             for doc, data in zip(ids[i:j], enc.encode([t or "" for t in texts[i:j]])):
                 data += end
                 n = len(data) // 4

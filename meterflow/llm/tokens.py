@@ -20,10 +20,13 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 END_OF_DOCUMENT = 2
 _PIECE = re.compile(r"\s*\S+|\s+\Z")
 _UNSURE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+#: characters a piece may have on average before the caches turn over early
+PIECE_BYTES = 16
 _ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
@@ -50,6 +53,8 @@ class PieceEncoder:
         #: piece -> ids, of pieces seen lately and of those seen before that
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: characters of the pieces known
+        self.held = 0
         vocab = self.tokenizer.get_vocab()
         self.word_ends = any(t.endswith("</w>") for t in list(vocab)[:5000])
         self.id_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
@@ -79,14 +84,16 @@ class PieceEncoder:
         return [data[a:b] for a, b in zip([0, *stop], stop)]
 
     def _learn(self, split: list[list[str] | None]) -> None:
-        if len(self.known) > self.max_pieces // 2:
-            self.older, self.known = self.known, {}
+        if len(self.known) > self.max_pieces // 2 or self.held > self.max_pieces // 2 * PIECE_BYTES:
+            self.older, self.known, self.held = self.known, {}, 0
         known, older = self.known, self.older
         todo = set().union(*filter(None, split)).difference(known)
         if older:
             found = todo.intersection(older)
             known.update((p, older[p]) for p in found)
             todo -= found
+            self.held += sum(map(len, found))
+        self.held += sum(map(len, todo))
         spaced = [p for p in todo if p and p[0] != "\n"]
         for i in range(0, len(spaced), 5000):
             part = spaced[i : i + 5000]
@@ -136,13 +143,30 @@ def release() -> None:
     if not _ENCODERS:
         return
     _ENCODERS.clear()
+    trim()
+
+
+def trim() -> None:
+    """Give memory that the worker's earlier work has freed back to the system."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # another C library: it is returned in time
         pass
 
 
+def trimmed(step):
+    """``step`` for mapInArrow, after which a worker keeps no freed memory: what
+    several kinds of work leave in one worker adds up otherwise."""
+
+    def run(batches):
+        yield from step(batches)
+        trim()
+
+    return run
+
+
 def chunks(texts: list, max_texts: int = 1000, max_chars: int = 4_000_000):
     """Index ranges of ``texts`` with bounded count and size (one text at least)."""
     start, size = 0, 0

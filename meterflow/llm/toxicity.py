@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep, ship
-from .tokens import release
+from .tokens import release, trim
 
 MAX_LABELLED = 8192
 MAX_TERMS = 4000
@@ -220,6 +220,8 @@ def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = list(seen)
         for i in range(0, len(rows), 200_000):
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 200_000])], names=["word", "before", "toxic"])
+        del seen, rows
+    trim()
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
@@ -322,6 +324,7 @@ def _harmless(batches: Iterator[pa.RecordBatch], at: int, model: Model) -> Itera
     scorer = model.scorer()
     for b in batches:
         yield b.filter(pa.array(model.score([scorer.features(t.as_py()) for t in b.column(at)]) < 0.5))
+    trim()
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
