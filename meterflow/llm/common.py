@@ -76,11 +76,23 @@ def add_columns(docs: DataFrame, made: DataFrame, key: str, names: list[str]) ->
 ID_BITS = 1 << 23
 
 
-def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def packed_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(id, text) as (id, size, body): zstd, about half of what a shuffle's own codec leaves."""
+    texts = [t.as_py() or b"" for t in batch.column(1).cast(pa.binary())]
+    cols = [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([pa.compress(t, "zstd", asbytes=True) if t else b"" for t in texts], pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=["id", "size", "body"])
+
+
+def unpacked_text(size: int, body: bytes) -> bytes:
+    return pa.decompress(body, size, "zstd", asbytes=True) if size else b""
+
+
+def with_ids(docs: DataFrame, ids: DataFrame, packed: bool = False) -> DataFrame:
     """``docs`` (a long ``id`` and a text) less most rows whose id is not in
     ``ids``: a map-side filter by a bitmap of ``ID_BITS`` id hashes, 2**18 rows
     on the driver at most. Rows of other ids may stay, so a join must follow;
-    what it saves is shuffling texts that the join would drop."""
+    what it saves is shuffling texts that the join would drop. ``packed``: the
+    texts as ``packed_text`` has them."""
     at = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(32)).cast("int"))
     rows = ids.select(F.floor(at / 32).alias("w"), one.alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
@@ -91,7 +103,10 @@ def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def picked(batches):
         for b in batches:
             h = b.column(2).to_numpy()
-            yield b.filter(pa.array((sent.value[h // 32] >> (h % 32)) & 1 == 1)).select([0, 1])
+            some = b.filter(pa.array((sent.value[h // 32] >> (h % 32)) & 1 == 1)).select([0, 1])
+            yield packed_text(some) if packed else some
 
+    if packed:
+        return docs.withColumn("__at", at).mapInArrow(picked, "id long, size long, body binary")
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.withColumn("__at", at).mapInArrow(picked, kind)

@@ -16,6 +16,14 @@
    documents whose windows overlap in both travel as one row with one span of
    words from each, so a text that repeats itself is cut and sent once.
 
+5. The rest: a passage whose seeds all have first holders that lack it. Where the
+   seeds of ``min_words`` words in a row all occur before and no reported passage
+   holds these words, every run of ``min_words`` words of all documents that hold
+   such seeds in a row is matched with its own first holder, which then holds the
+   run whole, and is aligned like a chain. So no run of ``min_words`` words that
+   an earlier document holds, too, is left out, whoever holds its parts. (Exact
+   for ``min_words`` of at least ``WINDOW + K - 1``.)
+
 Words are runs without ASCII white space, A-Z lower-cased; places count words.
 
 Defined results: null and empty texts, and texts of fewer than K words, have
@@ -35,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep, ship, with_ids
+from .common import keep, ship, unpacked_text, with_ids
 from .jaccard_join import shingles
 
 K = 6
@@ -71,22 +79,30 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by seed, doc, pos: each occurrence outside the seed's first
-    holder, with the holder's first place. Keeps one row between batches."""
-    last = None  # seed, holder, place
+    """Rows sorted by seed, doc, pos: each occurrence of a seed that has several,
+    with the seed's first holder and place there, the first place itself included.
+    Keeps one row between batches."""
+    last = None  # seed, holder, place, whether its own row has been given
     for b in batches:
         seed, doc, pos = (b.column(i).to_numpy() for i in range(3))
         if not len(seed):
             continue
+        pos = pos.astype(np.int32)
         first = np.ones(len(seed), bool)
         first[1:] = seed[1:] != seed[:-1]
+        own = None
         if last is not None and seed[0] == last[0]:
             first[0] = False
+            own = None if last[3] else last
         at = np.maximum.accumulate(np.where(first, np.arange(len(seed)), -1))
         holder, place = (np.where(at >= 0, x[np.maximum(at, 0)], y) for x, y in zip((doc, pos), (last or (0, 0, 0))[1:]))
-        last = (seed[-1], holder[-1], place[-1])
-        out = doc != holder
-        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (doc, holder, pos, place.astype(np.int32))], names=["doc", "of", "x", "y"])
+        out = ~first
+        out[:-1] |= ~first[1:]  # a first place that others follow
+        last = (seed[-1], holder[-1], place[-1], bool(out[-1]))
+        cols = [doc[out], holder[out], pos[out], place[out].astype(np.int32)]
+        if own:
+            cols = [np.concatenate([np.asarray([v], c.dtype), c]) for v, c in zip((own[1], own[1], own[2], own[2]), cols)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["doc", "of", "x", "y"])
 
 
 class Fenwick:
@@ -162,14 +178,39 @@ def overlapping(c: np.ndarray, min_words: int) -> list[np.ndarray]:
     return [c]
 
 
-def _chains(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by doc, of, x, y. Holds the matches of one document. A match
-    counts if its neighbours, with whatever holders, span what the seeds of a
-    passage of ``min_words`` words must span: chance matches stand alone. Gives
-    a row per group of overlapping chains of two documents: the spans of words
-    to read, and the chains as numbers in fours."""
+def known_runs(places: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """Words (low, high) in which every seed inside ``min_words`` words may be one
+    of ``places`` (sorted): seeds are ``WINDOW`` places apart at most."""
+    runs = np.split(places, np.flatnonzero(np.diff(places) > WINDOW) + 1)
+    spans = [(max(0, int(r[0]) - WINDOW + 1), int(r[-1]) + K + WINDOW - 1) for r in runs if len(r)]
+    return [(low, high) for low, high in spans if high - low >= min_words]
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Rows of whole numbers sorted by their first column, in blocks that hold all
+    rows of a document. Holds those of one document."""
     rest: list[np.ndarray] | None = None
-    least = max(0, min_words - 2 * (WINDOW + K - 1))
+    for b in batches:
+        cols = [b.column(i).to_numpy().astype(np.int64) for i in range(b.num_columns)]
+        if rest is not None:
+            cols = [np.concatenate(p) for p in zip(rest, cols)]
+        if not len(cols[0]):
+            continue
+        start = int(np.searchsorted(cols[0] == cols[0][-1], True))
+        rest = [c[start:] for c in cols]
+        if start:
+            yield [c[:start] for c in cols]
+    if rest is not None and len(rest[0]):
+        yield rest
+
+
+def _chains(batches: Iterator[pa.RecordBatch], min_words: int, least: int, regions: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by doc, of, x, y. Holds the matches of one document. A match
+    counts if its neighbours, with whatever holders, span ``least`` words, which
+    the seeds of a passage of ``min_words`` words must span: chance matches stand
+    alone. Gives a row per group of overlapping chains of two documents: the spans
+    of words to read, and the chains as numbers in fours. ``regions``: and a row
+    without ``of`` for each run of words whose seeds all have earlier holders."""
     names = ["doc", "of", "x_low", "x_high", "y_low", "y_high", "chains"]
     kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.list_(pa.int32())]
 
@@ -182,6 +223,8 @@ def _chains(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Re
         for a, z in zip(cut, cut[1:]):
             of, x, y = (c[a:z] for c in cols[1:])
             places = np.unique(x)
+            if regions:
+                rows += [(int(doc[a]), None, low, high, None, None, None) for low, high in known_runs(places, min_words)]
             runs = np.split(places, np.flatnonzero(np.diff(places) > MAX_GAP + K) + 1)
             good = np.concatenate([r for r in runs if r[-1] - r[0] >= least] or [places[:0]])
             ok = np.isin(x, good)
@@ -196,25 +239,62 @@ def _chains(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Re
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
+    for cols in _by_document(batches):
+        yield from out(cols)
+
+
+def _uncovered(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Rows (doc, regions, passages): the parts of the regions in which no run of
+    ``min_words`` words stands inside one passage."""
     for b in batches:
-        cols = [b.column(i).to_numpy().astype(np.int64) for i in range(4)]
-        if rest is not None:
-            cols = [np.concatenate(p) for p in zip(rest, cols)]
-        if not len(cols[0]):
-            continue
-        start = int(np.searchsorted(cols[0] == cols[0][-1], True))
-        rest = [c[start:] for c in cols]
-        if start:
-            yield from out([c[:start] for c in cols])
-    if rest is not None and len(rest[0]):
-        yield from out(rest)
+        docs, parts = [], []
+        for d, regions, passages in zip(*(b.column(i).to_pylist() for i in range(3))):
+            left = []
+            for low, high in ((r["low"], r["high"]) for r in regions):
+                todo = np.ones(high - min_words + 1 - low, bool)  # a run by its first word
+                for p in passages or ():
+                    todo[max(0, p["start"] - low) : max(0, p["end"] - min_words + 1 - low)] = False
+                at = np.flatnonzero(todo) + low
+                left += [{"low": int(r[0]), "high": int(r[-1]) + min_words} for r in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(r)]
+            if left:
+                docs.append(d)
+                parts.append(left)
+        if docs:
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(parts, pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())])))], names=["doc", "parts"])
+
+
+def _known(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Rows (doc, x) sorted: a document's runs of words with these places."""
+    for doc, x in _by_document(batches):
+        docs, windows = [], []
+        for one in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1):
+            runs = known_runs(np.unique(x[one]), min_words)
+            if runs:
+                docs.append(int(doc[one[0]]))
+                windows.append([{"low": low, "high": high} for low, high in runs])
+        if docs:
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(windows, pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())])))], names=["id", "windows"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """(id, windows, packed text): the hash of every ``min_words`` words inside a window, with its place."""
+    for b in batches:
+        for i, windows, size, body in zip(*(b.column(k) for k in range(4))):
+            text = unpacked_text(size.as_py(), body.as_py())
+            if len(text.split(None, min_words - 1)) < min_words:
+                continue
+            h = shingles(text, min_words).view(np.int64)
+            at = np.unique(np.concatenate([np.arange(w["low"], min(w["high"] - min_words + 1, len(h))) for w in windows.as_py()]))
+            for k in range(0, len(at), 100_000):
+                p = at[k : k + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(h[p]), pa.array(np.full(len(p), i.as_py(), np.int64)), pa.array(p.astype(np.int32))], names=["seed", "doc", "pos"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, windows, text): for each window its words, deflated, as they are kept and shuffled twice."""
+    """(id, windows, packed text): for each window its words, deflated, as they are kept and shuffled twice."""
     for b in batches:
-        for i, windows, t in zip(*(b.column(k) for k in range(3))):
-            words = (t.as_py() or "").encode().lower().split()
+        for i, windows, size, body in zip(*(b.column(k) for k in range(4))):
+            words = unpacked_text(size.as_py(), body.as_py()).lower().split()
             spans = [(w["low"], w["high"]) for w in windows.as_py()]
             for k in range(0, len(spans), 1000):
                 low, high = zip(*spans[k : k + 1000])
@@ -283,29 +363,59 @@ def _align(batches: Iterator[pa.RecordBatch], min_words: int, min_identity: floa
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
-    """A row per passage of a document (doc_id, start, end) that an earlier
-    document holds too (of_doc, of_start, of_end), with the words matched and
-    their share (identity)."""
-    ship(docs.sparkSession)
-    only = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL")
-    matches = (
-        only.mapInArrow(_seeds, "seed long, doc long, pos int")
-        .repartition("seed").sortWithinPartitions("seed", "doc", "pos")
-        .mapInArrow(_matches, "doc long, of long, x int, y int")
-    )
-    found = matches.repartition("doc").sortWithinPartitions("doc", "of", "x", "y").mapInArrow(lambda it: _chains(it, min_words), "doc long, of long, x_low int, x_high int, y_low int, y_high int, chains array<int>")
-    found = keep(found, "chains")
+def _matched(seeds: DataFrame) -> DataFrame:
+    return seeds.repartition("seed").sortWithinPartitions("seed", "doc", "pos").mapInArrow(_matches, "doc long, of long, x int, y int")
+
+
+def _passages(only: DataFrame, found: DataFrame, min_words: int, min_identity: float) -> DataFrame:
+    """The passages of chains: their words are cut, brought together and aligned."""
     asked = found.select(F.col("doc").alias("id"), F.col("x_low").alias("low"), F.col("x_high").alias("high"))
     asked = asked.unionAll(found.select("of", "y_low", "y_high")).groupBy("id").agg(F.collect_set(F.struct("low", "high")).alias("windows"))
     asked = keep(asked, "windows")
-    cut = asked.join(with_ids(only, asked.select("id")), "id").select("id", "windows", "text").mapInArrow(_cut, "id long, low int, high int, words binary")
+    cut = asked.join(with_ids(only, asked.select("id"), packed=True), "id").select("id", "windows", "size", "body").mapInArrow(_cut, "id long, low int, high int, words binary")
     cut = keep(cut, "window-words")
     x = cut.select(F.col("id").alias("doc"), F.col("low").alias("x_low"), F.col("high").alias("x_high"), F.col("words").alias("words_x"))
     y = cut.select(F.col("id").alias("of"), F.col("low").alias("y_low"), F.col("high").alias("y_high"), F.col("words").alias("words_y"))
     both = found.join(x, ["doc", "x_low", "x_high"]).join(y, ["of", "y_low", "y_high"]).select("doc", "of", "x_low", "y_low", "chains", "words_x", "words_y")
     kind = "doc_id long, start long, end long, of_doc long, of_start long, of_end long, matched long, identity double"
-    got = both.mapInArrow(lambda it: _align(it, min_words, min_identity), kind).distinct()
+    return keep(both.mapInArrow(lambda it: _align(it, min_words, min_identity), kind).distinct(), "passages")
+
+
+def _rest(only: DataFrame, matches: DataFrame, regions: DataFrame, got: DataFrame, min_words: int) -> DataFrame:
+    """Matches (doc, of, x, y) of whole runs of ``min_words`` words, for the
+    documents that may hold a run of the ``regions`` which no passage of ``got`` holds."""
+    spans = "array<struct<low: int, high: int>>"
+    asked = regions.groupBy("doc").agg(F.collect_list(F.struct(F.col("x_low").alias("low"), F.col("x_high").alias("high"))).alias("regions"))
+    said = got.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_list(F.struct("start", "end")).alias("passages"))
+    left = asked.join(said, "doc", "left").select("doc", "regions", "passages").mapInArrow(lambda it: _uncovered(it, min_words), f"doc long, parts {spans}")
+    left = keep(left, "uncovered")
+    # a seed is named by its first holder and place
+    wanted = matches.where("doc <> of").join(left, "doc").where(F.exists("parts", lambda p: (F.col("x") >= p["low"]) & (F.col("x") + K <= p["high"]))).select("of", "y").distinct()
+    held = matches.join(wanted, ["of", "y"], "left_semi").select("doc", "x")
+    windows = keep(held.repartition("doc").sortWithinPartitions("doc", "x").mapInArrow(lambda it: _known(it, min_words), f"id long, windows {spans}"), "known-runs")
+    runs = windows.join(with_ids(only, windows.select("id"), packed=True), "id").select("id", "windows", "size", "body").mapInArrow(lambda it: _runs(it, min_words), "seed long, doc long, pos int")
+    # others of a run's holders have a passage that holds it
+    inside = F.exists("parts", lambda p: (F.col("x") >= p["low"]) & (F.col("x") + min_words <= p["high"]))
+    return _matched(runs).where("doc <> of").join(left, "doc").where(inside).select("doc", "of", "x", "y")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
+    """A row per passage of a document (doc_id, start, end) that an earlier
+    document holds too (of_doc, of_start, of_end), with the words matched and
+    their share (identity)."""
+    ship(docs.sparkSession)
+    only = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL")
+    chained = "doc long, of long, x_low int, x_high int, y_low int, y_high int, chains array<int>"
+
+    def chain(matches: DataFrame, least: int, regions: bool) -> DataFrame:
+        near = matches.repartition("doc").sortWithinPartitions("doc", "of", "x", "y")
+        return keep(near.mapInArrow(lambda it: _chains(it, min_words, least, regions), chained), "chains")
+
+    matches = keep(_matched(only.mapInArrow(_seeds, "seed long, doc long, pos int")), "matches")
+    both = chain(matches.where("doc <> of"), max(0, min_words - 2 * (WINDOW + K - 1)), True)
+    got = _passages(only, both.where("of IS NOT NULL"), min_words, min_identity)
+    more = chain(_rest(only, matches, both.where("of IS NULL"), got, min_words), 0, False)
+    got = got.unionByName(_passages(only, more, min_words, min_identity)).distinct()
     # chains of one passage extend to the same words: a passage within another goes
     w = Window.partitionBy("doc_id", "of_doc").orderBy("start", F.desc("end"), F.desc("matched"), "of_start", "of_end")
     reached = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
