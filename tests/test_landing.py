@@ -41,3 +41,15 @@ def test_headers_are_read_without_sending_lines_to_python(spark, tmp_path, monke
 
     monkeypatch.setattr(type(spark.range(1)), "mapInArrow", python)
     assert [(f.rsplit("/", 1)[1], line) for f, line in CSV.file_headers(spark, str(tmp_path))] == [("one.csv", "a,b"), ("two.csv", "b,a")]
+
+
+def test_landing_functions_go_to_workers_by_value():
+    """Executors need no copy of this package to land files."""
+    import pickle
+    import pickletools
+
+    from pyspark import cloudpickle
+
+    sent = cloudpickle.dumps(TD._by_name)
+    named = {arg for _, arg, _ in pickletools.genops(sent) if isinstance(arg, str)}
+    assert pickle.loads(sent) is not TD._by_name and "np" in named  # its code and globals, not its name alone
