@@ -30,9 +30,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep, ship
+from .tokens import trimmed
 
 CLASSES, IN_CLASS = 32, 32
 OUT = CLASSES * IN_CLASS
@@ -54,7 +53,10 @@ STRIDE = 1
 BATCH = 1024
 CHUNKS = 16
 SHAPES = [(2 * SIDE, OUT + 1, HIDDEN), (HIDDEN,), (CLASSES, HIDDEN), (CLASSES,), (CLASSES, IN_CLASS, HIDDEN), (CLASSES, IN_CLASS)]
-SIZE = sum(int(np.prod(s)) for s in SHAPES)
+SIZES = [int(np.prod(s)) for s in SHAPES]
+SIZE = sum(SIZES)
+#: shape, first weight and number of weights of each
+PLACES = [(s, sum(SIZES[:i]), SIZES[i]) for i, s in enumerate(SHAPES)]
 
 
 class WordIds(dict):
@@ -79,11 +81,25 @@ class WordIds(dict):
         return out
 
     def ids(self, text: str | None) -> np.ndarray:
-        return self.both(text)[1]
+        return self.of((text or "").encode().lower().split())
 
-    def both(self, text: str | None) -> tuple[list[bytes], np.ndarray]:
-        words = (text or "").encode().lower().split()
-        return words, np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
+def cut(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of ``texts``, the number of each word in that list, and
+    the number of words of each text."""
+    low = pa.compute.ascii_lower(pa.compute.fill_null(texts, ""))
+    split = pa.compute.ascii_split_whitespace(low)
+    found = split.flatten().dictionary_encode()
+    words = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    codes, ends = found.indices.to_numpy(), split.offsets.to_numpy()
+    if b"" in words:  # beside white space at an end, or of an empty text
+        some = codes != words.index(b"")
+        ends = np.r_[0, np.cumsum(some)][ends]
+        codes = codes[some]
+    return words, codes, np.diff(ends)
 
 
 class Vocabulary(list):
@@ -107,12 +123,7 @@ def unseen_log(length: Column) -> Column:
 
 
 def split_weights(flat: np.ndarray) -> list[np.ndarray]:
-    out, at = [], 0
-    for s in SHAPES:
-        n = int(np.prod(s))
-        out.append(flat[at : at + n].reshape(s))
-        at += n
-    return out
+    return [flat[a : a + n].reshape(s) for s, a, n in PLACES]
 
 
 def first_weights() -> np.ndarray:
@@ -135,34 +146,46 @@ def _context(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([flat[at + s] for s in steps])
 
 
-def _softmax_log(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """Of each column, in place."""
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z /= z.sum(axis=0)
+    return z
+
+
+def _picked_log(z: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Logarithm of each column's softmax at its row; changes ``z``."""
+    z -= z.max(axis=0)
+    picked = z[row, np.arange(len(row))]
+    np.exp(z, out=z)
+    return picked - np.log(z.sum(axis=0))
 
 
 def _hidden(w: list[np.ndarray], ctx: np.ndarray) -> np.ndarray:
-    h = w[1] + w[0][0][ctx[0]]
+    h = w[1] + w[0][0].take(ctx[0], axis=0)
     for j in range(1, len(ctx)):
-        h += w[0][j][ctx[j]]
+        h += w[0][j].take(ctx[j], axis=0)
     return np.tanh(h, out=h)
 
 
-def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(cls, kind="stable")
-    cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cut[c] < cut[c + 1]:
-            yield c, order[cut[c] : cut[c + 1]]
-
-
-def log_probs(flat_weights: np.ndarray, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+def log_probs(flat_weights: np.ndarray, flat: np.ndarray, at: np.ndarray, step: int = 8192) -> np.ndarray:
     """Log-probability of each word at ``at`` given both sides."""
-    w, target = split_weights(flat_weights), flat[at]
-    h = _hidden(w, _context(flat, at))
-    cls, word = target // IN_CLASS, target % IN_CLASS
-    out = _softmax_log(h @ w[2].T + w[3])[np.arange(len(at)), cls]
-    for c, i in _by_class(cls):
-        out[i] += _softmax_log(h[i] @ w[4][c].T + w[5][c])[np.arange(len(i)), word[i]]
+    w, out = split_weights(flat_weights), np.zeros(len(at), np.float32)
+    for i in range(0, len(at), step):  # what a processor's cache holds
+        some = at[i : i + step]
+        target = flat[some]
+        order = np.argsort(target // IN_CLASS, kind="stable")  # a class' words side by side
+        some, target = some[order], target[order]
+        h = np.ascontiguousarray(_hidden(w, _context(flat, some)).T)
+        cls, word = target // IN_CLASS, target % IN_CLASS
+        got = _picked_log(w[2] @ h + w[3][:, None], cls)
+        cut = np.searchsorted(cls, np.arange(CLASSES + 1))
+        for c in range(CLASSES):
+            a, z = cut[c], cut[c + 1]
+            if a < z:
+                got[a:z] += _picked_log(w[4][c] @ h[:, a:z] + w[5][c][:, None], word[a:z])
+        out[i + order] = got
     return out
 
 
@@ -173,23 +196,42 @@ def train_step(flat_weights: np.ndarray, seen: np.ndarray, flat: np.ndarray, at:
     ctx, target, n = _context(flat, at), flat[at], len(at)
     h = _hidden(w, ctx)
     cls, word = target // IN_CLASS, target % IN_CLASS
-    p = np.exp(_softmax_log(h @ w[2].T + w[3]))
-    p[np.arange(n), cls] -= 1
-    g[2][:], g[3][:] = p.T @ h / n, p.mean(axis=0)
-    dh = p @ w[2]
-    for c, i in _by_class(cls):
-        q = np.exp(_softmax_log(h[i] @ w[4][c].T + w[5][c]))
-        q[np.arange(len(i)), word[i]] -= 1
-        g[4][c], g[5][c] = q.T @ h[i] / n, q.sum(axis=0) / n
-        dh[i] += q @ w[4][c]
+    rows = np.arange(n)
+    p = _softmax(w[2] @ h.T + w[3][:, None])
+    p[cls, rows] -= 1
+    g[2][:], g[3][:] = p @ h / n, p.sum(axis=1) / n
+    dh = p.T @ w[2]
+    # the classes' words side by side, with room for the largest class
+    order = np.argsort(cls.astype(np.int16), kind="stable")
+    sizes = np.bincount(cls, minlength=CLASSES)
+    most = int(sizes.max())
+    slot = cls[order] * most + rows - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    wide = np.zeros((CLASSES * most, HIDDEN), np.float32)
+    wide[slot] = h.take(order, axis=0)
+    wide = wide.reshape(CLASSES, most, HIDDEN)
+    z = (wide @ w[4].transpose(0, 2, 1) + w[5][:, None]).reshape(-1, IN_CLASS).take(slot, axis=0)
+    z = _softmax(np.ascontiguousarray(z.T))
+    z[word[order], rows] -= 1
+    q = np.zeros((CLASSES * most, IN_CLASS), np.float32)
+    q[slot] = z.T
+    q = q.reshape(CLASSES, most, IN_CLASS)
+    g[4][:], g[5][:] = q.transpose(0, 2, 1) @ wide / n, q.sum(axis=1) / n
+    dh[order] += (q @ w[4]).reshape(-1, HIDDEN).take(slot, axis=0)
     dh *= (1 - h * h) / n
     g[1][:] = dh.sum(axis=0)
-    for j, words in enumerate(ctx):
-        order = np.argsort(words, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(words[order]) != 0])
-        g[0][j][words[order][first]] = np.add.reduceat(dh[order], first, axis=0)
-    seen += grad * grad
-    flat_weights -= rate * grad / (np.sqrt(seen) + 1e-6)
+    # a row of weights for each place and word
+    places = (ctx + (np.arange(len(ctx)) * (OUT + 1))[:, None]).astype(np.int16).reshape(-1)
+    order = np.argsort(places, kind="stable")
+    places = places[order]
+    first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+    g[0].reshape(-1, HIDDEN)[places[first]] = np.add.reduceat(dh.take(order % n, axis=0), first, axis=0)
+    step = grad * grad
+    seen += step
+    np.sqrt(seen, out=step)
+    step += 1e-6
+    grad *= rate
+    grad /= step
+    flat_weights -= grad
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: int, most: int = 50_000) -> Iterator[tuple[int, int, pa.RecordBatch]]:
@@ -210,7 +252,8 @@ def _train(batches: Iterator[pa.RecordBatch], vocabulary: list[bytes], weights:
     ids, w, seen, n = WordIds(vocabulary), weights.copy(), np.full(SIZE, 1e-4, np.float32), 0
     rng = np.random.default_rng(TaskContext.get().partitionId())
     for a, z, b in _groups(batches, 0):
-        flat, at = padded([ids.ids(t.as_py()) for t in b.column(0).slice(a, z - a)])
+        words, codes, n_words = cut(b.column(0).slice(a, z - a))
+        flat, at = padded(np.split(ids.of(words)[codes], np.cumsum(n_words)[:-1]))
         at = rng.permutation(at[int(rng.integers(stride)) :: stride])
         for i in range(0, len(at), BATCH):
             train_step(w, seen, flat, at[i : i + BATCH])
@@ -240,10 +283,10 @@ def _add(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBat
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for a, z, b in _groups(batches, 0, 2_000_000):
-        c: Counter = Counter()
-        for t in b.column(0).slice(a, z - a):
-            c.update((t.as_py() or "").encode().lower().split())
-        yield pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.binary()), pa.array(c.values(), pa.int64())], names=["word", "n"])
+        words, codes, _ = cut(b.column(0).slice(a, z - a))
+        n = np.bincount(codes, minlength=len(words)).astype(np.int64)
+        got = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n)], names=["word", "n"])
+        yield got.filter(pa.array(n > 0))
 
 
 def bucket_of(word: str = "word") -> Column:
@@ -253,7 +296,7 @@ def bucket_of(word: str = "word") -> Column:
 def vocabulary(texts: DataFrame) -> Vocabulary:
     """The most frequent words of all documents, ties by their bytes, and the
     counts of all."""
-    counts = texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(trimmed(_count), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = keep(counts, "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(OUT - BUCKETS).collect()
     sizes = np.zeros((BUCKETS, 2), np.int64)
@@ -284,40 +327,41 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride:
 
 
 def _rows(columns: dict[str, list | np.ndarray | pa.Array], ids: pa.DataType, most: int = 50_000) -> Iterator[pa.RecordBatch]:
-    """Batches with all of ``PARTS``; those not given are null."""
+    """Batches with all columns; those not given are null."""
     n = len(columns["key"])
-    kinds = {"key": pa.int64(), "id": ids, "n_words": pa.int64(), "log_prob": pa.float64(), "word": pa.binary(), "times": pa.int64()}
+    kinds = {"key": pa.int64(), "id": ids, "n_words": pa.int64(), "log_prob": pa.float64(), "word": pa.binary(), "docs": pa.list_(pa.int32())}
     b = pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()], names=list(kinds))
     for i in range(0, n, most):
         yield b.slice(i, most)
 
 
 def _scores(batches: Iterator[pa.RecordBatch], vocabulary: list[bytes], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A row per document, under the network alone, and a row for each of its
-    distinct words without an output of its own. A document's ``word`` is its
-    key after a blank, which no word has: it joins with nothing, in no one task."""
+    """A row per document, under the network alone, and for each group of documents
+    a row for each of its distinct words without an output of its own, with the
+    documents (their keys less the row's) that have it, once for each time. A
+    document's ``word`` is its key after a blank, which no word has: it joins with
+    nothing, in no one task."""
     ids = WordIds(vocabulary)
     key = TaskContext.get().partitionId() << 33
-    for a, z, b in _groups(batches, 1):
-        of_id, texts = b.column(0).slice(a, z - a), b.column(1).slice(a, z - a)
-        docs, key_of, rare, times = [], [], [], []
-        for k, t in enumerate(texts):
-            words, out = ids.both(t.as_py())
-            docs.append(out)
-            found = Counter(compress(words, in_bucket(out).tolist()))
-            rare += found.keys()
-            times += found.values()
-            key_of += [key + k] * len(found)
-        n = np.asarray([len(d) for d in docs], np.int64)
-        flat, at = padded(docs)
-        of, total = np.repeat(np.arange(len(docs)), n), np.zeros(len(docs))
+    for a, z, b in _groups(batches, 1, 1_000_000):
+        of_id = b.column(0).slice(a, z - a)
+        words, codes, n = cut(b.column(1).slice(a, z - a))
+        outs = ids.of(words)[codes]
+        flat, at = padded(np.split(outs, np.cumsum(n)[:-1]))
+        of, total = np.repeat(np.arange(len(n), dtype=np.int32), n), np.zeros(len(n))
         for i in range(0, len(at), 50_000):  # a very long text has no more at once
             lp = log_probs(weights, flat, at[i : i + 50_000]).astype(np.float64)
-            total += np.bincount(of[i : i + 50_000], lp, len(docs))
-        own = np.arange(key, key + len(docs))
+            total += np.bincount(of[i : i + 50_000], lp, len(n))
+        own = np.arange(key, key + len(n))
         yield from _rows({"key": own, "id": of_id, "n_words": n, "log_prob": total, "word": [b" %d" % k for k in own]}, of_id.type)
-        yield from _rows({"key": key_of, "word": rare, "times": times}, of_id.type)
-        key += len(docs)
+        rare = in_bucket(outs)
+        codes, of = codes[rare], of[rare]
+        sizes = np.bincount(codes, minlength=len(words))
+        some = np.flatnonzero(sizes)
+        ends = np.r_[0, np.cumsum(sizes[some])].astype(np.int32)
+        docs = pa.ListArray.from_arrays(pa.array(ends), pa.array(of[np.argsort(codes, kind="stable")]))
+        yield from _rows({"key": [key] * len(some), "word": pa.array(words, pa.binary()).take(pa.array(some)), "docs": docs}, of_id.type)
+        key += len(n)
 
 
 def score(docs: DataFrame, words: Vocabulary, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -326,13 +370,14 @@ def score(docs: DataFrame, words: Vocabulary, weights: np.ndarray, id_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast((list(words), weights))
     only = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    parts = only.mapInArrow(lambda it: _scores(it, *sent.value), f"key long, id {kind}, n_words long, log_prob double, word binary, times long")
+    parts = only.mapInArrow(trimmed(lambda it: _scores(it, *sent.value)), f"key long, id {kind}, n_words long, log_prob double, word binary, docs array<int>")
     joined = parts.join(words.counts, "word", "left")
     all_n, distinct = (F.element_at(F.array(*[F.lit(float(s[i])) for s in words.sizes]), bucket_of() + 1) for i in (0, 1))
     # a bucket without any counted word is all left to new ones
     base = F.when(all_n > 0, F.log(distinct) - F.log(all_n + distinct)).otherwise(0.0) + unseen_log(F.length("word"))
     share = F.when(F.col("n").isNotNull(), F.log(F.col("n").cast("double")) - F.log(all_n + distinct)).otherwise(base)
-    one = F.coalesce("log_prob", F.col("times") * share)
-    got = joined.groupBy("key").agg(F.max("id").alias(id_col), F.max("n_words").alias("n_words"), F.sum(one).alias("log_prob"))
+    each = joined.select("key", "id", "n_words", F.coalesce("log_prob", share).alias("one"), F.explode_outer("docs").alias("doc"))
+    each = each.withColumn("key", F.col("key") + F.coalesce("doc", F.lit(0)))
+    got = each.groupBy("key").agg(F.max("id").alias(id_col), F.max("n_words").alias("n_words"), F.sum("one").alias("log_prob"))
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
     return got.select(id_col, "n_words", "log_prob", mean.alias("mean_log_prob"))

@@ -4,7 +4,10 @@ import math
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from meterflow.llm import lm_score as LM
 
@@ -61,3 +64,36 @@ def test_gibberish_scores_below_a_rare_word_of_its_bucket(make_docs, corpus):
 
 def test_every_word_is_a_target():
     assert LM.STRIDE == 1
+
+
+def test_words_are_cut_at_ascii_white_space_only():
+    texts = [None, "", " A  b\t\n", "\x0bx\x0cy ", "É é\x1ca b", "a"]
+    words, codes, n = LM.cut(pa.array(texts, pa.string()))
+    plain = [(t or "").encode().lower().split() for t in texts]
+    assert [words[c] for c in codes] == [w for ws in plain for w in ws]
+    assert n.tolist() == [len(ws) for ws in plain]
+    assert [len(x) for x in LM.cut(pa.array([None], pa.string()))[1:]] == [0, 1]
+
+
+def test_a_rare_word_of_many_documents_is_one_row(spark, make_docs):
+    docs = make_docs({i: f"odd odd w{i % 3}" for i in range(30)}).coalesce(1).select(F.col("doc_id").alias("id"), "text")
+    kind = "key long, id long, n_words long, log_prob double, word binary, docs array<int>"
+    rows = docs.mapInArrow(lambda it: LM._scores(it, [b"w0"], LM.first_weights()), kind).collect()
+    assert sum(r.docs is None for r in rows) == 30
+    assert {bytes(r.word): len(r.docs) for r in rows if r.docs is not None} == {b"odd": 60, b"w1": 10, b"w2": 10}
+
+
+def test_a_step_follows_the_slope():
+    rng = np.random.default_rng(5)
+    flat, at = LM.padded([rng.integers(0, LM.OUT, 700).astype(np.int32) % m for m in (LM.OUT, 40)])
+    w0 = LM.first_weights()
+    w, seen = w0.copy(), np.zeros(LM.SIZE, np.float32)
+    LM.train_step(w, seen, flat, at)
+    grad = np.sqrt(seen)
+    for k in np.argsort(grad)[-5:]:  # the slope of the mean log-probability, by a small change
+        more, less = w0.copy(), w0.copy()
+        more[k] += 0.01
+        less[k] -= 0.01
+        slope = (LM.log_probs(more, flat, at).mean(dtype=float) - LM.log_probs(less, flat, at).mean(dtype=float)) / 0.02
+        assert abs(slope) == pytest.approx(grad[k], rel=0.05)
+        assert np.sign(w[k] - w0[k]) == np.sign(slope)
