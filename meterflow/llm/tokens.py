@@ -3,7 +3,8 @@
 A text is cut before every white-space character that follows a
 non-white-space one. Both tokenizers used here split there themselves before
 any merge, so the ids of the text are the ids of its pieces put together, and
-equal pieces are encoded once. New pieces are encoded together as one text;
+equal pieces are encoded once; the punctuation that ends a piece is a piece of
+its own. Arrow cuts a batch's texts and finds its distinct pieces. New pieces are encoded together as one text;
 the tokens' byte lengths tell which ids belong to which piece, and a batch
 whose lengths do not add up is encoded piece by piece. Texts where the cut is
 not certain (a special token's opening ``<|``, the control characters that
@@ -16,13 +17,17 @@ import ctypes
 import gc
 import os
 import re
+import string
 import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 END_OF_DOCUMENT = 2
+_RUN = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{3}"
+_ALNUM = np.isin(np.arange(256), np.frombuffer((string.ascii_letters + string.digits).encode(), np.uint8))
 _PIECE = re.compile(r"\s*\S+|\s+\Z")
 _UNSURE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 #: characters a piece may have on average before the caches turn over early
@@ -37,6 +42,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _strings(values: pa.Array) -> list[str]:
+    """As ``to_pylist``, without a scalar for each."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def unsure(text: str) -> bool:
     return any(s in text for s in _UNSURE)
 
@@ -55,11 +65,14 @@ class PieceEncoder:
         self.older: dict[str, bytes] = {}
         #: characters of the pieces known
         self.held = 0
+        #: punctuation at pieces' ends -> ids
+        self.tails: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab()
         self.word_ends = any(t.endswith("</w>") for t in list(vocab)[:5000])
         self.id_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for token, i in vocab.items():  # one character a byte in byte-level vocabularies
             self.id_bytes[i] = len(token.removesuffix("</w>") if self.word_ends else token)
+        self.line_end = self._direct(["\n"])[0]
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -83,50 +96,99 @@ class PieceEncoder:
         data, stop = ids.tobytes(), ((cut + 1) * 4).tolist()
         return [data[a:b] for a, b in zip([0, *stop], stop)]
 
-    def _learn(self, split: list[list[str] | None]) -> None:
+    def _learn(self, stems: list[str]) -> list[bytes]:
+        """The ids of each of ``stems``, none of them empty."""
         if len(self.known) > self.max_pieces // 2 or self.held > self.max_pieces // 2 * PIECE_BYTES:
             self.older, self.known, self.held = self.known, {}, 0
         known, older = self.known, self.older
-        todo = set().union(*filter(None, split)).difference(known)
+        got = list(map(known.get, stems))
+        if None not in got:
+            return got
+        lacking = [i for i, ids in enumerate(got) if ids is None]
+        todo = {stems[i] for i in lacking}
         if older:
             found = todo.intersection(older)
             known.update((p, older[p]) for p in found)
             todo -= found
             self.held += sum(map(len, found))
         self.held += sum(map(len, todo))
-        spaced = [p for p in todo if p and p[0] != "\n"]
-        for i in range(0, len(spaced), 5000):
-            part = spaced[i : i + 5000]
-            known.update(zip(part, self._pieces([f" {p}" for p in part])))
-        lines = [p for p in todo if not p or p[0] == "\n"]
-        known.update(zip(lines, self._direct(lines)))
+        new = list(todo)
+        for i in range(0, len(new), 5000):
+            part = new[i : i + 5000]
+            known.update(zip(part, self._pieces([p if p[0] == "\n" else f" {p}" for p in part])))
+        for i in lacking:
+            got[i] = known[stems[i]]
+        return got
+
+    def _values(self, pieces: pa.Array) -> list[bytes]:
+        """The ids of each of the distinct ``pieces``, none of them empty. ASCII
+        punctuation after a last ASCII letter or digit is encoded apart, as both
+        tokenizers split there whatever it is."""
+        if self.word_ends:  # as the tokenizer does, so that cases share a piece
+            pieces = pa.compute.if_else(pa.compute.string_is_ascii(pieces), pa.compute.ascii_lower(pieces), pieces)
+        stems = pa.compute.ascii_rtrim(pieces, characters=string.punctuation)
+        ends = np.frombuffer(stems.buffers()[1], "<i8")[stems.offset : stems.offset + len(stems) + 1]
+        raw = np.frombuffer(stems.buffers()[2] or b"\0", np.uint8)
+        apart = (np.diff(ends) > 0) & _ALNUM[raw[np.maximum(ends[1:], 1) - 1]]
+        sizes = pa.compute.binary_length(stems).to_numpy()
+        apart &= sizes < pa.compute.binary_length(pieces).to_numpy()
+        out = self._learn(_strings(pa.compute.if_else(pa.array(apart), stems, pieces)))
+        tails, at = self.tails, np.flatnonzero(apart)
+        for i, piece in zip(at.tolist(), _strings(pieces.take(pa.array(at)))):
+            tail = piece[len(piece.rstrip(string.punctuation)) :]
+            if tail not in tails:
+                if len(tails) > 10_000:
+                    tails.clear()
+                tails[tail] = self._direct([tail])[0]
+            out[i] += tails[tail]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. A cache key is a piece without the single
-        space before it; pieces that begin with a line end stand as they are."""
-        split: list[list[str] | None] = []
-        firsts: list[str] = []
-        for t in texts:
-            if self.word_ends and t.isascii() and "<|" not in t:
-                t = t.lower()  # as the tokenizer does, so that cases share a piece
-            spread = t.replace("\n", " \n")
-            if "  " in spread or not t or t[0].isspace() or t[-1].isspace() or unsure(t):
-                split.append(None)
-                firsts.append(t)
+        space before it and the punctuation after it; pieces that begin with a
+        line end stand as they are, and a text's first piece as after one."""
+        out: list[bytes] = [b""] * len(texts)
+        odd = self._odd(texts)
+        plain = [i for i, o in enumerate(odd) if not o]
+        if self.word_ends:
+            spread = [texts[i].replace("\n", " ") for i in plain]
+        else:
+            spread = ["\n" + texts[i].replace("\n", " \n") for i in plain]
+        if plain:
+            split = pa.compute.split_pattern(pa.array(spread, pa.large_string()), " ")
+            words = split.flatten().dictionary_encode()
+            pieces = words.dictionary
+            if self.word_ends:  # pieces of no characters have no ids
+                some = pa.compute.binary_length(pieces).to_numpy() > 0
+                made = iter(self._values(pieces.filter(pa.array(some))))
+                values = [next(made) if s else b"" for s in some.tolist()]
             else:
-                words = spread.split(" ")
-                firsts.append(words[0])
-                split.append(words[1:])
-        self._learn(split)
-        get = self.known.__getitem__
-        return [first if ps is None else first + b"".join(map(get, ps)) for first, ps in zip(self._rest(firsts, split), split)]
-
-    def _rest(self, firsts: list[str], split: list) -> list[bytes]:
-        """First words, and the texts with unusual spacing, cut by the general pattern."""
-        odd = [None if ps is not None or unsure(t) else _PIECE.findall(t) for t, ps in zip(firsts, split)]
-        todo = list(dict.fromkeys([t for t, ps in zip(firsts, odd) if ps is None] + [p for ps in odd if ps for p in ps]))
+                values = self._values(pieces)
+            ids = pa.array(values, pa.large_binary()).take(words.indices)
+            ends = np.frombuffer(ids.buffers()[1], "<i8")[ids.offset : ids.offset + len(ids) + 1]
+            stops = ends[split.offsets.to_numpy()].tolist()
+            data, skip = memoryview(ids.buffers()[2] or b""), 0 if self.word_ends else len(self.line_end)
+            for i, a, b in zip(plain, stops, stops[1:]):
+                out[i] = bytes(data[a + skip : b])
+        rest = [i for i, o in enumerate(odd) if o]
+        for i, ids in zip(rest, self._rest([texts[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    def _odd(self, texts: list[str]) -> list[bool]:
+        """Whether a text's white space is unusual, or a cut not certain."""
+        if self.word_ends:  # white space has no ids
+            return [unsure(t) for t in texts]
+        # of three white-space characters the first two are one piece to the tokenizer
+        runs = pa.compute.match_substring_regex(pa.array(texts, pa.large_string()), _RUN).to_pylist()
+        return [run or not t or "  " in t or " \n" in t or t[0].isspace() or t[-1].isspace() or unsure(t) for run, t in zip(runs, texts)]
+
+    def _rest(self, texts: list[str]) -> list[bytes]:
+        """Texts cut by the general pattern, or not at all."""
+        odd = [None if unsure(t) else _PIECE.findall(t) for t in texts]
+        todo = list(dict.fromkeys([t for t, ps in zip(texts, odd) if ps is None] + [p for ps in odd if ps for p in ps]))
         got = dict(zip(todo, self._direct(todo)))
-        return [got[t] if ps is None else b"".join(map(got.__getitem__, ps)) for t, ps in zip(firsts, odd)]
+        return [got[t] if ps is None else b"".join(map(got.__getitem__, ps)) for t, ps in zip(texts, odd)]
 
 
 def encoder(path: str, max_pieces: int = 1_200_000) -> PieceEncoder:

@@ -20,3 +20,20 @@ def test_packing_beside_other_work_caches_few_pieces(spark):
     here = packing.pack_documents(docs, lasting=False).orderBy("doc_id", "piece").collect()
     there = packing.pack_documents(docs).orderBy("doc_id", "piece").collect()
     assert [r[:5] for r in here] == [r[:5] for r in there] and len(here) == 50
+
+
+def test_ids_are_those_of_the_whole_text():
+    texts = ["a\n\n\nb", "a\n\n\tb", "x\t\n\n y", "One, two; (three). It's x's, 'tis!\nFour.", "É, é. İ-- ²,\n\nZ<a>", "", " \n", "a\n", " \n\n b"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        enc = tokens.PieceEncoder(tokens.tokenizer_path(name), 1000)
+        assert enc.encode(texts) == enc._direct(texts)
+
+
+def test_punctuation_and_case_share_a_piece():
+    texts = ["the word word, word. word! (word)", "é word word; Word, WORD."]
+    enc = tokens.PieceEncoder(tokens.tokenizer_path("byte_bpe_50k.json"), 1000)
+    assert enc.encode(texts[:1]) == enc._direct(texts[:1])
+    assert set(enc.known) == {"\nthe", "word", "(word"}
+    enc = tokens.PieceEncoder(tokens.tokenizer_path("word_bpe_49k.json"), 1000)
+    assert enc.encode(texts) == enc._direct(texts)
+    assert set(enc.known) == {"the", "word", "(word", "é"}
