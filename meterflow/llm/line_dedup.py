@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep, same, shared_path, ship
+from .common import keep, same, shared_path, ship, small_batches
 from .tokens import trimmed
 
 BLANK = b" \t\n\x0b\x0c\r"
@@ -161,6 +161,7 @@ def dedup_lines(
     n_dropped and kept_sha256 (hex, UTF-8). ``columns``: those to keep (all)."""
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     only = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     lines = only.mapInArrow(trimmed(lambda it: _keys(it, min_chars)), f"id {kind}, h1 long, h2 long")
