@@ -22,10 +22,12 @@ def consumption_map(
     bbox: tuple[float, float, float, float] | None = None,
     per_period: bool = False,
 ) -> DataFrame:
-    """kWh per substation (and location) at one half hour, or at every half
+    """kWh per substation (and location) over the half hours of ``readings``
+    together (one half hour: ``period``, or readings of one), or at every half
     hour with ``per_period`` (JB6: FI4, FI6, AG5, FI8, PR19).
 
-    The outlier cut applies to the substation sum, as the maps do.
+    The outlier cut applies to the substation sum of a half hour, as the maps
+    do: its limit means nothing to a sum over months.
     """
     df = readings
     if period is not None:
@@ -33,15 +35,13 @@ def consumption_map(
     if bbox is not None:
         df = FI.bbox_filter(df, *bbox)
     sub = "secondary_substation_unique_id"
-    if per_period:
-        summed = (
-            df.where(F.col(sub).isNotNull())
-            .groupBy(TS, sub, "geometry")
-            .agg(F.sum(CONSUMPTION).alias(CONSUMPTION), F.sum("aggregated_device_count_active").alias("aggregated_device_count_active"))
-        )
-    else:
-        summed = A.consumption_by_substation(df)
-    return T.with_kwh(FI.drop_outliers(summed, CONSUMPTION, S.OUTLIER_WH))
+    summed = (
+        df.where(F.col(sub).isNotNull())
+        .groupBy(TS, sub, "geometry")
+        .agg(F.sum(CONSUMPTION).alias(CONSUMPTION), F.sum("aggregated_device_count_active").alias("aggregated_device_count_active"))
+    )
+    kept = FI.drop_outliers(summed, CONSUMPTION, S.OUTLIER_WH)
+    return T.with_kwh(kept if per_period else A.consumption_by_substation(kept))
 
 
 def feeder_timeseries(
